@@ -2,13 +2,14 @@
 
 Skew. Adaptive execution splits a hot key on either side of an inner join and on
 the streamed side of an outer, semi or anti join, as long as both sides reach the
-join through their own exchange. Two things here keep that true or fill the gap:
-
-* The inner side of a semi or anti join is reduced to distinct keys, merged on the
-  map side. Its aggregation would feed the join without an exchange, so the join
-  also compares a hash of the keys, which gives both sides one (``_matchable``).
-* An outer join cannot split the side it does not stream. ``hot`` names such a
-  side; the join is then the union of an inner join and of anti joins padded with
+join through an exchange of their own. Two things here keep that true or fill the gap:
+
+* A side that was grouped or joined by the same keys before would enter the join
+  without an exchange. Comparing a hash of the keys as well gives both sides one
+  (``_matchable``). Semi and anti joins always do so, since their inner side is
+  reduced to distinct keys first; other joins do where ``hot`` is given.
+* An outer join cannot split the side it does not stream. Where ``hot`` names such a
+  side, the join becomes the union of an inner join and of anti joins padded with
   NULLs, all of which can be split.
 """
 
@@ -48,10 +49,6 @@ JOIN_TYPES = {
 }
 # Key types whose hash is the same for all values that compare equal.
 _HASHABLE = (
-    T.ByteType,
-    T.ShortType,
-    T.IntegerType,
-    T.LongType,
     T.DecimalType,
     T.DateType,
     T.TimestampType,
@@ -94,8 +91,8 @@ def join(
     looked at first. By default all columns are kept, which must then differ.
 
     ``hot`` is ``"left"``, ``"right"`` or ``"both"``: a side on which one key may
-    hold a large share of the rows although the join type does not stream it. The
-    result is the same, see the module text. It needs key pairs.
+    hold a large share of the rows. It changes the plan, not the result, see the
+    module text, and needs key pairs.
     """
     kind = join_type(how)
     pairs = _pairs(on)
@@ -109,10 +106,12 @@ def join(
     _check_keys(left, right, pairs)
     if kind in ("left_semi", "left_anti"):
         return _existence(left, right, pairs, kind, outputs)
-    hidden = {"left": ("right", "both"), "right": ("left", "both"), "full": ("left", "right", "both")}
-    if hot in hidden.get(kind, ()):
-        return _outer_in_parts(left, right, pairs, kind, outputs)
-    return _plain(left, right, _equal(pairs), kind, outputs)
+    if hot is None:
+        return _plain(left, right, _equal(pairs), kind, outputs)
+    streamed = {"inner": ("left", "right", "both"), "left": ("left",), "right": ("right",)}
+    if hot in streamed.get(kind, ()):
+        return _plain(*_matchable(left, right, pairs), kind, outputs)
+    return _outer_in_parts(left, right, pairs, kind, outputs)
 
 
 def lookup(
@@ -207,29 +206,39 @@ def _plain(left, right, condition, kind, outputs) -> DataFrame:
 
 def _existence(left, right, pairs, kind, outputs) -> DataFrame:
     keys = right.select(*[as_column(r) for _, r in pairs]).distinct()
-    left, keys, condition = _matchable(left, keys, pairs)
-    return _plain(left, keys, condition, kind, outputs)
+    return _plain(*_matchable(left, keys, pairs), kind, outputs)
 
 
-def _matchable(left, keys, pairs):
+def _matchable(left, right, pairs) -> tuple[DataFrame, DataFrame, Column]:
     """Both sides with a hash of their keys, and the condition that compares it too.
 
-    The hash adds nothing to the result. It makes Spark exchange the already
-    grouped keys once more, next to the other side, where adaptive execution sees
-    both sizes and can split a hot key. Where the key types of the two sides
-    differ their hashes would too, so the sides are left as they are.
+    The hash adds nothing to the result. It makes Spark exchange both sides next to
+    each other even where one is already grouped by the keys, so that adaptive
+    execution sees both sizes and can split a hot key. Where a value may have
+    different hashes on the two sides they are left as they are.
     """
-    left_types = [left.schema[_actual(left, l)].dataType for l, _ in pairs]
-    right_types = [keys.schema[_actual(keys, r)].dataType for _, r in pairs]
-    same = all(
-        a == b and (isinstance(a, _HASHABLE) or a == T.StringType())
-        for a, b in zip(left_types, right_types)
-    )
-    if not same:
-        return left, keys, _equal(pairs)
-    left = left.withColumn(_HASH, F.xxhash64(*[as_column(l) for l, _ in pairs]))
-    keys = keys.withColumn(_HASH, F.xxhash64(*[as_column(r) for _, r in pairs]))
-    return left, keys, _equal(list(pairs) + [(_HASH, _HASH)])
+    hashed = [
+        _hash_inputs(as_column(l), _type(left, l), as_column(r), _type(right, r)) for l, r in pairs
+    ]
+    if not all(hashed):
+        return left, right, _equal(pairs)
+    left = left.withColumn(_HASH, F.xxhash64(*[l for l, _ in hashed]))
+    right = right.withColumn(_HASH, F.xxhash64(*[r for _, r in hashed]))
+    return left, right, _equal([*pairs, (_HASH, _HASH)])
+
+
+def _hash_inputs(left: Column, left_type, right: Column, right_type):
+    if isinstance(left_type, T.IntegralType) and isinstance(right_type, T.IntegralType):
+        return left.cast("bigint"), right.cast("bigint")
+    if left_type == right_type and (
+        isinstance(left_type, _HASHABLE) or left_type == T.StringType()
+    ):
+        return left, right
+    return None
+
+
+def _type(df: DataFrame, name: str) -> T.DataType:
+    return df.schema[_actual(df, name)].dataType
 
 
 def _actual(df: DataFrame, name: str) -> str:
@@ -237,7 +246,7 @@ def _actual(df: DataFrame, name: str) -> str:
 
 
 def _outer_in_parts(left, right, pairs, kind, outputs) -> DataFrame:
-    result = _plain(left, right, _equal(pairs), "inner", outputs)
+    result = _plain(*_matchable(left, right, pairs), "inner", outputs)
     if kind in ("left", "full"):
         result = result.unionAll(_unmatched("left", left, right, pairs, outputs))
     if kind in ("right", "full"):
@@ -256,7 +265,7 @@ def _unmatched(side, df, other, pairs, outputs) -> DataFrame:
         *[
             as_column(name)
             if s == side
-            else F.lit(None).cast(other.schema[_actual(other, c)].dataType).alias(name)
+            else F.lit(None).cast(_type(other, c)).alias(name)
             for s, c, name in outputs
         ]
     )

@@ -33,7 +33,9 @@ class Tables:
         self.directory = directory.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.directory}/{name}.parquet", schema="parquet")
+        df = read_table(self.spark, f"{self.directory}/{name}.parquet", schema="parquet")
+        setattr(self, name, df)
+        return df
 
 
 def query(sql: str):
@@ -429,7 +431,8 @@ def lookup_derived(t):
         ],
     )
     orders = source_view(t.orders, ["o_orderkey", "o_custkey"])
-    return lookup(orders, totals, ("o_custkey", "o_custkey"), ["n_orders", "total"])
+    on = ("o_custkey", "o_custkey")
+    return lookup(orders, totals, on, ["n_orders", "total"], hot="left")
 
 
 # Aggregation

@@ -1,0 +1,194 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import AnalysisException, ArithmeticException, NumberFormatException
+from pyspark.sql import functions as F
+
+from tablewright.functions import Declared, declared_columns, spark_type, standardize_name
+from tablewright.operators.aggregates import summarize
+from tablewright.operators.columns import cast_failures, conform, derive, map_columns, source_view
+from tablewright.operators.rows import keep
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+@pytest.mark.parametrize(
+    "declared, expected",
+    [
+        (("integer",), "INT"),
+        ((" Int ",), "INT"),
+        (("bigint",), "BIGINT"),
+        (("real",), "DOUBLE"),
+        (("float",), "FLOAT"),
+        (("decimal",), "DECIMAL(18,2)"),
+        (("numeric", "10", "4"), "DECIMAL(10,4)"),
+        (("decimal", "many", None), "DECIMAL(18,2)"),
+        (("decimal", 9, "few"), "DECIMAL(9,2)"),
+        (("decimal(12,3)",), "DECIMAL(12,3)"),
+        (("varchar", 20), "STRING"),
+        (("clob",), "STRING"),
+        (("bool",), "BOOLEAN"),
+        (("datetime",), "TIMESTAMP"),
+        (("timestamp_ntz",), "TIMESTAMP_NTZ"),
+        (("time",), "STRING"),
+        (("binary",), "BINARY"),
+        (("array",), "STRING"),
+        (("interval year",), "STRING"),
+    ],
+)
+def test_spark_type(declared, expected):
+    assert spark_type(*declared) == expected
+
+
+def test_declarations_may_be_mappings_tuples_or_names():
+    columns = declared_columns(
+        [
+            {"name": "a", "datatype": "DECIMAL", "precision": "5", "scale": None},
+            {"column": "b", "type": "int"},
+            {"datatype": "int"},
+            ("c",),
+            "d",
+        ]
+    )
+    assert [(c.name, c.spark_type) for c in columns] == [
+        ("a", "DECIMAL(5,2)"),
+        ("b", "INT"),
+        ("c", "STRING"),
+        ("d", "STRING"),
+    ]
+
+
+@pytest.mark.parametrize("columns", [None, [], [{"datatype": "int"}], ["a", ("A", "int")]])
+def test_declaration_without_columns_or_with_one_twice_is_an_error(columns):
+    with pytest.raises(ValueError):
+        declared_columns(columns)
+
+
+def test_source_view_keeps_all_or_the_declared_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, `b c` int")
+    assert source_view(df).columns == ["a", "b c"]
+    assert source_view(df, ["b c"]).columns == ["b c"]
+
+
+def test_map_columns_in_link_order(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, `b.c` int")
+    mapped = map_columns(df, [("b.c", "x"), ("a", None), (None, "y")])
+    assert mapped.columns == ["x", "a"]
+    assert rows(mapped) == [(2, 1)]
+    with pytest.raises(ValueError, match="more than once"):
+        map_columns(df, [("a", "x"), ("b.c", "X")])
+    with pytest.raises(ValueError, match="linked"):
+        map_columns(df, [])
+
+
+def test_derive_sees_earlier_columns_and_overwrites(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    derived = derive(
+        df,
+        [
+            ("c", "a + b"),
+            ("d", "c * 10"),
+            ("a", "d + 1"),
+            ("e", "a + 1"),
+            ("E2", F.col("e") * 2),
+            ("b", "7"),
+            ("f", "named_struct('x', array(*))"),
+        ],
+    )
+    assert derived.columns == ["a", "b", "c", "d", "e", "E2", "f"]
+    assert rows(derived.select("a", "b", "c", "d", "e", "E2")) == [(31, 7, 3, 30, 32, 64)]
+    assert rows(derived.select("f.x"))[0][0] == [31, 7, 3, 30, 32, 64]
+
+
+def test_derive_overwrites_a_column_twice(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    assert rows(derive(df, [("a", "a + 1"), ("A", "a * 10"), ("`b", "1"), ("c", "2")])) == [
+        (20, 1, 2)
+    ]
+
+
+def test_independent_expressions_become_one_projection(spark):
+    df = spark.range(1)
+    many = derive(df, [(f"x_{i:03}", f"id + {i}") for i in range(300)])
+    plan = many._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Project") == 1
+    assert many.first()["x_299"] == 299
+
+
+def test_expressions_are_taken_whole(spark):
+    df = spark.createDataFrame([(" ann ",)], "n string")
+    derived = derive(df, [("x", "UPPER(n) || '_X'"), ("y", standardize_name("n"))])
+    assert rows(derived) == [(" ann ", " ANN _X", "ANN")]
+
+
+def test_keep_drops_null_and_joins_lines(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "a int")
+    assert rows(keep(df, "a\n > \r\n1")) == [(3,)]
+    assert rows(keep(df, F.col("a") < 3)) == [(1,)]
+    for nothing in (None, "", " \n "):
+        with pytest.raises(ValueError, match="predicate"):
+            keep(df, nothing)
+
+
+def test_conform_casts_in_declared_order(spark):
+    df = spark.createDataFrame([("1", 2.345, "2020-01-02", "x")], "a string, b double, c string, d string")
+    done = conform(df, [("c", "date"), ("a", "integer"), ("b", "decimal")])
+    assert done.dtypes == [("c", "date"), ("a", "int"), ("b", "decimal(18,2)")]
+    assert rows(done) == [(date(2020, 1, 2), 1, Decimal("2.35"))]
+    with pytest.raises(ValueError, match="absent"):
+        conform(df, ["zz"])
+
+
+def test_conform_bad_values(spark):
+    df = spark.createDataFrame([("1", 1e9), ("one", 1.0), (None, 2.0)], "a string, b double")
+    declared = [("a", "int"), ("b", "smallint")]
+    with pytest.raises((NumberFormatException, ArithmeticException)):
+        conform(df, declared).collect()
+    assert rows(conform(df, declared, on_error="null")) == [(1, None), (None, 1), (None, 2)]
+    assert rows(cast_failures(df, declared)) == [("a", 1), ("b", 1)]
+    with pytest.raises(ValueError, match="on_error"):
+        conform(df, declared, on_error="skip")
+
+
+def test_summarize(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 2.0), ("a", None, 4.0), ("b", 3, 3.0), (None, 5, 1.0)], "g string, n int, x double"
+    )
+    result = summarize(
+        df,
+        " g ,, ",
+        [
+            ("all_rows", "COUNT(*)"),
+            ("n_rows", "count(n)"),
+            ("total", "sum(n * x) / 2"),
+            ("kinds", "count(DISTINCT x)"),
+            ("mid", "median(x)"),
+            ("top", F.max("x")),
+        ],
+    )
+    assert result.columns == ["g", "all_rows", "n_rows", "total", "kinds", "mid", "top"]
+    assert sorted(rows(result), key=repr) == [
+        ("a", 2, 1, 1.0, 2, 3.0, 4.0),
+        ("b", 1, 1, 4.5, 1, 3.0, 3.0),
+        (None, 1, 1, 2.5, 1, 1.0, 1.0),
+    ]
+
+
+def test_summarize_errors(spark):
+    df = spark.range(1)
+    for by in (None, "", " , ", []):
+        with pytest.raises(ValueError, match="group keys"):
+            summarize(df, by, [("n", "count(*)")])
+    with pytest.raises(ValueError, match="aggregate expressions"):
+        summarize(df, "id", [])
+    with pytest.raises(ValueError, match="more than once"):
+        summarize(df, "id", [("ID", "count(*)")])
+    with pytest.raises(AnalysisException):
+        summarize(df, "nope", [("n", "count(*)")])
+
+
+def test_declared_is_a_tuple():
+    assert Declared("a") == ("a", "STRING", None, None)
