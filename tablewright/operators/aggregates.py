@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import as_column
+from tablewright.functions.text import quoted
 from tablewright.operators.columns import distinct_names, one_line
 
 
@@ -33,7 +33,7 @@ def summarize(
         raise ValueError("aggregation has no group keys")
     if not columns:
         raise ValueError("aggregation has no aggregate expressions")
-    result = df.groupBy(*map(as_column, keys)).agg(*columns)
+    result = df.groupBy(*map(quoted, keys)).agg(*columns)
     distinct_names(result.columns)
     return result
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import as_column, comparable_text
+from tablewright.functions.text import as_column, comparable_text, quoted
 from tablewright.functions.types import declared_columns
 from tablewright.operators.aggregates import group_keys
 from tablewright.operators.columns import rows_of
@@ -63,7 +63,7 @@ def verify_target(spark: SparkSession, full_name: str, declared: Iterable) -> Da
 def unique(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     """Values that occur more than once, with their number of rows as ``occurrences``."""
     columns = _named(columns)
-    grouped = df.groupBy(*map(as_column, columns)).agg(F.count("*").alias("occurrences"))
+    grouped = df.groupBy(*map(quoted, columns)).agg(F.count("*").alias("occurrences"))
     return grouped.filter("occurrences > 1")
 
 
@@ -114,13 +114,11 @@ def set_diff(a: DataFrame, b: DataFrame, columns: str | Sequence[str]) -> DataFr
     ``extra`` if only ``b`` has. One aggregation over both tables, no join.
     """
     columns = _named(columns)
-    picked = [as_column(c) for c in columns]
-    both = a.select(*picked, F.lit(1).alias("__sides")).unionAll(
-        b.select(*picked, F.lit(2).alias("__sides"))
-    )
+    picked = [quoted(c) for c in columns]
+    both = a.selectExpr(*picked, "1 AS __sides").unionAll(b.selectExpr(*picked, "2 AS __sides"))
     seen = both.groupBy(*picked).agg(F.bit_or("__sides").alias("__sides"))
-    tag = F.when(F.col("__sides") == 1, "missing").otherwise("extra")
-    return seen.filter("__sides < 3").select(*picked, tag.alias("difference"))
+    tag = "CASE WHEN __sides = 1 THEN 'missing' ELSE 'extra' END AS difference"
+    return seen.filter("__sides < 3").selectExpr(*picked, tag)
 
 
 def summary(rules: Iterable[tuple[str, str, DataFrame]]) -> DataFrame:

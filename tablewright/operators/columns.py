@@ -8,13 +8,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.text import as_column
+from tablewright.functions.text import quoted
 from tablewright.functions.types import Declared, declared_columns
 
 
 def source_view(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The declared columns of a source, or all of them."""
-    return df if columns is None else df.select(*map(as_column, columns))
+    return df if columns is None else df.select(*map(quoted, columns))
 
 
 def map_columns(df: DataFrame, links: Iterable[tuple[str, str | None]]) -> DataFrame:
@@ -26,7 +26,7 @@ def map_columns(df: DataFrame, links: Iterable[tuple[str, str | None]]) -> DataF
     if not links:
         raise ValueError("no column is linked to the target")
     distinct_names([target for _, target in links])
-    return df.select(*[as_column(source).alias(target) for source, target in links])
+    return df.selectExpr(*[f"{quoted(source)} AS {quoted(target)}" for source, target in links])
 
 
 def derive(df: DataFrame, expressions: Iterable[tuple[str, str | Column]]) -> DataFrame:
@@ -52,11 +52,11 @@ def conform(df: DataFrame, declared: Iterable, on_error: str = "raise") -> DataF
     """
     if on_error not in ("raise", "null"):
         raise ValueError(f"on_error must be 'raise' or 'null', not {on_error!r}")
-    declared = _present(df, declared)
-    return df.select(
+    cast = "CAST" if on_error == "raise" else "TRY_CAST"
+    return df.selectExpr(
         *[
-            (_cast(c) if on_error == "raise" else _try_cast(c)).alias(c.name)
-            for c in declared
+            f"{cast}({quoted(c.name)} AS {c.spark_type}) AS {quoted(c.name)}"
+            for c in _present(df, declared)
         ]
     )
 
@@ -64,12 +64,11 @@ def conform(df: DataFrame, declared: Iterable, on_error: str = "raise") -> DataF
 def cast_failures(df: DataFrame, declared: Iterable) -> DataFrame:
     """Per declared column, the number of values that do not fit its type (one pass)."""
     declared = _present(df, declared)
-    counts = df.agg(
-        *[
-            F.count_if(as_column(c.name).isNotNull() & _try_cast(c).isNull()).alias(f"n{i}")
-            for i, c in enumerate(declared)
-        ]
-    )
+    failed = [
+        F.count_if(F.col(column).isNotNull() & F.col(column).try_cast(c.spark_type).isNull())
+        for c, column in ((c, quoted(c.name)) for c in declared)
+    ]
+    counts = df.agg(*[n.alias(f"n{i}") for i, n in enumerate(failed)])
     return rows_of(
         counts,
         ["column_name", "failed_rows"],
@@ -112,11 +111,3 @@ def _present(df: DataFrame, declared: Iterable) -> list[Declared]:
     if absent:
         raise ValueError(f"declared columns are absent from the data: {absent}")
     return declared
-
-
-def _cast(column: Declared) -> Column:
-    return as_column(column.name).cast(column.spark_type)
-
-
-def _try_cast(column: Declared) -> Column:
-    return as_column(column.name).try_cast(column.spark_type)

@@ -16,13 +16,12 @@ join through an exchange of their own. Two things here keep that true or fill th
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.text import as_column, quoted
+from tablewright.functions.text import quoted
 from tablewright.operators.columns import distinct_names, one_line
 
 # Accepted join names -> Spark join types. A cross join always comes
@@ -152,11 +151,7 @@ def _condition(on: str | Column) -> Column:
 
 
 def _equal(pairs: Sequence[Pair]) -> Column:
-    return reduce(Column.__and__, [_side("left", l) == _side("right", r) for l, r in pairs])
-
-
-def _side(side: str, column: str) -> Column:
-    return F.col(f"{side}.{quoted(column)}")
+    return F.expr(" AND ".join(f"left.{quoted(l)} = right.{quoted(r)}" for l, r in pairs))
 
 
 def _outputs(left, right, select, kind) -> list[tuple[str, str, str]]:
@@ -201,11 +196,11 @@ def _check_keys(left: DataFrame, right: DataFrame, pairs: Sequence[Pair]) -> Non
 
 def _plain(left, right, condition, kind, outputs) -> DataFrame:
     joined = left.alias("left").join(right.alias("right"), condition, kind)
-    return joined.select(*[_side(side, c).alias(name) for side, c, name in outputs])
+    return joined.selectExpr(*[f"{side}.{quoted(c)} AS {quoted(name)}" for side, c, name in outputs])
 
 
 def _existence(left, right, pairs, kind, outputs) -> DataFrame:
-    keys = right.select(*[as_column(r) for _, r in pairs]).distinct()
+    keys = right.select(*[quoted(r) for _, r in pairs]).distinct()
     return _plain(*_matchable(left, keys, pairs), kind, outputs)
 
 
@@ -217,23 +212,25 @@ def _matchable(left, right, pairs) -> tuple[DataFrame, DataFrame, Column]:
     execution sees both sizes and can split a hot key. Where a value may have
     different hashes on the two sides they are left as they are.
     """
-    hashed = [
-        _hash_inputs(as_column(l), _type(left, l), as_column(r), _type(right, r)) for l, r in pairs
-    ]
+    hashed = [_hash_inputs(l, _type(left, l), r, _type(right, r)) for l, r in pairs]
     if not all(hashed):
         return left, right, _equal(pairs)
-    left = left.withColumn(_HASH, F.xxhash64(*[l for l, _ in hashed]))
-    right = right.withColumn(_HASH, F.xxhash64(*[r for _, r in hashed]))
+
+    def with_hash(df: DataFrame, inputs) -> DataFrame:
+        return df.selectExpr("*", f"xxhash64({', '.join(inputs)}) AS {_HASH}")
+
+    left = with_hash(left, [l for l, _ in hashed])
+    right = with_hash(right, [r for _, r in hashed])
     return left, right, _equal([*pairs, (_HASH, _HASH)])
 
 
-def _hash_inputs(left: Column, left_type, right: Column, right_type):
+def _hash_inputs(left: str, left_type, right: str, right_type) -> tuple[str, str] | None:
     if isinstance(left_type, T.IntegralType) and isinstance(right_type, T.IntegralType):
-        return left.cast("bigint"), right.cast("bigint")
+        return f"bigint({quoted(left)})", f"bigint({quoted(right)})"
     if left_type == right_type and (
         isinstance(left_type, _HASHABLE) or left_type == T.StringType()
     ):
-        return left, right
+        return quoted(left), quoted(right)
     return None
 
 
@@ -261,11 +258,11 @@ def _unmatched(side, df, other, pairs, outputs) -> DataFrame:
     # The first key stands in where the output keeps no column of this side.
     kept = kept or [(pairs[0][0], _HASH)]
     alone = _existence(df, other, pairs, "left_anti", [("left", c, n) for c, n in kept])
-    return alone.select(
+    return alone.selectExpr(
         *[
-            as_column(name)
+            quoted(name)
             if s == side
-            else F.lit(None).cast(_type(other, c)).alias(name)
+            else f"CAST(NULL AS {_type(other, c).simpleString()}) AS {quoted(name)}"
             for s, c, name in outputs
         ]
     )

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.text import as_column, comparable_text
+from tablewright.functions.text import quoted
 from tablewright.operators.aggregates import group_keys
 
 # Products of two row counts do not fit a BIGINT.
@@ -36,12 +36,10 @@ def compare_schema(expected: DataFrame, actual: DataFrame) -> bool:
 
 def compare_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """One row: the row count of each side and PASS or FAIL."""
-    counts = _tagged(expected.select(), actual.select()).agg(
-        _total("e").alias("expected_row_count"), _total("a").alias("actual_row_count")
-    )
-    return counts.withColumn(
-        "row_count_validation",
-        _pass_if(F.col("expected_row_count") == F.col("actual_row_count")),
+    return _row_counts(expected, actual).selectExpr(
+        "e AS expected_row_count",
+        "a AS actual_row_count",
+        f"{_pass_if('e = a')} AS row_count_validation",
     )
 
 
@@ -58,7 +56,7 @@ def extra_keys(expected: DataFrame, actual: DataFrame, keys: str | Sequence[str]
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows as ``key_rows``."""
     keys = _required_keys(keys, df)
-    grouped = df.groupBy(*map(as_column, keys)).agg(F.count("*").alias("key_rows"))
+    grouped = df.groupBy(*map(quoted, keys)).agg(F.count("*").alias("key_rows"))
     return grouped.filter("key_rows > 1")
 
 
@@ -73,11 +71,11 @@ def mismatches(
     """
     keys = _comparable(expected, actual, keys)
     per_key = _per_key(_tally(expected, actual, keys, compare), len(keys))
-    return per_key.filter("pairs > 0").select(
+    return per_key.filter("pairs > 0").selectExpr(
         *_keys_back(expected, keys),
-        F.col("e").alias("expected_rows"),
-        F.col("a").alias("actual_rows"),
-        F.col("pairs").alias("mismatched_pairs"),
+        "e AS expected_rows",
+        "a AS actual_rows",
+        "pairs AS mismatched_pairs",
     )
 
 
@@ -91,11 +89,11 @@ def mismatch_rows(
     """
     keys = _comparable(expected, actual, keys)
     values = [c for c in expected.columns if c not in keys]
-    return _suspect(_tally(expected, actual, keys, compare), len(keys)).select(
+    return _suspect(_tally(expected, actual, keys, compare), len(keys)).selectExpr(
         *_keys_back(expected, keys),
-        *[F.col(f"v{i}").alias(c) for i, c in enumerate(values)],
-        F.col("e").alias("expected_rows"),
-        F.col("a").alias("actual_rows"),
+        *[f"v{i} AS {quoted(c)}" for i, c in enumerate(values)],
+        "e AS expected_rows",
+        "a AS actual_rows",
     )
 
 
@@ -112,29 +110,22 @@ def mismatches_by_column(
         raise ValueError("there is no column besides the keys to compare")
     suspect = _suspect(_tally(expected, actual, keys, compare), len(keys))
     ks = _numbered("k", len(keys))
-    cells = suspect.select(
+    texts = ", ".join(_cell(suspect, v) for v in _numbered("v", len(values)))
+    cells = suspect.selectExpr(
         *ks,
         "e",
         "a",
-        F.posexplode(F.array(*[_cell(suspect, v) for v in _numbered("v", len(values))])).alias(
-            "column_no", "cell"
-        ),
-    )
-    per_cell = cells.groupBy(*ks, "column_no", "cell").agg(
-        F.sum("e").alias("e"), F.sum("a").alias("a")
+        f"posexplode(array({texts})) AS (column_no, cell)",
     )
-    per_column = _pairs_of(per_cell, [*ks, "column_no"])
-    found = per_column.groupBy("column_no").agg(F.sum("pairs").alias("pairs"))
-    names = F.array(*[F.lit(c) for c in values])
-    every = expected.sparkSession.range(1).select(
-        F.posexplode(names).alias("column_no", "column_name"), F.lit(0).cast(_PAIRS).alias("pairs")
-    )
-    found = found.select("column_no", names[F.col("column_no")].alias("column_name"), "pairs")
-    return (
-        every.unionAll(found)
-        .groupBy("column_no", "column_name")
-        .agg(F.sum("pairs").cast(_PAIRS).alias("mismatched_pairs"))
-        .select("column_name", "mismatched_pairs")
+    per_cell = cells.groupBy(*ks, "column_no", "cell").agg(*_sums())
+    found = _pairs_of(per_cell, [*ks, "column_no"]).select("column_no", "pairs")
+    # One row for each column, so that those without a difference are reported too.
+    numbers = f"explode(sequence(0, {len(values) - 1})) AS column_no"
+    every = expected.sparkSession.range(1).selectExpr(numbers, f"CAST(0 AS {_PAIRS}) AS pairs")
+    totals = every.unionAll(found).groupBy("column_no").agg(F.sum("pairs").alias("pairs"))
+    return totals.select(
+        F.lit(values)[F.col("column_no")].alias("column_name"),
+        F.col("pairs").cast(_PAIRS).alias("mismatched_pairs"),
     )
 
 
@@ -154,10 +145,8 @@ def report(
     """
     if expected is None or actual is None:
         name = "expected" if expected is None else "actual"
-        return _report_row(
-            SparkSession.active().range(1), "SKIPPED", F.lit("SKIPPED"), F.lit("FAIL"),
-            [F.lit(f"there is no {name} table")],
-        )
+        nothing = SparkSession.active().range(1).select()
+        return _report_row(nothing, False, "FAIL", [f"there is no {name} table"])
     keys = group_keys(keys)
     errors = []
     same = compare_schema(expected, actual)
@@ -170,70 +159,78 @@ def report(
     errors += [f"the {name} table lacks the keys {lost}" for name, lost in absent.items() if lost]
     if not keys:
         errors.append("no keys are given")
-
-    comparable = same and keys and not any(absent.values())
-    if comparable:
-        totals = _totals(_tally(expected, actual, keys, compare), len(keys))
-        clean = (F.col("missing") == 0) & (F.col("extra") == 0) & (F.col("mismatched") == 0)
-        data = _pass_if(clean)
-    else:
-        totals = _tagged(expected.select(), actual.select()).agg(
-            _total("e").alias("e"), _total("a").alias("a")
-        )
-        data = F.lit("FAIL" if not keys or any(absent.values()) else "SKIPPED")
-    counts = _pass_if(F.col("e") == F.col("a"))
-    uneven = F.when(
-        F.col("e") != F.col("a"),
-        F.concat(F.lit("row counts differ: expected "), "e", F.lit(", actual "), "a"),
-    )
-    return _report_row(
-        totals, "PASS" if same else "FAIL", counts, data, [*map(F.lit, errors), uneven]
-    )
+    if not keys or any(absent.values()):
+        return _report_row(_row_counts(expected, actual), same, "FAIL", errors)
+    if not same:
+        return _report_row(_row_counts(expected, actual), same, "SKIPPED", errors)
+    totals = _totals(_tally(expected, actual, keys, compare), len(keys))
+    return _report_row(totals, same, None, errors)
 
 
-def _report_row(totals, schema: str, counts: Column, data: Column, errors: list) -> DataFrame:
+def _report_row(totals: DataFrame, same: bool, data: str | None, errors: list) -> DataFrame:
+    """The report on counts; ``data`` is the data verdict where nothing was compared."""
     have = totals.columns
+    schema = "PASS" if same else "FAIL"
+    if "e" in have:
+        counts = _pass_if("e = a")
+        uneven = "CASE WHEN e <> a THEN concat('row counts differ: expected ', e, ', actual ', a) END"
+    else:
+        schema, counts, uneven = "SKIPPED", "'SKIPPED'", "CAST(NULL AS string)"
+    if data is None:
+        data = _pass_if("missing = 0 AND extra = 0 AND mismatched = 0")
+        twice = "twice_e > 0 OR twice_a > 0"
+    else:
+        data, twice = f"'{data}'", "false"
 
-    def number(name: str, kind: str = "bigint") -> Column:
-        return (F.col(name) if name in have else F.lit(None)).cast(kind)
+    def number(name: str, alias: str, kind: str = "bigint") -> Column:
+        return F.expr(f"CAST({name if name in have else 'NULL'} AS {kind}) AS {alias}")
 
-    twice = (number("twice_e") > 0) | (number("twice_a") > 0)
-    ok = (F.lit(schema) == "PASS") & (counts == "PASS") & (data == "PASS")
+    overall = _pass_if(f"'{schema}' = 'PASS' AND {counts} = 'PASS' AND {data} = 'PASS'")
+    known = F.array(*map(F.lit, errors), F.expr(uneven))
     return totals.select(
-        F.lit(schema).alias("schema_validation"),
-        counts.alias("row_count_validation"),
-        data.alias("data_validation"),
-        _pass_if(ok).alias("overall_status"),
-        number("e").alias("expected_row_count"),
-        number("a").alias("actual_row_count"),
-        number("missing").alias("missing_rows"),
-        number("extra").alias("extra_rows"),
-        number("mismatched", _PAIRS).alias("mismatched_rows"),
-        number("twice_e").alias("duplicate_expected_keys"),
-        number("twice_a").alias("duplicate_actual_keys"),
-        F.array_compact(F.array(*errors)).alias("errors"),
-        F.array_compact(F.array(F.when(twice, F.lit("some keys occur more than once")))).alias(
-            "warnings"
+        F.expr(f"'{schema}' AS schema_validation"),
+        F.expr(f"{counts} AS row_count_validation"),
+        F.expr(f"{data} AS data_validation"),
+        F.expr(f"{overall} AS overall_status"),
+        number("e", "expected_row_count"),
+        number("a", "actual_row_count"),
+        number("missing", "missing_rows"),
+        number("extra", "extra_rows"),
+        number("mismatched", "mismatched_rows", _PAIRS),
+        number("twice_e", "duplicate_expected_keys"),
+        number("twice_a", "duplicate_actual_keys"),
+        F.array_compact(known).alias("errors"),
+        F.expr(
+            f"array_compact(array(CASE WHEN {twice} THEN 'some keys occur more than once' END))"
+            " AS warnings"
         ),
     )
 
 
-def _pass_if(condition: Column) -> Column:
-    return F.when(condition, F.lit("PASS")).otherwise(F.lit("FAIL"))
+def _row_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    return _tagged(expected.select(), actual.select()).agg(*_side_totals())
+
 
+def _pass_if(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 'PASS' ELSE 'FAIL' END"
 
-def _total(side: str) -> Column:
-    return F.coalesce(F.sum(side), F.lit(0).cast("bigint"))
+
+def _sums() -> list[Column]:
+    return [F.sum("e").alias("e"), F.sum("a").alias("a")]
+
+
+def _side_totals() -> list[Column]:
+    return [F.expr("coalesce(sum(e), 0L) AS e"), F.expr("coalesce(sum(a), 0L) AS a")]
 
 
 def _numbered(prefix: str, n: int) -> list[str]:
     return [f"{prefix}{i}" for i in range(n)]
 
 
-def _cell(tally: DataFrame, value: str) -> Column:
+def _cell(tally: DataFrame, value: str) -> str:
     """A compared value as text; equal texts mean equal values."""
     instant = isinstance(tally.schema[value].dataType, T.TimestampType)
-    return (F.unix_micros(value) if instant else F.col(value)).cast("string")
+    return f"string(unix_micros({value}))" if instant else f"string({value})"
 
 
 def _required_keys(keys, *tables: DataFrame) -> list[str]:
@@ -256,9 +253,8 @@ def _comparable(expected: DataFrame, actual: DataFrame, keys) -> list[str]:
 
 def _tagged(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Both tables one above the other, with ``e`` = 1 or ``a`` = 1 telling the side."""
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    return expected.select("*", one.alias("e"), none.alias("a")).unionAll(
-        actual.select("*", none.alias("e"), one.alias("a"))
+    return expected.selectExpr("*", "1L AS e", "0L AS a").unionAll(
+        actual.selectExpr("*", "0L AS e", "1L AS a")
     )
 
 
@@ -267,17 +263,18 @@ def _one_sided(having: DataFrame, lacking: DataFrame, keys) -> DataFrame:
     ks = _numbered("k", len(keys))
 
     def named(df: DataFrame) -> DataFrame:
-        return df.select(*[as_column(k).alias(n) for k, n in zip(keys, ks)])
+        return df.selectExpr(*[f"{quoted(k)} AS {n}" for k, n in zip(keys, ks)])
 
     # Whether a key occurs is all that matters, so one flag per side is enough.
     seen = _tagged(named(having), named(lacking)).groupBy(*ks).agg(F.max("a").alias("a"))
-    return seen.filter("a = 0").select(*_keys_back(having, keys))
+    return seen.filter("a = 0").selectExpr(*_keys_back(having, keys))
 
 
-def _keys_back(table: DataFrame, keys: Sequence[str]) -> list[Column]:
+def _keys_back(table: DataFrame, keys: Sequence[str]) -> list[str]:
     """Key columns under their names and, after the union, in the types of ``table``."""
     return [
-        F.col(f"k{i}").cast(table.schema[key].dataType).alias(key) for i, key in enumerate(keys)
+        f"CAST(k{i} AS {table.schema[key].dataType.simpleString()}) AS {quoted(key)}"
+        for i, key in enumerate(keys)
     ]
 
 
@@ -289,10 +286,10 @@ def _tally(expected: DataFrame, actual: DataFrame, keys: Sequence[str], compare:
     as_text = [compare == "text" or _textual(expected, actual, c) for c in values]
 
     def named(df: DataFrame) -> DataFrame:
-        return df.select(
-            *[as_column(k).alias(f"k{i}") for i, k in enumerate(keys)],
+        return df.selectExpr(
+            *[f"{quoted(k)} AS k{i}" for i, k in enumerate(keys)],
             *[
-                (comparable_text(c) if text else as_column(c)).alias(f"v{i}")
+                (f"trim(string({quoted(c)})) AS v{i}" if text else f"{quoted(c)} AS v{i}")
                 for i, (c, text) in enumerate(zip(values, as_text))
             ],
         )
@@ -300,7 +297,7 @@ def _tally(expected: DataFrame, actual: DataFrame, keys: Sequence[str], compare:
     return (
         _tagged(named(expected), named(actual))
         .groupBy(*_numbered("k", len(keys)), *_numbered("v", len(values)))
-        .agg(F.sum("e").alias("e"), F.sum("a").alias("a"))
+        .agg(*_sums())
     )
 
 
@@ -314,11 +311,9 @@ def _textual(expected: DataFrame, actual: DataFrame, column: str) -> bool:
 
 def _pairs_of(counted: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per group: rows of each side, distinct rows, and pairs of differing rows."""
-    product = F.col("e").cast(_COUNT) * F.col("a").cast(_COUNT)
-    grouped = counted.groupBy(*by).agg(
-        F.sum("e").alias("e"), F.sum("a").alias("a"), F.sum(product).alias("equal")
-    )
-    return grouped.withColumn("pairs", (product - F.col("equal")).cast(_PAIRS))
+    product = f"CAST(e AS {_COUNT}) * CAST(a AS {_COUNT})"
+    grouped = counted.groupBy(*by).agg(*_sums(), F.expr(f"sum({product}) AS equal"))
+    return grouped.selectExpr("*", f"CAST({product} - equal AS {_PAIRS}) AS pairs")
 
 
 def _per_key(tally: DataFrame, n_keys: int) -> DataFrame:
@@ -327,13 +322,12 @@ def _per_key(tally: DataFrame, n_keys: int) -> DataFrame:
 
 def _totals(tally: DataFrame, n_keys: int) -> DataFrame:
     return _per_key(tally, n_keys).agg(
-        _total("e").alias("e"),
-        _total("a").alias("a"),
-        F.count_if(F.col("a") == 0).alias("missing"),
-        F.count_if(F.col("e") == 0).alias("extra"),
-        F.coalesce(F.sum("pairs"), F.lit(0)).cast(_PAIRS).alias("mismatched"),
-        F.count_if(F.col("e") > 1).alias("twice_e"),
-        F.count_if(F.col("a") > 1).alias("twice_a"),
+        *_side_totals(),
+        F.expr("count_if(a = 0) AS missing"),
+        F.expr("count_if(e = 0) AS extra"),
+        F.expr(f"CAST(coalesce(sum(pairs), 0) AS {_PAIRS}) AS mismatched"),
+        F.expr("count_if(e > 1) AS twice_e"),
+        F.expr("count_if(a > 1) AS twice_a"),
     )
 
 
@@ -344,10 +338,8 @@ def _suspect(tally: DataFrame, n_keys: int) -> DataFrame:
     more and adaptive execution can split a hot key on the tally side.
     """
     ks = _numbered("k", n_keys)
-    hashed = F.xxhash64(*ks).alias("h")
-    bad = _per_key(tally, n_keys).filter("pairs > 0").select(*ks, hashed).alias("bad")
-    rows = tally.select("*", hashed).alias("rows")
-    condition = F.col("rows.h") == F.col("bad.h")
-    for k in ks:
-        condition = condition & F.col(f"rows.{k}").eqNullSafe(F.col(f"bad.{k}"))
-    return rows.join(bad, condition, "left_semi").drop("h")
+    hashed = f"xxhash64({', '.join(ks)}) AS h"
+    bad = _per_key(tally, n_keys).filter("pairs > 0").selectExpr(*ks, hashed).alias("bad")
+    rows = tally.selectExpr("*", hashed).alias("rows")
+    condition = " AND ".join(["rows.h = bad.h", *[f"rows.{k} <=> bad.{k}" for k in ks]])
+    return rows.join(bad, F.expr(condition), "left_semi").drop("h")
