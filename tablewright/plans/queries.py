@@ -465,15 +465,15 @@ _FLAGS = ["l_returnflag", "l_linestatus"]
 @query(
     """
     SELECT l_returnflag, l_linestatus,
-           CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS quantity,
-           CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS price
+           CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS quantity,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS price
     FROM lineitem GROUP BY l_returnflag, l_linestatus
     """
 )
 def agg_sum(t):
     sums = [
-        ("quantity", "cast(sum(cast(l_quantity AS decimal(12,2))) AS decimal(18,2))"),
-        ("price", "cast(sum(cast(l_extendedprice AS decimal(12,2))) AS decimal(18,2))"),
+        ("quantity", "cast(sum(cast(l_quantity AS decimal(12,2))) AS decimal(38,2))"),
+        ("price", "cast(sum(cast(l_extendedprice AS decimal(12,2))) AS decimal(38,2))"),
     ]
     return summarize(t.lineitem, _FLAGS, sums)
 
@@ -515,7 +515,7 @@ def agg_avg(t):
     SELECT l_returnflag, count(DISTINCT l_suppkey) AS suppliers,
            round(stddev_pop(l_quantity), 6) AS spread,
            CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)))
-                AS DECIMAL(18,4)) AS discounts
+                AS DECIMAL(38,4)) AS discounts
     FROM lineitem GROUP BY l_returnflag
     """
 )
@@ -526,7 +526,7 @@ def agg_sql(t):
         (
             "discounts",
             """cast(sum(cast(l_extendedprice AS decimal(12,2)) * cast(l_discount AS decimal(4,2)))
-                    AS decimal(18,4))""",
+                    AS decimal(38,4))""",
         ),
     ]
     return summarize(t.lineitem, "l_returnflag", aggregates)
@@ -562,7 +562,8 @@ def _actual_orders(t):
     kept = keep(expected, "NOT (st = 'O' AND prio = '1-URGENT')").selectExpr(
         "k",
         "CASE WHEN st = 'F' AND prio = '5-LOW' THEN 'X' ELSE st END AS st",
-        "CASE WHEN st = 'F' AND amt > 450000 THEN amt + 1 ELSE amt END AS amt",
+        "cast(CASE WHEN st = 'F' AND amt > 450000 THEN amt + 1 ELSE amt END"
+        " AS decimal(18,2)) AS amt",
         # Padding alone is no difference.
         "concat(' ', prio) AS prio",
     )
@@ -570,9 +571,7 @@ def _actual_orders(t):
         "-1 - k AS k", "st", "amt", "prio"
     )
     again = keep(expected, "st = 'F' AND amt > 400000")
-    return kept.select("k", "st", F.col("amt").cast("decimal(18,2)").alias("amt"), "prio").unionAll(
-        shifted
-    ).unionAll(again)
+    return kept.unionAll(shifted).unionAll(again)
 
 
 _PAIR = """
@@ -892,10 +891,9 @@ def customer_order_summary(t):
 )
 def load_and_verify_(t):
     tables = (t.customer, t.orders, t.nation, t.region)
-    # One table per application; in the shared folder where the cluster names one.
-    name = "customer_order_summary_" + "".join(
-        c if c.isalnum() else "_" for c in t.spark.sparkContext.applicationId
-    )
+    # One table per application and input; in the shared folder where the cluster names one.
+    run = f"{t.spark.conf.get('spark.app.id')}_{t.directory}"
+    name = "customer_order_summary_" + "".join(c if c.isalnum() else "_" for c in run)
     shared = t.spark.conf.get("spark.checkpoint.dir", None)
     return _flat(
         load_and_verify(
