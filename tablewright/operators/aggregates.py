@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.text import quoted
-from tablewright.operators.columns import distinct_names, one_line
+from tablewright.operators.columns import distinct_names
 
 
 def summarize(
@@ -26,9 +26,7 @@ def summarize(
     not.
     """
     keys = group_keys(by)
-    columns = [
-        (F.expr(one_line(e)) if isinstance(e, str) else e).alias(name) for name, e in aggregates
-    ]
+    columns = [(F.expr(e) if isinstance(e, str) else e).alias(name) for name, e in aggregates]
     if not keys:
         raise ValueError("aggregation has no group keys")
     if not columns:

@@ -40,7 +40,7 @@ def derive(df: DataFrame, expressions: Iterable[tuple[str, str | Column]]) -> Da
     for name, expression in expressions:
         if batch and not _independent(name, expression, batch):
             df, batch = df.withColumns(batch), {}
-        batch[name] = F.expr(one_line(expression)) if isinstance(expression, str) else expression
+        batch[name] = F.expr(expression) if isinstance(expression, str) else expression
     return df.withColumns(batch) if batch else df
 
 

@@ -27,6 +27,9 @@ from tablewright.operators.aggregates import group_keys
 # Products of two row counts do not fit a BIGINT.
 _COUNT = "decimal(19,0)"
 _PAIRS = "decimal(38,0)"
+# Types of which two values are equal just when their texts are.
+_SAME_AS_TEXT = (T.DecimalType, T.DateType, T.TimestampNTZType, T.BooleanType)
+_DATED = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def compare_schema(expected: DataFrame, actual: DataFrame) -> bool:
@@ -85,7 +88,8 @@ def mismatch_rows(
     """The differing rows themselves, for the keys of ``mismatches``.
 
     One row per key and distinct compared values, with the number of rows on each
-    side as ``expected_rows`` and ``actual_rows``; values are as compared.
+    side as ``expected_rows`` and ``actual_rows``. Strings are trimmed, and values of
+    types that are compared by their text are given as text.
     """
     keys = _comparable(expected, actual, keys)
     values = [c for c in expected.columns if c not in keys]
@@ -283,14 +287,14 @@ def _tally(expected: DataFrame, actual: DataFrame, keys: Sequence[str], compare:
     if compare not in ("text", "typed"):
         raise ValueError(f"compare must be 'text' or 'typed', not {compare!r}")
     values = [c for c in expected.columns if c not in keys]
-    as_text = [compare == "text" or _textual(expected, actual, c) for c in values]
+    native = [_native(expected.schema[c].dataType, actual.schema[c].dataType, compare) for c in values]
 
     def named(df: DataFrame) -> DataFrame:
         return df.selectExpr(
             *[f"{quoted(k)} AS k{i}" for i, k in enumerate(keys)],
             *[
-                (f"trim(string({quoted(c)})) AS v{i}" if text else f"{quoted(c)} AS v{i}")
-                for i, (c, text) in enumerate(zip(values, as_text))
+                (f"{quoted(c)} AS v{i}" if as_is else f"trim(string({quoted(c)})) AS v{i}")
+                for i, (c, as_is) in enumerate(zip(values, native))
             ],
         )
 
@@ -301,12 +305,21 @@ def _tally(expected: DataFrame, actual: DataFrame, keys: Sequence[str], compare:
     )
 
 
-def _textual(expected: DataFrame, actual: DataFrame, column: str) -> bool:
-    """Types without a common one other than text: compare those as text."""
-    types = [df.schema[column].dataType for df in (expected, actual)]
-    numeric = all(isinstance(t, T.NumericType) for t in types)
-    dated = all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in types)
-    return not (numeric or dated or (types[0] == types[1] and types[0] != T.StringType()))
+def _native(one: T.DataType, other: T.DataType, compare: str) -> bool:
+    """Whether two columns can be compared as they are rather than by their text.
+
+    That is so where it makes no difference, which saves turning numbers and dates
+    into text; and in a typed comparison where the types have a common one.
+    """
+    if one == other and isinstance(one, _SAME_AS_TEXT):
+        return True
+    if isinstance(one, T.IntegralType) and isinstance(other, T.IntegralType):
+        return True
+    if compare == "text":
+        return False
+    numeric = isinstance(one, T.NumericType) and isinstance(other, T.NumericType)
+    dated = isinstance(one, _DATED) and isinstance(other, _DATED)
+    return numeric or dated or (one == other and not isinstance(one, T.StringType))
 
 
 def _pairs_of(counted: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -656,7 +656,7 @@ def recon_mismatches(t):
     both_sides AS (
         SELECT *, 1 AS e, 0 AS a FROM e UNION ALL SELECT *, 0 AS e, 1 AS a FROM a
     )
-    SELECT k, st, CAST(amt AS VARCHAR) AS amt, trim(prio) AS prio,
+    SELECT k, st, amt, trim(prio) AS prio,
            CAST(sum(e) AS BIGINT) AS expected_rows, CAST(sum(a) AS BIGINT) AS actual_rows
     FROM both_sides WHERE k IN (SELECT k FROM bad)
     GROUP BY k, st, amt, trim(prio)
