@@ -243,24 +243,41 @@ def _actual(df: DataFrame, name: str) -> str:
 
 
 def _outer_in_parts(left, right, pairs, kind, outputs) -> DataFrame:
+    """An outer join as the union of its matched rows and of its unmatched ones.
+
+    Rows with a NULL in their keys match nothing and skip the join. What is left of
+    each side enters its inner and its anti join through the same exchange, so Spark
+    shuffles it once.
+    """
+    swapped = [(r, l) for l, r in pairs]
+    left, left_null = _split_null_keys(left, pairs)
+    right, right_null = _split_null_keys(right, swapped)
     result = _plain(*_matchable(left, right, pairs), "inner", outputs)
     if kind in ("left", "full"):
-        result = result.unionAll(_unmatched("left", left, right, pairs, outputs))
+        alone = _unmatched("left", left, left_null, right, pairs, outputs)
+        result = result.unionAll(alone)
     if kind in ("right", "full"):
-        swapped = [(r, l) for l, r in pairs]
-        result = result.unionAll(_unmatched("right", right, left, swapped, outputs))
+        alone = _unmatched("right", right, right_null, left, swapped, outputs)
+        result = result.unionAll(alone)
     return result
 
 
-def _unmatched(side, df, other, pairs, outputs) -> DataFrame:
-    """Rows of ``df`` without a match, with NULL for the columns of the other input."""
-    kept = [(c, name) for s, c, name in outputs if s == side]
-    # The first key stands in where the output keeps no column of this side.
-    kept = kept or [(pairs[0][0], _HASH)]
-    alone = _existence(df, other, pairs, "left_anti", [("left", c, n) for c, n in kept])
-    return alone.selectExpr(
+def _split_null_keys(df: DataFrame, pairs) -> tuple[DataFrame, DataFrame]:
+    keys = [quoted(key) for key, _ in pairs]
+    return (
+        df.filter(" AND ".join(f"{key} IS NOT NULL" for key in keys)),
+        df.filter(" OR ".join(f"{key} IS NULL" for key in keys)),
+    )
+
+
+def _unmatched(side, df, df_null, other, pairs, outputs) -> DataFrame:
+    """Rows of one side without a match, with NULL for the columns of the other side."""
+    # A key stands in where the output keeps no column of this side.
+    needed = list(dict.fromkeys(c for s, c, _ in outputs if s == side)) or [pairs[0][0]]
+    alone = _existence(df, other, pairs, "left_anti", [("left", c, c) for c in needed])
+    return alone.unionAll(df_null.select(*map(quoted, needed))).selectExpr(
         *[
-            quoted(name)
+            f"{quoted(c)} AS {quoted(name)}"
             if s == side
             else f"CAST(NULL AS {_type(other, c).simpleString()}) AS {quoted(name)}"
             for s, c, name in outputs

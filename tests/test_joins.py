@@ -206,6 +206,11 @@ def tiny_partitions(spark):
         spark.conf.set(key, value)
 
 
+def executed_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+
+
 @pytest.mark.parametrize("how", ["INNER", "LEFT", "FULL", "LEFT_SEMI", "LEFT_ANTI"])
 def test_hot_key_is_split(spark, tiny_partitions, how):
     key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
@@ -214,11 +219,16 @@ def test_hot_key_is_split(spark, tiny_partitions, how):
     kept = ["v"] if "_" in how else ["v", "n"]
 
     def splits(hot):
-        df = join(facts, counts, ("k", "k"), how, kept, hot)
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        return plan.split("== Initial Plan")[0].count("skew=true")
+        return executed_plan(join(facts, counts, ("k", "k"), how, kept, hot)).count("skew=true")
 
     assert splits("left") > 0
     if "_" not in how:
         assert splits(None) == 0, "the grouped side enters the join without an exchange"
+
+
+@pytest.mark.parametrize("how, shared", [("LEFT", 1), ("RIGHT", 1), ("FULL", 2)])
+def test_outer_join_in_parts_shuffles_each_side_once(spark, tiny_partitions, how, shared):
+    a = spark.range(1000).selectExpr("id % 700 AS k", "id AS v")
+    b = spark.range(1000).selectExpr("id % 500 + 300 AS k", "id AS w")
+    plan = executed_plan(join(a, b, ("k", "k"), how, ["v", "w"], "both"))
+    assert plan.count("ReusedExchange") == shared
