@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from tablewright.functions import standardize_name
 from tablewright.operators import checks, reconcile
 from tablewright.operators.aggregates import summarize
-from tablewright.operators.columns import conform, derive, map_columns, source_view
+from tablewright.operators.columns import cast_failures, conform, derive, map_columns, source_view
 from tablewright.operators.joins import join, lookup
 from tablewright.operators.rows import keep
 from tablewright.plans import customer_orders
 from tablewright.plans.load import load_and_verify
-from tablewright.sources.tables import read_table
+from tablewright.sources.tables import ensure_table, load_overwrite, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,6 +110,19 @@ def conform_types(t):
     return conform(texts, declared)
 
 
+@query(
+    """
+    SELECT 'o_orderpriority' AS column_name,
+           count_if(TRY_CAST(o_orderpriority AS INTEGER) IS NULL)::BIGINT AS failed_rows
+    FROM orders
+    UNION ALL SELECT 'o_orderdate', count_if(TRY_CAST(o_orderdate AS DATE) IS NULL)::BIGINT
+    FROM orders
+    """
+)
+def conform_failures(t):
+    return cast_failures(t.orders, [("o_orderpriority", "INT"), ("o_orderdate", "DATE")])
+
+
 # Scalar expressions and filters
 
 
@@ -713,6 +726,25 @@ def reconcile_report(t):
     return _flat(reconcile.report(_expected_orders(t), _actual_orders(t), "k"))
 
 
+@query(
+    """
+    SELECT o_orderkey AS k, CAST(1 AS BIGINT) AS expected_rows, CAST(1 AS BIGINT) AS actual_rows,
+           CAST(1 AS DECIMAL(38,0)) AS mismatched_pairs
+    FROM orders
+    WHERE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) IS DISTINCT FROM
+          CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice + 1 ELSE o_totalprice END
+    """
+)
+def recon_typed(t):
+    # The same amounts as DECIMAL and as DOUBLE, but for low priorities.
+    expected = t.orders.selectExpr("o_orderkey AS k", "cast(o_totalprice AS decimal(18,2)) AS amt")
+    actual = t.orders.selectExpr(
+        "o_orderkey AS k",
+        "CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice + 1 ELSE o_totalprice END AS amt",
+    )
+    return reconcile.mismatches(expected, actual, "k", compare="typed")
+
+
 def _flat(report):
     return derive(
         report,
@@ -876,6 +908,34 @@ def customer_order_summary(t):
     return customer_orders.customer_order_summary(t.customer, t.orders, t.nation, t.region)
 
 
+def _target(t) -> tuple[str, str | None]:
+    """Name and place of a target: one per input and application, in the shared folder
+    where the cluster names one."""
+    run = f"{t.directory}_{t.spark.conf.get('spark.app.id')}"
+    name = "customer_order_summary_" + "".join(c if c.isalnum() else "_" for c in run)[-80:]
+    shared = t.spark.conf.get("spark.checkpoint.dir", None)
+    return name, f"{shared.rstrip('/')}/{name}" if shared else None
+
+
+@query(
+    f"""
+    SELECT 'INVALID' AS status, 'segment' AS missing_columns,
+           'last_order_date, region' AS extra_columns, count(*) AS row_count
+    FROM ({_CUSTOMER_ORDERS})
+    """
+)
+def verify_target(t):
+    name, location = _target(t)
+    name, location = f"checked_{name}", location and f"{location}_checked"
+    loaded = ["last_order_date", "region", "total_amount", "customer_id"]
+    declared = [c for c in customer_orders.TARGET if c.name in loaded]
+    target = ensure_table(t.spark, name, declared, location=location)
+    summary = customer_order_summary(t)
+    load_overwrite(source_view(summary, loaded), target, location=location)
+    wanted = [("customer_id", "BIGINT"), ("segment", "VARCHAR"), ("total_amount", "DECIMAL")]
+    return checks.verify_target(t.spark, target, wanted).drop("table_name")
+
+
 @query(
     f"""
     SELECT 'VALID' AS status, '' AS missing_columns, '' AS extra_columns,
@@ -891,10 +951,7 @@ def customer_order_summary(t):
 )
 def load_and_verify_(t):
     tables = (t.customer, t.orders, t.nation, t.region)
-    # One table per application and input; in the shared folder where the cluster names one.
-    run = f"{t.spark.conf.get('spark.app.id')}_{t.directory}"
-    name = "customer_order_summary_" + "".join(c if c.isalnum() else "_" for c in run)
-    shared = t.spark.conf.get("spark.checkpoint.dir", None)
+    name, location = _target(t)
     return _flat(
         load_and_verify(
             customer_orders.customer_order_summary(*tables),
@@ -902,6 +959,6 @@ def load_and_verify_(t):
             name,
             customer_orders.TARGET,
             customer_orders.KEYS,
-            location=f"{shared.rstrip('/')}/{name}" if shared else None,
+            location=location,
         )
     )
