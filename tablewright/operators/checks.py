@@ -33,8 +33,8 @@ def column_diff(df: DataFrame, declared: Iterable) -> DataFrame:
     found = [(c, "missing") for c in missing] + [(c, "extra") for c in extra]
     counted = df.agg(F.count("*").alias("n"))
     if not found:
-        return counted.filter("false").select(
-            F.lit("").alias("column_name"), F.lit("").alias("difference"), F.col("n").alias("table_rows")
+        return counted.filter("false").selectExpr(
+            "'' AS column_name", "'' AS difference", "n AS table_rows"
         )
     return rows_of(
         counted,

@@ -196,7 +196,7 @@ def _check_keys(left: DataFrame, right: DataFrame, pairs: Sequence[Pair]) -> Non
 
 def _plain(left, right, condition, kind, outputs) -> DataFrame:
     joined = left.alias("left").join(right.alias("right"), condition, kind)
-    return joined.selectExpr(*[f"{side}.{quoted(c)} AS {quoted(name)}" for side, c, name in outputs])
+    return joined.selectExpr(*[f"{s}.{quoted(c)} AS {quoted(name)}" for s, c, name in outputs])
 
 
 def _existence(left, right, pairs, kind, outputs) -> DataFrame:

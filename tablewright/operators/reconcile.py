@@ -177,7 +177,8 @@ def _report_row(totals: DataFrame, same: bool, data: str | None, errors: list) -
     schema = "PASS" if same else "FAIL"
     if "e" in have:
         counts = _pass_if("e = a")
-        uneven = "CASE WHEN e <> a THEN concat('row counts differ: expected ', e, ', actual ', a) END"
+        text = "concat('row counts differ: expected ', e, ', actual ', a)"
+        uneven = f"CASE WHEN e <> a THEN {text} END"
     else:
         schema, counts, uneven = "SKIPPED", "'SKIPPED'", "CAST(NULL AS string)"
     if data is None:
@@ -287,7 +288,8 @@ def _tally(expected: DataFrame, actual: DataFrame, keys: Sequence[str], compare:
     if compare not in ("text", "typed"):
         raise ValueError(f"compare must be 'text' or 'typed', not {compare!r}")
     values = [c for c in expected.columns if c not in keys]
-    native = [_native(expected.schema[c].dataType, actual.schema[c].dataType, compare) for c in values]
+    types = [(expected.schema[c].dataType, actual.schema[c].dataType) for c in values]
+    native = [_native(one, other, compare) for one, other in types]
 
     def named(df: DataFrame) -> DataFrame:
         return df.selectExpr(

@@ -22,7 +22,8 @@ def test_column_diff(spark):
 
 
 def test_unique(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, "a")], "i int, s string")
+    data = [(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, "a")]
+    df = spark.createDataFrame(data, "i int, s string")
     assert rows(checks.unique(df, ["i", "s"])) == [(1, "a", 2), (None, "b", 2)]
     with pytest.raises(ValueError):
         checks.unique(df, [])
@@ -130,12 +131,16 @@ def inputs(spark):
             (15, 4, "F", 3.0, "2020-01-01"),
             (16, 8, "F", 3.0, "2020-01-01"),
         ],
-        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string",
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+        " o_orderdate string",
     ).selectExpr("* EXCEPT (o_orderdate)", "cast(o_orderdate AS timestamp_ntz) AS o_orderdate")
     nation = spark.createDataFrame(
-        [(1, "N1", 1), (2, "N2", 2), (9, "N9", 7)], "n_nationkey int, n_name string, n_regionkey int"
+        [(1, "N1", 1), (2, "N2", 2), (9, "N9", 7)],
+        "n_nationkey int, n_name string, n_regionkey int",
+    )
+    region = spark.createDataFrame(
+        [(1, "R1"), (1, "R1"), (2, "R2")], "r_regionkey int, r_name string"
     )
-    region = spark.createDataFrame([(1, "R1"), (1, "R1"), (2, "R2")], "r_regionkey int, r_name string")
     return customer, orders, nation, region
 
 

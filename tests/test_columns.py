@@ -134,7 +134,8 @@ def test_keep_drops_null_and_joins_lines(spark):
 
 
 def test_conform_casts_in_declared_order(spark):
-    df = spark.createDataFrame([("1", 2.345, "2020-01-02", "x")], "a string, b double, c string, d string")
+    data = [("1", 2.345, "2020-01-02", "x")]
+    df = spark.createDataFrame(data, "a string, b double, c string, d string")
     done = conform(df, [("c", "date"), ("a", "integer"), ("b", "decimal")])
     assert done.dtypes == [("c", "date"), ("a", "int"), ("b", "decimal(18,2)")]
     assert rows(done) == [(date(2020, 1, 2), 1, Decimal("2.35"))]
@@ -154,9 +155,8 @@ def test_conform_bad_values(spark):
 
 
 def test_summarize(spark):
-    df = spark.createDataFrame(
-        [("a", 1, 2.0), ("a", None, 4.0), ("b", 3, 3.0), (None, 5, 1.0)], "g string, n int, x double"
-    )
+    data = [("a", 1, 2.0), ("a", None, 4.0), ("b", 3, 3.0), (None, 5, 1.0)]
+    df = spark.createDataFrame(data, "g string, n int, x double")
     result = summarize(
         df,
         " g ,, ",

@@ -40,8 +40,7 @@ def test_hot_joins_agree_with_plain_ones(spark, seed):
     left, right = table("v"), table("w")
     on = [("k", "k"), ("s", "s")]
     for how in ("INNER", "LEFT", "RIGHT", "FULL"):
-        plain, *hot = (
-            sorted((tuple(r) for r in join(left, right, on, how, ["v", "w"], side).collect()), key=repr)
-            for side in (None, "left", "right", "both")
-        )
+        sides = (None, "left", "right", "both")
+        joined = (join(left, right, on, how, ["v", "w"], side) for side in sides)
+        plain, *hot = (sorted((tuple(r) for r in df.collect()), key=repr) for df in joined)
         assert all(h == plain for h in hot)

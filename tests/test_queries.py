@@ -40,9 +40,7 @@ def test_query(spark, duck, name):
     df = QUERIES[name](spark, DATA)
     found = duck.execute(ORACLES[name])
     columns = {d[0]: str(d[1]) for d in found.description}
-    ours = {
-        f: TYPES.get(t, t.upper().replace("DECIMAL", "DECIMAL")) for f, t in df.dtypes
-    }
+    ours = {f: TYPES.get(t, t.upper()) for f, t in df.dtypes}
     assert ours == {c: t.replace(" ", "") for c, t in columns.items()}
     order = sorted(columns)
     expected = [dict(zip(columns, row)) for row in found.fetchall()]

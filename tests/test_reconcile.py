@@ -241,7 +241,8 @@ def test_orders_pair(spark):
     e = orders.selectExpr(
         "o_orderkey AS k", "o_orderstatus AS st", "cast(o_totalprice AS decimal(18,2)) AS amt"
     )
-    changed = e.filter(k % 97 != 0).withColumn("st", F.when(k % 89 == 0, "X").otherwise(F.col("st")))
+    st = F.when(k % 89 == 0, "X").otherwise(F.col("st"))
+    changed = e.filter(k % 97 != 0).withColumn("st", st)
     shifted = e.filter(k % 101 == 0).withColumn("k", k + 1_000_000)
     again = e.filter((k % 103 == 0) & (k % 97 != 0) & (k % 89 != 0))
     a = changed.unionAll(shifted).unionAll(again)
