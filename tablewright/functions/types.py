@@ -60,21 +60,17 @@ def spark_type(datatype: str, precision=None, scale=None) -> str:
 def declared_columns(columns: Iterable) -> list[Declared]:
     """Normalise declarations given as ``Declared``, tuples, mappings or bare names.
 
-    Mappings use the keys ``name`` (or ``column``), ``datatype`` (or ``type``),
-    ``precision`` and ``scale``. Entries without a name are left out; a
-    declaration that names no column at all, or one twice, is an error.
+    Mappings have the keys of ``Declared``; further ones, such as a length, are left
+    out. So are entries without a name. A declaration that names no column at all, or
+    one twice, is an error.
     """
     result = []
     for column in columns or []:
         if isinstance(column, str):
             column = Declared(column)
         elif isinstance(column, Mapping):
-            column = Declared(
-                column.get("name") or column.get("column"),
-                column.get("datatype") or column.get("type") or "STRING",
-                column.get("precision"),
-                column.get("scale"),
-            )
+            given = {f: column[f] for f in Declared._fields if column.get(f) is not None}
+            column = Declared(**{"name": "", **given})
         else:
             column = Declared(*column)
         if column.name:

@@ -929,7 +929,7 @@ def verify_target(t):
     name, location = f"checked_{name}", location and f"{location}_checked"
     loaded = ["last_order_date", "region", "total_amount", "customer_id"]
     declared = [c for c in customer_orders.TARGET if c.name in loaded]
-    target = ensure_table(t.spark, name, declared, location=location)
+    target = ensure_table(t.spark, name, declared, schema=None, location=location)
     summary = customer_order_summary(t)
     load_overwrite(source_view(summary, loaded), target, location=location)
     wanted = [("customer_id", "BIGINT"), ("segment", "VARCHAR"), ("total_amount", "DECIMAL")]
@@ -959,6 +959,7 @@ def load_and_verify_(t):
             name,
             customer_orders.TARGET,
             customer_orders.KEYS,
+            schema=None,
             location=location,
         )
     )

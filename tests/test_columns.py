@@ -47,7 +47,7 @@ def test_declarations_may_be_mappings_tuples_or_names():
     columns = declared_columns(
         [
             {"name": "a", "datatype": "DECIMAL", "precision": "5", "scale": None},
-            {"column": "b", "type": "int"},
+            {"name": "b", "datatype": "int", "length": 4},
             {"datatype": "int"},
             ("c",),
             "d",
