@@ -77,13 +77,14 @@ def join(
     how: str = "INNER",
     select: Sequence[Output] | None = None,
     hot: str | None = None,
+    names: tuple[str, str] = ("left", "right"),
 ) -> DataFrame:
     """Join two frames and keep named columns.
 
     ``on`` is one ``(left column, right column)`` pair or a list of them, compared
-    for equality; or a Column or SQL text that names the sides ``left.`` and
-    ``right.``. Give any equality the condition contains: without one Spark has to
-    compare every row with every row.
+    for equality; or a Column or SQL text that calls the sides ``left.`` and
+    ``right.``, or whatever ``names`` says. Give any equality the condition contains:
+    without one Spark has to compare every row with every row.
 
     ``select`` lists the output: ``"column"``, ``("column", "name")`` or
     ``("left" | "right", "column", "name")``; without a side the left input is
@@ -101,7 +102,7 @@ def join(
         raise ValueError("hot needs the join condition as key pairs")
     outputs = _outputs(left, right, select, kind)
     if pairs is None:
-        return _plain(left, right, _condition(on), kind, outputs)
+        return _plain(left, right, _condition(on), kind, outputs, names)
     _check_keys(left, right, pairs)
     if kind in ("left_semi", "left_anti"):
         return _existence(left, right, pairs, kind, outputs)
@@ -120,6 +121,7 @@ def lookup(
     returns: Sequence[str | Pair],
     how: str = "LEFT",
     hot: str | None = None,
+    names: tuple[str, str] = ("left", "right"),
 ) -> DataFrame:
     """Add columns of a reference table to each row.
 
@@ -131,7 +133,8 @@ def lookup(
     if not returns:
         raise ValueError("lookup returns no column")
     added = [("right", r, r) if isinstance(r, str) else ("right", *r) for r in returns]
-    return join(df, reference, on, how, [("left", c, c) for c in df.columns] + added, hot)
+    kept = [("left", c, c) for c in df.columns]
+    return join(df, reference, on, how, kept + added, hot, names)
 
 
 def _pairs(on) -> list[Pair] | None:
@@ -194,9 +197,12 @@ def _check_keys(left: DataFrame, right: DataFrame, pairs: Sequence[Pair]) -> Non
             raise ValueError(f"join keys are absent from the {side} input: {absent}")
 
 
-def _plain(left, right, condition, kind, outputs) -> DataFrame:
-    joined = left.alias("left").join(right.alias("right"), condition, kind)
-    return joined.selectExpr(*[f"{s}.{quoted(c)} AS {quoted(name)}" for s, c, name in outputs])
+def _plain(left, right, condition, kind, outputs, names=("left", "right")) -> DataFrame:
+    called = dict(zip(("left", "right"), names))
+    joined = left.alias(names[0]).join(right.alias(names[1]), condition, kind)
+    return joined.selectExpr(
+        *[f"{quoted(called[s])}.{quoted(c)} AS {quoted(name)}" for s, c, name in outputs]
+    )
 
 
 def _existence(left, right, pairs, kind, outputs) -> DataFrame:

@@ -139,7 +139,7 @@ def report(
     keys: str | Sequence[str] | None,
     compare: str = "text",
 ) -> DataFrame:
-    """The whole reconciliation as one row, computed in one job.
+    """The whole reconciliation as one row, from one pass over each table.
 
     Statuses are PASS, FAIL or SKIPPED: ``schema_validation`` (ordered column
     names), ``row_count_validation``, ``data_validation`` (missing, extra and

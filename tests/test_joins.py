@@ -127,6 +127,19 @@ def test_condition_text_and_column_name_the_sides(left, right):
     ]
 
 
+def test_condition_text_may_use_other_names_for_the_sides(left, right):
+    text = "CUST.k = ORD.k AND CUST.v < 'b'"
+    assert rows(join(left, right, text, "INNER", OUT, names=("CUST", "ORD"))) == MATCHED[:2]
+    found = lookup(left, right, "c.k = o.k AND o.w > 'p'", ["w"], names=("c", "o"))
+    assert rows(found) == [
+        (1, "a", "q"),
+        (1, "b", "q"),
+        (2, "c", "r"),
+        (4, "e", None),
+        (None, "d", None),
+    ]
+
+
 def test_output_names(left, right):
     with pytest.raises(ValueError, match="more than once"):
         join(left, right, ("k", "k"))

@@ -254,7 +254,7 @@ def test_orders_pair(spark):
     assert counts(reconcile.report(a, e, "k")) == (15137, 15000, 149, 155, 167, 143, 0)
 
 
-def test_report_is_one_job_without_a_join(spark):
+def test_report_is_one_pass_without_a_join(spark):
     df = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     report = reconcile.report(df, df, "k")
     plan = report._jdf.queryExecution().executedPlan().toString()
