@@ -557,8 +557,8 @@ def agg_multi_key(t):
 
 
 # Reconciliation. The actual table is the expected one with faults: urgent open orders
-# are lost, low-priority closed ones changed, partly shipped urgent ones have other keys
-# and dear closed ones occur twice.
+# are lost, low-priority closed ones have another status and the dearest another amount,
+# urgent pending ones occur again under other keys and dear closed ones under the same.
 
 
 def _expected_orders(t):
