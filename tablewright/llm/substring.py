@@ -20,6 +20,7 @@ run of equal symbols, merged when names are made distinct.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 from collections.abc import Iterator
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 
 from tablewright.llm.common import (
     NO_ID,
+    SPACES,
     block_count,
     bucket_edges,
     dealt,
@@ -46,6 +48,8 @@ ROUNDS = 2
 SYMBOL = 2**ROUNDS  # most words of a symbol
 CONTEXT = 2  # words before and after a place that settle whether a symbol begins there
 PART = 300_000  # words handled at once in a task
+SEGMENT = 1 << 19  # bytes handled at once in a task
+LONG = 64  # bytes of a word beyond which its name is made in another way
 _MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 _NAMES = "bucket int, block int, names binary"
@@ -98,52 +102,92 @@ def remove_repeats(
     return cut.select(*[F.col(f"`{c}`") for c in [*docs.columns, *added]])
 
 
-class _Vocabulary(dict):
-    """Words of a block, numbered as they come."""
-
-    def __init__(self):
-        super().__init__()
-        self.digests: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.digests.append(xxhash.xxh3_128_digest(word))
-        return number
-
-
 class _Block:
-    """The words of a block as numbers, and the documents' places among them."""
+    """The names of a block's words, laid end to end, and the documents' places among them."""
 
     def __init__(self, packed: pa.Table):
-        vocabulary, numbers, lengths = _Vocabulary(), [], []
-        for text in plain_texts(packed):
-            words = (text or b"").split()
-            lengths.append(len(words))
-            numbers.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
-        names = np.frombuffer(b"".join(vocabulary.digests), ">u8").astype(np.uint64).reshape(-1, 2)
-        self.high, self.low = names[:, 0].copy(), names[:, 1].copy()
+        lengths, high, low = [], [], []
+        for texts in _gathered(plain_texts(packed)):
+            for values, found in zip((lengths, high, low), _word_names(texts)):
+                values.append(found)
+        self.lengths, self.high, self.low = map(np.concatenate, (lengths, high, low))
+        self.ends = np.cumsum(self.lengths)
         self.ids = np.array(
             [NO_ID if i is None else i for i in packed.column("id").to_pylist()], np.int64
         )
-        self.lengths, self.numbers = np.array(lengths, np.int64), numbers
-
-    def parts(self) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
-        """Word numbers and the end of each word's document, for whole documents of about
-        ``PART`` words; then the documents' range."""
-        begin = 0
-        while begin < len(self.numbers):
-            end, words = begin, 0
-            while end < len(self.numbers) and (words < PART or end == begin):
-                words += len(self.numbers[end])
-                end += 1
+
+    def parts(self) -> Iterator[tuple[slice, np.ndarray, int, int]]:
+        """For whole documents of about ``PART`` words: their words, the end of each word's document
+        among them, and the documents' range."""
+        begin = at = 0
+        while begin < len(self.lengths):
+            end = max(begin + 1, int(np.searchsorted(self.ends, at + PART)))
+            until = int(self.ends[end - 1])
             lengths = self.lengths[begin:end]
-            yield (
-                np.concatenate(self.numbers[begin:end]),
-                np.repeat(np.cumsum(lengths), lengths),
-                begin,
-                end,
-            )
-            begin = end
+            yield slice(at, until), np.repeat(np.cumsum(lengths), lengths), begin, end
+            begin, at = end, until
+
+
+def _gathered(texts: Iterator[bytes | None]) -> Iterator[list[bytes]]:
+    held, size = [], 0
+    for text in texts:
+        held.append(text or b"")
+        size += len(held[-1])
+        if size >= SEGMENT // 2:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _powers(base: int) -> np.ndarray:
+    values = np.full(SEGMENT + 1, base, np.uint64)
+    values[0] = 1
+    return np.cumprod(values, dtype=np.uint64)
+
+
+@functools.cache
+def _tables():
+    """White space by byte; for each half of a name a random value by byte, the powers of a base
+    and of its inverse."""
+    space = np.zeros(256, bool)
+    space[list(SPACES.encode())] = True
+    rng = np.random.default_rng(20)
+    halves = []
+    for base in _MULTIPLY.tolist():
+        values = rng.integers(0, 2**64, 256, np.uint64)
+        halves.append((values, _powers(base), _powers(pow(base, -1, 2**64))))
+    return space, halves
+
+
+def _word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of words of each text, and both halves of the name of each word: polynomials of
+    its bytes, from sums over all bytes up to its ends, or another hash for a long word."""
+    space, halves = _tables()
+    data = b"\n".join([*texts, b""])
+    buffer = np.frombuffer(data, np.uint8)
+    blank = np.concatenate([[True], space[buffer]])
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:])
+    ends = np.flatnonzero(~blank[:-1] & blank[1:])
+    places = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    counts = np.diff(np.searchsorted(starts, places))
+    names = np.zeros((2, len(starts)), np.uint64)
+    sizes, a = ends - starts, 0
+    while a < len(starts):
+        begin = starts[a]
+        b = max(a + 1, int(np.searchsorted(ends, begin + SEGMENT, side="right")))
+        part = buffer[begin : min(ends[b - 1], begin + SEGMENT)]
+        s = starts[a:b] - begin
+        e = np.minimum(ends[a:b] - begin, len(part))
+        for half, (values, powers, inverse) in zip(names, halves):
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(values[part] * powers[: len(part)], out=sums[1:])
+            half[a:b] = mixed((sums[e] - sums[s]) * inverse[s])
+        a = b
+    for i in np.flatnonzero(sizes > LONG):
+        digest = xxhash.xxh3_128_digest(data[starts[i] : ends[i]])
+        names[:, i] = np.frombuffer(digest, ">u8")
+    return counts, names[0], names[1]
 
 
 def _grams(names: np.ndarray, k: int, by: np.uint64) -> np.ndarray:
@@ -171,17 +215,17 @@ def _begins(names: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _symbols(block: _Block, window: int):
-    """For each part: its words' numbers and document ends, and the places and names of its
+    """For each part: its words, their document ends, and the places and names of its
     high-level symbols."""
     k = window - CONTEXT - SYMBOL + 1
-    for numbers, ends, begin, end in block.parts():
-        if len(numbers) < window:
-            yield numbers, ends, np.zeros(0, int), np.zeros(0, np.uint64), begin, end
+    for words, ends, begin, end in block.parts():
+        if len(ends) < window:
+            yield words, ends, np.zeros(0, int), np.zeros(0, np.uint64), begin, end
             continue
-        low = block.low[numbers]
+        low = block.low[words]
         places = _begins(low, ends)
         places = places[places + k <= ends[places]]
-        yield numbers, ends, places, _grams(low, k, _MULTIPLY[0])[places], begin, end
+        yield words, ends, places, _grams(low, k, _MULTIPLY[0])[places], begin, end
 
 
 def _symbol_names(packed: pa.Table, window: int, buckets: int) -> pa.Table:
@@ -215,9 +259,13 @@ def _wide(names: np.ndarray) -> bytes:
 def _recurring(rows: pa.Table) -> pa.Table:
     """For each block's names of one bucket, which of them another block has as well."""
     lists = [unplaned(b, np.uint64) for b in rows.column("names").to_pylist()]
-    every = np.sort(np.concatenate(lists))
-    twice = every[1:][every[1:] == every[:-1]]
-    return _answers(rows, 0, [np.isin(names, twice, kind="sort") for names in lists])
+    every = np.concatenate(lists)
+    order = np.argsort(every)
+    same = every[order[1:]] == every[order[:-1]]
+    twice = np.zeros(len(every), bool)
+    twice[order[1:]] = same
+    twice[order[:-1]] |= same
+    return _answers(rows, 0, np.split(twice, np.cumsum([len(x) for x in lists])[:-1]))
 
 
 def _answers(rows: pa.Table, kind: int, bits: list[np.ndarray]) -> pa.Table:
@@ -249,12 +297,13 @@ class _Windows:
     def __init__(self, block: _Block, bits: pa.Table, window: int, buckets: int):
         parts = list(_symbols(block, window))
         found = np.concatenate([p[3] for p in parts])
-        symbols, counts = np.unique(found, return_counts=True)
-        recurs = symbols[(counts > 1) | _told(bits, 0, symbols, buckets)]
+        symbols, number, counts = np.unique(found, return_inverse=True, return_counts=True)
+        recurs = ((counts > 1) | _told(bits, 0, symbols, buckets))[number]
+        recurs = np.split(recurs, np.cumsum([len(p[3]) for p in parts])[:-1])
         part, place, high, low, ids = [], [], [], [], []
-        for i, (numbers, ends, places, names, begin, end) in enumerate(parts):
-            marked = np.zeros(len(numbers), bool)
-            hits = places[np.isin(names, recurs, kind="sort")]
+        for i, (words, ends, places, _, begin, end) in enumerate(parts):
+            marked = np.zeros(len(ends), bool)
+            hits = places[recurs[i]]
             for offset in range(CONTEXT, CONTEXT + SYMBOL):
                 marked[hits[hits >= offset] - offset] = True
             p = np.flatnonzero(marked)
@@ -264,8 +313,8 @@ class _Windows:
                 part.append(np.full(len(p), i))
                 place.append(p)
                 ids.append(of[p])
-                high.append(_grams(block.high[numbers], window, _MULTIPLY[1])[p])
-                low.append(_grams(block.low[numbers], window, _MULTIPLY[0])[p])
+                high.append(_grams(block.high[words], window, _MULTIPLY[1])[p])
+                low.append(_grams(block.low[words], window, _MULTIPLY[0])[p])
         joined = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
         self.part, self.place = joined(part, np.int64), joined(place, np.int64)
         self.ids = joined(ids, np.int64)
@@ -328,10 +377,10 @@ def _cut(
     earlier = _told(bits, 1, found.names[:, 0].copy(), buckets)
     gone = earlier[found.number] | (found.ids > found.least[found.number])
     removed: dict[int, np.ndarray] = {}
-    for i, (numbers, _, begin, end) in enumerate(block.parts()):
+    for i, (_, ends, begin, end) in enumerate(block.parts()):
         at = found.place[gone & (found.part == i)]
         if len(at):
-            step = np.zeros(len(numbers) + 1, np.int64)
+            step = np.zeros(len(ends) + 1, np.int64)
             np.add.at(step, at, 1)
             np.add.at(step, at + window, -1)
             covered = np.cumsum(step)[:-1] > 0
