@@ -100,6 +100,20 @@ def unplaned(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(raw.T).view(dtype).ravel()
 
 
+def packed_list(words: list[bytes]) -> bytes:
+    lengths = np.fromiter(map(len, words), "<u4", len(words))
+    head = len(words).to_bytes(8, "little")
+    return zstandard.compress(head + lengths.tobytes() + b"".join(words))
+
+
+def unpacked_list(data: bytes) -> list[bytes]:
+    plain = zstandard.decompress(data)
+    n = int.from_bytes(plain[:8], "little")
+    ends = np.cumsum(np.frombuffer(plain, "<u4", n, 8), dtype=np.int64) + 8 + 4 * n
+    starts = [8 + 4 * n, *ends[:-1].tolist()]
+    return [plain[a:b] for a, b in zip(starts, ends.tolist())]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (the splitmix64 finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
