@@ -7,11 +7,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import substring
+from tablewright.llm import bpe, lm, packing, quality, simhash, substring, toxicity
 from tablewright.llm.common import table
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -21,6 +26,50 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op2_simhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judged(docs).select(
+        "doc_id", *quality.MEASURES, "base_failed", "kept"
+    )
+
+
+@query
+def op4_byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encoded(docs, BYTE_BPE_RANKS, public_tokenizers.PATTERN, ids=False)
+
+
+@query
+def op6_maxent_lm(spark, sf_dir):
+    return lm.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_best_fit_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.packed(packing.pieces(docs, BYTE_BPE))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    settings = toxicity.Settings()
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    field = toxicity.fit(toxicity.training_rows(docs, labels, settings.documents), settings)
+    scored = toxicity.score(docs, field)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
+
+
 @query
 def op10_recompression(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

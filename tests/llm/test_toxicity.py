@@ -1,0 +1,82 @@
+"""The field against enumeration of all taggings, and held-out accuracy."""
+
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tablewright.llm import toxicity
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_marginals_agree_with_enumeration(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.array([3, 0, 1, 7, 2, 0])
+    odds = rng.normal(size=lengths.sum()) * 3
+    w = rng.normal(size=(2, 2))
+    p, pairs, _ = toxicity._marginals(odds, lengths, w)
+    expected_p, expected_pairs = [], np.zeros((2, 2))
+    for begin, n in zip(np.cumsum(lengths) - lengths, lengths):
+        own, total, mass = odds[begin : begin + n], 0.0, np.zeros(n)
+        both = np.zeros((2, 2))
+        for tags in itertools.product((0, 1), repeat=int(n)):
+            e = sum(o * t for o, t in zip(own, tags)) + sum(w[a, b] for a, b in zip(tags, tags[1:]))
+            e = np.exp(e)
+            total += e
+            mass += e * np.array(tags)
+            for a, b in zip(tags, tags[1:]):
+                both[a, b] += e
+        expected_p.extend(mass / total)
+        expected_pairs += both / total
+    assert np.allclose(p, expected_p)
+    assert np.allclose(pairs, expected_pairs.ravel())
+
+
+def made(n, seed=0):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(300)]
+    rude = ["zork", "blarg", "fnord"]
+    rows = []
+    for i in range(n):
+        text, toxic = [rng.choice(words) for _ in range(rng.randrange(5, 60))], i % 5 == 0
+        if toxic:
+            for _ in range(3):
+                text.insert(rng.randrange(len(text) + 1), rng.choice(rude) + rng.choice(["", "!", ","]))
+        rows.append((i, " ".join(text), "en", "s", int(toxic)))
+    return rows
+
+
+def test_held_out_documents_and_spans(spark):
+    rows = made(1500)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    train = toxicity.training_rows(docs, labels, 1000)
+    assert 0 < train.count() <= 1100
+    field = toxicity.fit(train)
+    odd = spark.createDataFrame(
+        [(None, "zork", None, None, 1), (9001, None, None, None, 0), (9002, "", "x", "y", 0),
+         (9003, "été zork, ok " * 2000, "x", "y", 1), (0, rows[0][1], "en", "again", 1)],
+        docs.schema,
+    )
+    out = toxicity.score(docs.union(odd), field).collect()
+    assert len(out) == 1505
+    held = [r for r in out if r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert sum(r.predicted == r.toxic for r in held) / len(held) > 0.98
+    for r in out:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+        for s in r.spans:
+            assert any(w in r.text[s["from"] : s["to"]] for w in ("zork", "blarg", "fnord"))
+    long = next(r for r in out if r.doc_id == 9003)
+    assert len(long.spans) == 2000 and long.text[long.spans[1]["from"] :].startswith("zork")
+    empty = [r for r in out if not r.text]
+    assert len(empty) == 2 and all(r.predicted == 0 for r in empty)
+
+
+def test_no_labels_or_rows(spark):
+    rows = spark.createDataFrame(made(10), "doc_id long, text string, lang string, source string, toxic int")
+    none = toxicity.fit(rows.select("text", "toxic").filter("false"))
+    out = toxicity.score(rows, none).collect()
+    assert len(out) == 10 and all(0 <= r.score <= 1 for r in out)
+    assert toxicity.score(rows.filter("false"), none).collect() == []
