@@ -201,6 +201,7 @@ def _statistics(totals: DataFrame, settings: Settings):
     for word, count in [(END, end), *best]:
         if count:
             by_class[:, _class_of(word, settings)] -= (count, 1)
+            by_class[:, singles[word]] += (count, 1)
     return singles, by_class[0], by_class[1], tokens, words
 
 
@@ -266,8 +267,7 @@ def _trained(docs: DataFrame, totals: DataFrame, settings: Settings) -> Model:
     singles, class_tokens, class_words, tokens, words = _statistics(totals, settings)
     shape = (settings.rows + 1, settings.classes)
     weights = np.zeros(shape, np.float32)
-    weights[-1, settings.singles :] = np.log(class_tokens[settings.singles :] + 1.0)
-    weights[-1, : settings.singles] = weights[-1, settings.singles :].mean()
+    weights[-1] = np.log(class_tokens + 1.0)
     held = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     train = docs.filter(~held)
     for r in range(settings.rounds):
@@ -287,7 +287,7 @@ def _round(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared, own_classes = send.value
         own = shared.copy()
-        squares = np.full(own.shape, 1e-4, np.float32)
+        squares = np.full(own.shape, 10, np.float32)
         touched = np.zeros(len(own), bool)
         for batch in batches:
             known = _Words(own_classes, settings)
@@ -340,21 +340,18 @@ def _round(
 
 
 def _step(weights, squares, touched, features, target, settings: Settings) -> None:
-    """One gradient step (Adagrad) on the mean log-likelihood of the features' tokens."""
+    """One gradient step (Adagrad) on the log-likelihood of the features' tokens."""
     slope = np.exp(_logits(weights, features))
     slope /= slope.sum(axis=1, keepdims=True)
     slope[np.arange(len(target)), target] -= 1
     for one in (*features, None):
         if one is None:
             rows, sums = np.array([len(weights) - 1]), slope.sum(axis=0, keepdims=True)
-            count = np.array([len(target)])
         else:
             order = np.argsort(one, kind="stable")
             in_order = one[order]
             starts = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1]))
             rows, sums = in_order[starts], np.add.reduceat(slope[order], starts, axis=0)
-            count = np.diff(np.append(starts, len(one)))
-        sums /= np.sqrt(count)[:, None].astype(np.float32)
         squares[rows] += sums * sums
         weights[rows] -= settings.rate * sums / np.sqrt(squares[rows])
         touched[rows] = True
