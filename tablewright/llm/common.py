@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,13 @@ def ready_to_checkpoint(spark: SparkSession) -> None:
         )
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this name and of a new one in it, below ``spark.checkpoint.dir`` or, where that is
+    unset, as in tests, below the warehouse."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a copy in the shared checkpoint folder."""
     ready_to_checkpoint(df.sparkSession)
