@@ -11,8 +11,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, lm, packing, quality, simhash, substring, toxicity
-from tablewright.llm.common import table
+from tablewright.llm import (
+    bpe,
+    lm,
+    ordering,
+    packing,
+    quality,
+    simhash,
+    substring,
+    topk,
+    toxicity,
+    warc,
+)
+from tablewright.llm.common import shared_folder, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,6 +37,26 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op1_warc_derivatives(spark, sf_dir):
+    """Every derived record; the block itself is left to its digest and length."""
+    stored = warc.responses(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z")
+    return warc.derivatives(stored, ("page_id",)).select(
+        "page_id",
+        "record_id",
+        "refers_to",
+        "type",
+        "target_uri",
+        "date",
+        "content_type",
+        "content_length",
+        "block_digest",
+        "source_block_digest",
+        "source_payload_digest",
+        F.to_json("source_headers").alias("source_headers"),
+    )
+
+
 @query
 def op2_simhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +79,12 @@ def op4_byte_bpe(spark, sf_dir):
     return bpe.encoded(docs, BYTE_BPE_RANKS, public_tokenizers.PATTERN, ids=False)
 
 
+@query
+def op5_kd_tree_top_k(spark, sf_dir):
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return topk.best(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 @query
 def op6_maxent_lm(spark, sf_dir):
     return lm.scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -59,6 +96,17 @@ def op7_best_fit_packing(spark, sf_dir):
     return packing.packed(packing.pieces(docs, BYTE_BPE))
 
 
+@query
+def op8_training_order(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    found = ordering.sequences(turns, BYTE_BPE)
+    folder = shared_folder(spark, "training_order")
+    return ordering.materialised(found, folder, key=20_240_101).select(
+        F.col("a").alias("conv_id"), F.col("b").alias("turn"), "piece", "used", "slot", "shard",
+        "offset", "ids_crc32",
+    )
+
+
 @query
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,3 +122,73 @@ def op9_toxicity(spark, sf_dir):
 def op10_recompression(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+_SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _counted(rule: quality.Rule) -> str:
+    bounds = []
+    if rule.least is not None:
+        bounds.append(f"1000 * {rule.counted} < {rule.least} * {rule.among}")
+    if rule.most is not None:
+        bounds.append(f"1000 * {rule.counted} > {rule.most} * {rule.among}")
+    return f"({rule.among} > 0 AND ({' OR '.join(bounds)}))"
+
+
+ORACLES["op3_quality_rules"] = f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+    ), w AS (
+        SELECT *, list_filter(string_split(translate(t, {_SPACES}, '     '), ' '), lambda x: x <> '') AS ws,
+               list_filter(string_split(t, chr(10)),
+                           lambda x: translate(x, ' ' || {_SPACES}, '') <> '') AS ls,
+               list_filter(string_split(translate(lower(t), {_SPACES} || '.,;:', '         '), ' '),
+                           lambda x: x <> '') AS ps
+        FROM d
+    ), p AS (
+        SELECT r, unnest(range(1, len(ws) - {quality.WINDOW - 2})) AS p, ws FROM w
+    ), g AS (
+        SELECT r, p, array_to_string(ws[p:p + {quality.WINDOW - 1}], ' ') AS g FROM p
+    ), c AS (
+        SELECT r, count(DISTINCT p) AS n FROM (
+            SELECT r, unnest(range(p, p + {quality.WINDOW})) AS p FROM (
+                SELECT r, p, count(*) OVER (PARTITION BY r, g) AS n FROM g
+            ) WHERE n > 1
+        ) GROUP BY r
+    ), m AS (
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+               CAST(length(translate(t, ' ' || {_SPACES}, '')) AS BIGINT) AS word_chars,
+               CAST(length(t) - length(translate(t, '{quality.SYMBOLS}', '')) AS BIGINT) AS n_symbols,
+               CAST(len(ls) AS BIGINT) AS n_lines,
+               CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+               CAST(len(list_filter(ps, lambda x: x IN ({", ".join(f"'{w}'" for w in quality.STOP_WORDS)})))
+                    AS BIGINT) AS n_stop_words,
+               CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+        FROM w LEFT JOIN c USING (r)
+    ), b AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
+    )
+    SELECT *, NOT (base_failed OR {" OR ".join(map(_counted, quality.RULES))}) AS kept FROM b
+"""
+
+ORACLES["op5_kd_tree_top_k"] = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        WHERE q.vec_id % 50 = 0
+    ), r AS (
+        SELECT query_id,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+                   AS rank,
+               vec_id, score
+        FROM s
+    )
+    SELECT * FROM r WHERE rank <= 5
+"""
