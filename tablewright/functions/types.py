@@ -34,6 +34,10 @@ DEFAULT_PRECISION = 18
 DEFAULT_SCALE = 2
 
 
+# Further names that a mapping may use for a declaration's fields.
+OTHER_FIELD_NAMES = {"name": "column", "datatype": "type"}
+
+
 class Declared(NamedTuple):
     """One column of a declared schema."""
 
@@ -60,21 +64,22 @@ def spark_type(datatype: str, precision=None, scale=None) -> str:
 def declared_columns(columns: Iterable) -> list[Declared]:
     """Normalise declarations given as ``Declared``, tuples, mappings or bare names.
 
-    Mappings have the keys of ``Declared``; further ones, such as a length, are left
-    out. So are entries without a name. A declaration that names no column at all, or
-    one twice, is an error.
+    Mappings have the keys of ``Declared``, or ``column`` for ``name`` and ``type`` for
+    ``datatype``; further ones, such as a length, are left out. An entry without a name, no
+    entry at all, or a name given twice is an error.
     """
     result = []
     for column in columns or []:
         if isinstance(column, str):
             column = Declared(column)
         elif isinstance(column, Mapping):
-            given = {f: column[f] for f in Declared._fields if column.get(f) is not None}
-            column = Declared(**{"name": "", **given})
+            given = {f: _given(column, f) for f in Declared._fields}
+            column = Declared(**{"name": "", **{f: v for f, v in given.items() if v is not None}})
         else:
             column = Declared(*column)
-        if column.name:
-            result.append(column)
+        if not column.name:
+            raise ValueError(f"a declared column has no name: {column}")
+        result.append(column)
     if not result:
         raise ValueError("no columns are declared")
     names = [column.name.lower() for column in result]
@@ -84,6 +89,11 @@ def declared_columns(columns: Iterable) -> list[Declared]:
     return result
 
 
+def _given(column: Mapping, field: str):
+    value = column.get(field)
+    return column.get(OTHER_FIELD_NAMES.get(field, field)) if value is None else value
+
+
 def _whole(value, default: int) -> int:
     try:
         return default if value is None else int(value)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.text import as_column, comparable_text, quoted
 from tablewright.functions.types import declared_columns
@@ -47,19 +48,33 @@ def verify_target(spark: SparkSession, full_name: str, declared: Iterable) -> Da
     """Read a loaded table back: one row with its columns' verdict and its row count.
 
     ``status`` is VALID if the declared columns are exactly those of the table, in
-    any order. ``full_name`` is a qualified name as returned by ``ensure_table``.
+    any order, and have the declared types; ``other_types`` tells which have not.
+    ``full_name`` is a qualified name as returned by ``ensure_table``.
     """
     df = spark.table(full_name)
     missing, extra = column_differences(df, declared)
+    other = type_differences(df, declared)
     return df.agg(
         F.lit(full_name).alias("table_name"),
-        F.lit("INVALID" if missing or extra else "VALID").alias("status"),
+        F.lit("INVALID" if missing or extra or other else "VALID").alias("status"),
         F.lit(", ".join(missing)).alias("missing_columns"),
         F.lit(", ".join(extra)).alias("extra_columns"),
+        F.lit(", ".join(other)).alias("other_types"),
         F.count("*").alias("row_count"),
     )
 
 
+def type_differences(df: DataFrame, declared: Iterable) -> list[str]:
+    """``name: type, not declared type`` of the declared columns that have another type."""
+    have = {f.name: f.dataType for f in df.schema}
+    wanted = [(c.name, T.DataType.fromDDL(c.spark_type)) for c in declared_columns(declared)]
+    return [
+        f"{name}: {have[name].simpleString()}, not {kind.simpleString()}"
+        for name, kind in wanted
+        if name in have and have[name] != kind
+    ]
+
+
 def unique(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     """Values that occur more than once, with their number of rows as ``occurrences``."""
     columns = _named(columns)
@@ -72,18 +87,19 @@ def references(
     parent: DataFrame,
     on: tuple[str, str] | Sequence[tuple[str, str]],
     nulls: str = "orphan",
+    colocated: bool = False,
 ) -> DataFrame:
     """Child rows whose reference is not among the parents.
 
     A reference with a NULL in it finds no parent and is reported, or is passed
-    over with ``nulls="ignore"``.
+    over with ``nulls="ignore"``. ``colocated`` as in ``join``.
     """
     if nulls not in ("orphan", "ignore"):
         raise ValueError(f"nulls must be 'orphan' or 'ignore', not {nulls!r}")
     if nulls == "ignore":
-        pairs = [on] if isinstance(on[0], str) else on
+        pairs = [on] if isinstance(on, tuple) and isinstance(on[0], str) else on
         child = child.dropna(subset=[c for c, _ in pairs])
-    return join(child, parent, on, "LEFT ANTI")
+    return join(child, parent, on, "LEFT ANTI", colocated=colocated)
 
 
 def required(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:

@@ -14,6 +14,8 @@ from tablewright.functions.types import Declared, declared_columns
 
 def source_view(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The declared columns of a source, or all of them."""
+    if columns is not None and not columns:
+        raise ValueError("no column of the source is named")
     return df if columns is None else df.select(*map(quoted, columns))
 
 
@@ -33,8 +35,8 @@ def derive(df: DataFrame, expressions: Iterable[tuple[str, str | Column]]) -> Da
     """Add or overwrite columns in the given order, keeping all others.
 
     Each expression is a Column or Spark SQL text and sees the columns derived
-    before it. Runs of SQL texts that do not mention one another become one
-    projection, so that hundreds of expressions stay cheap to analyse.
+    before it. Runs of expressions that do not mention one another become one
+    projection, so that hundreds of them stay cheap to analyse.
     """
     batch: dict[str, Column] = {}
     for name, expression in expressions:
@@ -89,17 +91,18 @@ def distinct_names(names: Sequence[str]) -> None:
         raise ValueError(f"output columns named more than once: {twice}")
 
 
-def one_line(text: str) -> str:
-    return re.sub(r"[\r\n]+", " ", text).strip()
-
-
 def _independent(name: str, expression: str | Column, batch: dict[str, Column]) -> bool:
-    """Whether the expression surely reads none of the columns in ``batch``."""
-    if not isinstance(expression, str) or re.search(r"\(\s*(\w+\s*\.\s*)?\*", expression):
+    """Whether the expression surely reads none of the columns in ``batch``.
+
+    A star that does not multiply reads them all, and a comment may hide one. The text of a
+    Column may be shortened, and calls a star by another name.
+    """
+    text = str(expression).lower()
+    if re.search(r"(^|[(,.])\s*\*|--|/\*", text):
+        return False
+    if not isinstance(expression, str) and re.search(r"star|\.\.\.", text):
         return False
-    text = expression.lower()
-    return not any(
-        "`" in pending or pending.lower() in text or pending.lower() == name.lower()
+    return not any(        "`" in pending or pending.lower() in text or pending.lower() == name.lower()
         for pending in batch
     )
 

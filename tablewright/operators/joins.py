@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.text import quoted
-from tablewright.operators.columns import distinct_names, one_line
+from tablewright.operators.columns import distinct_names
 
 # Accepted join names -> Spark join types. A cross join always comes
 # with a condition, which makes it an inner join.
@@ -62,10 +62,10 @@ Output = str | tuple[str, str] | tuple[str, str, str]
 
 
 def join_type(how: str | None) -> str:
-    """Spark join type of a join name, in any case and with ``_`` or spaces."""
-    name = " ".join(str(how or "INNER").replace("_", " ").upper().split())
+    """Spark join type of a join name, in any case, with or without ``_``, spaces and JOIN."""
+    name = str(how or "INNER").replace("_", " ").upper().strip().removesuffix(" JOIN")
     try:
-        return JOIN_TYPES[name]
+        return {k.replace(" ", ""): kind for k, kind in JOIN_TYPES.items()}["".join(name.split())]
     except KeyError:
         raise ValueError(f"unknown join type {how!r}; known: {sorted(JOIN_TYPES)}") from None
 
@@ -78,13 +78,17 @@ def join(
     select: Sequence[Output] | None = None,
     hot: str | None = None,
     names: tuple[str, str] = ("left", "right"),
+    all_pairs: bool = False,
+    colocated: bool = False,
 ) -> DataFrame:
     """Join two frames and keep named columns.
 
-    ``on`` is one ``(left column, right column)`` pair or a list of them, compared
+    ``on`` is one ``(left column, right column)`` tuple or a list of them, compared
     for equality; or a Column or SQL text that calls the sides ``left.`` and
-    ``right.``, or whatever ``names`` says. Give any equality the condition contains:
-    without one Spark has to compare every row with every row.
+    ``right.``, or whatever ``names`` says. A condition from which Spark can take no
+    equality makes it compare every row with every row, and LEFT, FULL and ANTI then
+    send one whole side to every task, whatever its size. That raises unless
+    ``all_pairs`` asks for it.
 
     ``select`` lists the output: ``"column"``, ``("column", "name")`` or
     ``("left" | "right", "column", "name")``; without a side the left input is
@@ -93,6 +97,9 @@ def join(
     ``hot`` is ``"left"``, ``"right"`` or ``"both"``: a side on which one key may
     hold a large share of the rows. It changes the plan, not the result, see the
     module text, and needs key pairs.
+
+    ``colocated`` says that both sides of a semi or anti join are bucketed or partitioned
+    by the keys: Spark then joins them where they are. A hot key stays in its partition.
     """
     kind = join_type(how)
     pairs = _pairs(on)
@@ -102,9 +109,16 @@ def join(
         raise ValueError("hot needs the join condition as key pairs")
     outputs = _outputs(left, right, select, kind)
     if pairs is None:
-        return _plain(left, right, _condition(on), kind, outputs, names)
+        condition = F.expr(on) if isinstance(on, str) else on
+        if not all_pairs and not _has_equality(left, right, condition, kind, names):
+            raise ValueError(
+                "the condition contains no equality between the sides, so every row would be "
+                "compared with every row, and in LEFT, FULL and ANTI one whole side sent to "
+                "every task; all_pairs=True asks for that"
+            )
+        return _plain(left, right, condition, kind, outputs, names)
     _check_keys(left, right, pairs)
-    if kind in ("left_semi", "left_anti"):
+    if kind in ("left_semi", "left_anti") and not colocated:
         return _existence(left, right, pairs, kind, outputs)
     if hot is None:
         return _plain(left, right, _equal(pairs), kind, outputs)
@@ -122,6 +136,7 @@ def lookup(
     how: str = "LEFT",
     hot: str | None = None,
     names: tuple[str, str] = ("left", "right"),
+    all_pairs: bool = False,
 ) -> DataFrame:
     """Add columns of a reference table to each row.
 
@@ -134,7 +149,7 @@ def lookup(
         raise ValueError("lookup returns no column")
     added = [("right", r, r) if isinstance(r, str) else ("right", *r) for r in returns]
     kept = [("left", c, c) for c in df.columns]
-    return join(df, reference, on, how, kept + added, hot, names)
+    return join(df, reference, on, how, kept + added, hot, names, all_pairs)
 
 
 def _pairs(on) -> list[Pair] | None:
@@ -145,12 +160,24 @@ def _pairs(on) -> list[Pair] | None:
         if on.strip():
             return None
     elif on:
-        return [on] if isinstance(on[0], str) else [tuple(pair) for pair in on]
+        if isinstance(on, tuple) and len(on) == 2 and all(isinstance(c, str) for c in on):
+            return [on]
+        if any(isinstance(pair, str) or len(pair) != 2 for pair in on):
+            raise ValueError(f"join keys must be (left, right) pairs, not {on!r}")
+        return [tuple(pair) for pair in on]
     raise ValueError("join has no condition")
 
 
-def _condition(on: str | Column) -> Column:
-    return F.expr(one_line(on)) if isinstance(on, str) else on
+def _has_equality(left, right, condition: Column, kind: str, names) -> bool:
+    """Whether Spark can take a key from the condition. Asked of Spark's own optimizer."""
+    joined = left.alias(names[0]).join(right.alias(names[1]), condition, kind)
+    plan = joined._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        if plan.children().size() != 1:
+            return True
+        plan = plan.children().apply(0)
+    planning = joined.sparkSession._jvm.org.apache.spark.sql.catalyst.planning
+    return planning.ExtractEquiJoinKeys.unapply(plan).isDefined()
 
 
 def _equal(pairs: Sequence[Pair]) -> Column:
@@ -281,11 +308,9 @@ def _unmatched(side, df, df_null, other, pairs, outputs) -> DataFrame:
     # A key stands in where the output keeps no column of this side.
     needed = list(dict.fromkeys(c for s, c, _ in outputs if s == side)) or [pairs[0][0]]
     alone = _existence(df, other, pairs, "left_anti", [("left", c, c) for c in needed])
-    return alone.unionAll(df_null.select(*map(quoted, needed))).selectExpr(
+    return alone.unionAll(df_null.select(*map(quoted, needed))).select(
         *[
-            f"{quoted(c)} AS {quoted(name)}"
-            if s == side
-            else f"CAST(NULL AS {_type(other, c).simpleString()}) AS {quoted(name)}"
+            (F.col(quoted(c)) if s == side else F.lit(None).cast(_type(other, c))).alias(name)
             for s, c, name in outputs
         ]
     )

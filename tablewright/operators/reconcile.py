@@ -2,8 +2,11 @@
 
 Keys are compared null-safely: NULL equals NULL. Values are compared by their
 trimmed text, NULL equal only to NULL, so that representation differences in
-padding do not count. With ``compare="typed"`` a column is compared in the common
-type of both sides instead (INT 10 equals DOUBLE 10.0), strings still trimmed.
+padding do not count. With ``compare="typed"`` the values themselves are compared
+(INT 10 equals DOUBLE 10.0), strings still trimmed: in the common type of both sides
+where that type holds either without loss, else by a text of the exact value. A
+floating-point number stands for the shortest decimal that reads back as it. Keys of
+unlike types are compared like that as well.
 
 Where a key occurs several times, each expected row is compared with each actual
 row of that key. Those pairs are counted and never formed: equal rows are first
@@ -74,11 +77,11 @@ def mismatches(
     """
     keys = _comparable(expected, actual, keys)
     per_key = _per_key(_tally(expected, actual, keys, compare), len(keys))
-    return per_key.filter("pairs > 0").selectExpr(
+    return per_key.filter("pairs > 0").select(
         *_keys_back(expected, keys),
-        "e AS expected_rows",
-        "a AS actual_rows",
-        "pairs AS mismatched_pairs",
+        F.col("e").alias("expected_rows"),
+        F.col("a").alias("actual_rows"),
+        F.col("pairs").alias("mismatched_pairs"),
     )
 
 
@@ -93,11 +96,11 @@ def mismatch_rows(
     """
     keys = _comparable(expected, actual, keys)
     values = [c for c in expected.columns if c not in keys]
-    return _suspect(_tally(expected, actual, keys, compare), len(keys)).selectExpr(
+    return _suspect(_tally(expected, actual, keys, compare), len(keys)).select(
         *_keys_back(expected, keys),
-        *[f"v{i} AS {quoted(c)}" for i, c in enumerate(values)],
-        "e AS expected_rows",
-        "a AS actual_rows",
+        *[F.col(f"v{i}").alias(c) for i, c in enumerate(values)],
+        F.col("e").alias("expected_rows"),
+        F.col("a").alias("actual_rows"),
     )
 
 
@@ -107,14 +110,38 @@ def mismatches_by_column(
     """Per compared column, the number of pairs in which it differs.
 
     Rows: ``column_name``, ``mismatched_pairs``; columns without a difference have 0.
+    Keys with one distinct row on each side are compared column by column in the
+    aggregation that finds them. Only the rows of keys with more are taken apart.
     """
     keys = _comparable(expected, actual, keys)
     values = [c for c in expected.columns if c not in keys]
     if not values:
         raise ValueError("there is no column besides the keys to compare")
-    suspect = _suspect(_tally(expected, actual, keys, compare), len(keys))
-    ks = _numbered("k", len(keys))
-    texts = ", ".join(_cell(suspect, v) for v in _numbered("v", len(values)))
+    tally = _tally(expected, actual, keys, compare)
+    ks, vs = _numbered("k", len(keys)), _numbered("v", len(values))
+    paired = tally.groupBy(*ks).agg(
+        *_sums(),
+        *[F.expr(f"count_if({side} > 0) AS n_{side}") for side in "ea"],
+        *[
+            F.expr(f"first({v}) FILTER (WHERE {side} > 0) AS {v}_{side}")
+            for v in vs
+            for side in "ea"
+        ],
+    )
+    product = f"CAST(e AS {_COUNT}) * CAST(a AS {_COUNT})"
+    ordinary = paired.filter("n_e = 1 AND n_a = 1").agg(
+        *[F.expr(f"sum({product}) FILTER (WHERE NOT {v}_e <=> {v}_a) AS {v}") for v in vs]
+    )
+    ordinary = ordinary.select(
+        F.posexplode(F.array(*[F.coalesce(v, F.lit(0)).cast(_PAIRS) for v in vs])).alias(
+            "column_no", "pairs"
+        )
+    )
+    several = _per_key(tally, len(keys), ["n_e", "n_a"]).filter(
+        "pairs > 0 AND (n_e > 1 OR n_a > 1)"
+    )
+    suspect = _rows_of_keys(tally, several, len(keys))
+    texts = ", ".join(_cell(suspect, v) for v in vs)
     cells = suspect.selectExpr(
         *ks,
         "e",
@@ -123,10 +150,8 @@ def mismatches_by_column(
     )
     per_cell = cells.groupBy(*ks, "column_no", "cell").agg(*_sums())
     found = _pairs_of(per_cell, [*ks, "column_no"]).select("column_no", "pairs")
-    # One row for each column, so that those without a difference are reported too.
-    numbers = f"explode(sequence(0, {len(values) - 1})) AS column_no"
-    every = expected.sparkSession.range(1).selectExpr(numbers, f"CAST(0 AS {_PAIRS}) AS pairs")
-    totals = every.unionAll(found).groupBy("column_no").agg(F.sum("pairs").alias("pairs"))
+    # The ordinary keys give a row for each column, so those without a difference are there too.
+    totals = ordinary.unionAll(found).groupBy("column_no").agg(F.sum("pairs").alias("pairs"))
     return totals.select(
         F.lit(values)[F.col("column_no")].alias("column_name"),
         F.col("pairs").cast(_PAIRS).alias("mismatched_pairs"),
@@ -145,12 +170,15 @@ def report(
     names), ``row_count_validation``, ``data_validation`` (missing, extra and
     mismatched rows) and ``overall_status``. Data that cannot be compared because
     the schemas differ is SKIPPED and fails overall; absent keys or inputs fail.
-    Duplicate keys are a warning only. ``errors`` and ``warnings`` are text arrays.
+    Duplicate keys are a warning only. ``errors`` and ``warnings`` are text arrays, and so
+    are ``expected_columns`` and ``actual_columns``, NULL for an absent table.
     """
     if expected is None or actual is None:
         name = "expected" if expected is None else "actual"
         nothing = SparkSession.active().range(1).select()
-        return _report_row(nothing, False, "FAIL", [f"there is no {name} table"])
+        columns = [df if df is None else df.columns for df in (expected, actual)]
+        return _report_row(nothing, False, "FAIL", [f"there is no {name} table"], columns)
+    columns = [expected.columns, actual.columns]
     keys = group_keys(keys)
     errors = []
     same = compare_schema(expected, actual)
@@ -164,14 +192,16 @@ def report(
     if not keys:
         errors.append("no keys are given")
     if not keys or any(absent.values()):
-        return _report_row(_row_counts(expected, actual), same, "FAIL", errors)
+        return _report_row(_row_counts(expected, actual), same, "FAIL", errors, columns)
     if not same:
-        return _report_row(_row_counts(expected, actual), same, "SKIPPED", errors)
+        return _report_row(_row_counts(expected, actual), same, "SKIPPED", errors, columns)
     totals = _totals(_tally(expected, actual, keys, compare), len(keys))
-    return _report_row(totals, same, None, errors)
+    return _report_row(totals, same, None, errors, columns)
 
 
-def _report_row(totals: DataFrame, same: bool, data: str | None, errors: list) -> DataFrame:
+def _report_row(
+    totals: DataFrame, same: bool, data: str | None, errors: list, columns: list
+) -> DataFrame:
     """The report on counts; ``data`` is the data verdict where nothing was compared."""
     have = totals.columns
     schema = "PASS" if same else "FAIL"
@@ -209,6 +239,10 @@ def _report_row(totals: DataFrame, same: bool, data: str | None, errors: list) -
             f"array_compact(array(CASE WHEN {twice} THEN 'some keys occur more than once' END))"
             " AS warnings"
         ),
+        *[
+            F.lit(names).cast("array<string>").alias(f"{side}_columns")
+            for side, names in zip(("expected", "actual"), columns)
+        ],
     )
 
 
@@ -266,20 +300,20 @@ def _tagged(expected: DataFrame, actual: DataFrame) -> DataFrame:
 def _one_sided(having: DataFrame, lacking: DataFrame, keys) -> DataFrame:
     keys = _required_keys(keys, having, lacking)
     ks = _numbered("k", len(keys))
+    exprs = _key_exprs(having, lacking, keys)
 
-    def named(df: DataFrame) -> DataFrame:
-        return df.selectExpr(*[f"{quoted(k)} AS {n}" for k, n in zip(keys, ks)])
+    def named(df: DataFrame, side: int) -> DataFrame:
+        return df.selectExpr(*[f"{pair[side]} AS {n}" for pair, n in zip(exprs, ks)])
 
     # Whether a key occurs is all that matters, so one flag per side is enough.
-    seen = _tagged(named(having), named(lacking)).groupBy(*ks).agg(F.max("a").alias("a"))
-    return seen.filter("a = 0").selectExpr(*_keys_back(having, keys))
+    seen = _tagged(named(having, 0), named(lacking, 1)).groupBy(*ks).agg(F.max("a").alias("a"))
+    return seen.filter("a = 0").select(*_keys_back(having, keys))
 
 
-def _keys_back(table: DataFrame, keys: Sequence[str]) -> list[str]:
+def _keys_back(table: DataFrame, keys: Sequence[str]) -> list[Column]:
     """Key columns under their names and, after the union, in the types of ``table``."""
     return [
-        f"CAST(k{i} AS {table.schema[key].dataType.simpleString()}) AS {quoted(key)}"
-        for i, key in enumerate(keys)
+        F.col(f"k{i}").cast(table.schema[key].dataType).alias(key) for i, key in enumerate(keys)
     ]
 
 
@@ -288,51 +322,133 @@ def _tally(expected: DataFrame, actual: DataFrame, keys: Sequence[str], compare:
     if compare not in ("text", "typed"):
         raise ValueError(f"compare must be 'text' or 'typed', not {compare!r}")
     values = [c for c in expected.columns if c not in keys]
-    types = [(expected.schema[c].dataType, actual.schema[c].dataType) for c in values]
-    native = [_native(one, other, compare) for one, other in types]
+    key_exprs = _key_exprs(expected, actual, keys)
+    value_exprs = [
+        _compared(c, expected.schema[c].dataType, actual.schema[c].dataType, compare)
+        for c in values
+    ]
 
-    def named(df: DataFrame) -> DataFrame:
+    def named(df: DataFrame, side: int) -> DataFrame:
         return df.selectExpr(
-            *[f"{quoted(k)} AS k{i}" for i, k in enumerate(keys)],
-            *[
-                (f"{quoted(c)} AS v{i}" if as_is else f"trim(string({quoted(c)})) AS v{i}")
-                for i, (c, as_is) in enumerate(zip(values, native))
-            ],
+            *[f"{pair[side]} AS k{i}" for i, pair in enumerate(key_exprs)],
+            *[f"{pair[side]} AS v{i}" for i, pair in enumerate(value_exprs)],
         )
 
     return (
-        _tagged(named(expected), named(actual))
+        _tagged(named(expected, 0), named(actual, 1))
         .groupBy(*_numbered("k", len(keys)), *_numbered("v", len(values)))
         .agg(*_sums())
     )
 
 
-def _native(one: T.DataType, other: T.DataType, compare: str) -> bool:
-    """Whether two columns can be compared as they are rather than by their text.
-
-    That is so where it makes no difference, which saves turning numbers and dates
-    into text; and in a typed comparison where the types have a common one.
-    """
+def _compared(column: str, one: T.DataType, other: T.DataType, compare: str) -> tuple[str, str]:
+    """What stands for a value of either side: equal just when the values count as equal."""
+    name = quoted(column)
     if one == other and isinstance(one, _SAME_AS_TEXT):
-        return True
+        return name, name
     if isinstance(one, T.IntegralType) and isinstance(other, T.IntegralType):
-        return True
-    if compare == "text":
-        return False
-    numeric = isinstance(one, T.NumericType) and isinstance(other, T.NumericType)
-    dated = isinstance(one, _DATED) and isinstance(other, _DATED)
-    return numeric or dated or (one == other and not isinstance(one, T.StringType))
+        return name, name
+    if compare == "typed":
+        numeric = isinstance(one, T.NumericType) and isinstance(other, T.NumericType)
+        dated = isinstance(one, _DATED) and isinstance(other, _DATED)
+        if numeric and one != other:
+            return _numbers(name, one, other)
+        if dated and {type(one), type(other)} == {T.TimestampType, T.TimestampNTZType}:
+            return _instant(name, one), _instant(name, other)
+        if numeric or dated or (one == other and not isinstance(one, T.StringType)):
+            return name, name
+    return f"trim(string({name}))", f"trim(string({name}))"
+
+
+def _key_exprs(one: DataFrame, other: DataFrame, keys: Sequence[str]) -> list[tuple[str, str]]:
+    """What stands for the keys of either side; it can be cast back to the type it came from."""
+    exprs = []
+    for key in keys:
+        a, b, name = one.schema[key].dataType, other.schema[key].dataType, quoted(key)
+        if isinstance(a, T.NumericType) and isinstance(b, T.NumericType) and a != b:
+            exprs.append(_numbers(name, a, b))
+        elif {type(a), type(b)} == {T.TimestampType, T.TimestampNTZType}:
+            raise ValueError(f"key {key!r} is an instant on one side and a local time on the other")
+        else:
+            exprs.append((name, name))
+    return exprs
+
+
+def _numbers(name: str, one: T.DataType, other: T.DataType) -> tuple[str, str]:
+    """Two numbers of unlike types: as they are where the type that Spark gives both holds them."""
+    digits = [_digits(t) for t in (one, other)]
+    floats = [isinstance(t, (T.FloatType, T.DoubleType)) for t in (one, other)]
+    if all(floats) or all(isinstance(t, T.IntegralType) for t in (one, other)):
+        return name, name
+    if not any(floats):
+        whole, scale = (max(d[i] for d in digits) for i in (0, 1))
+        if whole + scale <= 38:
+            kind = f"decimal({whole + scale},{scale})"
+            return f"CAST({name} AS {kind})", f"CAST({name} AS {kind})"
+    return _exact_text(name), _exact_text(name)
+
+
+def _digits(kind: T.DataType) -> tuple[int, int]:
+    """Most digits before and after the point; of no use for floating-point types."""
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale, kind.scale
+    # Digits of the integral types.
+    return {"tinyint": 3, "smallint": 5, "int": 10}.get(kind.simpleString(), 19), 0
+
+
+def _exact_text(name: str) -> str:
+    """A number as plain decimal text, without exponent, needless zeros or a sign on zero."""
+    text = f"upper(string({name}))"
+    exponent = f"coalesce(try_cast(nullif(split_part({text}, 'E', 2), '') AS int), 0)"
+    mantissa = f"ltrim('-', split_part({text}, 'E', 1))"
+    fraction = f"split_part({mantissa}, '.', 2)"
+    sign = f"CASE WHEN {text} LIKE '-%' THEN '-' ELSE '' END"
+    # d: all digits; p: how many of them stand before the point.
+    parts = (
+        f"named_struct('s', {sign}, 'd', concat(split_part({mantissa}, '.', 1), {fraction}), "
+        f"'p', length(split_part({mantissa}, '.', 1)) + {exponent})"
+    )
+    padded = (
+        "named_struct('s', x.s, 'd', concat(repeat('0', greatest(0, 1 - x.p)), x.d, "
+        "repeat('0', greatest(0, x.p - length(x.d)))), 'p', greatest(1, x.p))"
+    )
+    whole = "coalesce(nullif(ltrim('0', left(x.d, x.p)), ''), '0')"
+    rest = "rtrim('0', substr(x.d, x.p + 1))"
+    plain = (
+        f"CASE WHEN ltrim('0', x.d) = '' THEN '0' WHEN {rest} = '' THEN concat(x.s, {whole}) "
+        f"ELSE concat(x.s, {whole}, '.', {rest}) END"
+    )
+    number = (
+        f"transform(transform(array({parts}), x -> {padded}), x -> {plain})[0]"
+    )
+    return f"CASE WHEN {text} RLIKE '^-?[0-9]' THEN {number} ELSE {text} END"
 
 
-def _pairs_of(counted: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Per group: rows of each side, distinct rows, and pairs of differing rows."""
+def _instant(name: str, kind: T.DataType) -> str:
+    """An instant as text; a local time that the session's time zone skips is none."""
+    if isinstance(kind, T.TimestampType):
+        return f"string(unix_micros({name}))"
+    at = f"CAST({name} AS timestamp)"
+    skipped = f"concat('local ', string({name}))"
+    return (
+        f"CASE WHEN CAST({at} AS timestamp_ntz) = {name} THEN string(unix_micros({at})) "
+        f"WHEN {name} IS NOT NULL THEN {skipped} END"
+    )
+
+
+def _pairs_of(
+    counted: DataFrame, by: Sequence[str], more: Sequence[Column] = ()
+) -> DataFrame:
+    """Per group: rows of each side, pairs of differing rows, and what ``more`` adds."""
     product = f"CAST(e AS {_COUNT}) * CAST(a AS {_COUNT})"
-    grouped = counted.groupBy(*by).agg(*_sums(), F.expr(f"sum({product}) AS equal"))
+    grouped = counted.groupBy(*by).agg(*_sums(), F.expr(f"sum({product}) AS equal"), *more)
     return grouped.selectExpr("*", f"CAST({product} - equal AS {_PAIRS}) AS pairs")
 
 
-def _per_key(tally: DataFrame, n_keys: int) -> DataFrame:
-    return _pairs_of(tally, _numbered("k", n_keys))
+def _per_key(tally: DataFrame, n_keys: int, distinct: Sequence[str] = ()) -> DataFrame:
+    """``distinct`` may name ``n_e`` and ``n_a``, the distinct rows of each side."""
+    counts = [F.expr(f"count_if({c[-1]} > 0) AS {c}") for c in distinct]
+    return _pairs_of(tally, _numbered("k", n_keys), counts)
 
 
 def _totals(tally: DataFrame, n_keys: int) -> DataFrame:
@@ -347,14 +463,19 @@ def _totals(tally: DataFrame, n_keys: int) -> DataFrame:
 
 
 def _suspect(tally: DataFrame, n_keys: int) -> DataFrame:
-    """The rows of the tally whose key has a mismatched pair.
+    """The rows of the tally whose key has a mismatched pair."""
+    return _rows_of_keys(tally, _per_key(tally, n_keys).filter("pairs > 0"), n_keys)
+
+
+def _rows_of_keys(tally: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
+    """The rows of the tally whose key is among ``keys``.
 
     Joined on a hash besides the keys, so that the grouped keys are exchanged once
     more and adaptive execution can split a hot key on the tally side.
     """
     ks = _numbered("k", n_keys)
     hashed = f"xxhash64({', '.join(ks)}) AS h"
-    bad = _per_key(tally, n_keys).filter("pairs > 0").selectExpr(*ks, hashed).alias("bad")
+    wanted = keys.selectExpr(*ks, hashed).alias("wanted")
     rows = tally.selectExpr("*", hashed).alias("rows")
-    condition = " AND ".join(["rows.h = bad.h", *[f"rows.{k} <=> bad.{k}" for k in ks]])
-    return rows.join(bad, F.expr(condition), "left_semi").drop("h")
+    condition = " AND ".join(["rows.h = wanted.h", *[f"rows.{k} <=> wanted.{k}" for k in ks]])
+    return rows.join(wanted, F.expr(condition), "left_semi").drop("h")

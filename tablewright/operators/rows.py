@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.columns import one_line
-
-
 def keep(df: DataFrame, predicate: str | Column) -> DataFrame:
     """Rows for which the predicate is true; NULL counts as not true."""
     if isinstance(predicate, str):
-        predicate = one_line(predicate)
-        if not predicate:
+        if not predicate.strip():
             raise ValueError("filter has no predicate")
         predicate = F.expr(predicate)
     elif predicate is None:

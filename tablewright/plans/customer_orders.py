@@ -86,26 +86,21 @@ def customer_order_summary(
 def expected_summary(
     customer: DataFrame, orders: DataFrame, nation: DataFrame, region: DataFrame
 ) -> DataFrame:
-    """The same result stated independently in SQL, to reconcile a load with."""
+    """The same result by another way, to reconcile a load with: every order joined, then grouped."""
     return customer.sparkSession.sql(
         """
-        WITH completed AS (
-            SELECT o_custkey, count(o_orderkey) AS n, max(o_orderdate) AS latest,
-                   sum(cast(o_totalprice AS decimal(18,2))) AS amount
-            FROM {orders} WHERE o_orderstatus = 'F' AND o_totalprice > 0
-            GROUP BY o_custkey
-        )
         SELECT c.c_custkey AS customer_id,
                upper(trim(c.c_name)) AS customer_name,
                n.n_name AS country_name,
                r.r_name AS region,
-               cast(sum(o.n) AS int) AS total_orders,
-               cast(sum(o.amount) AS decimal(18,2)) AS total_amount,
-               cast(max(o.latest) AS date) AS last_order_date
+               cast(count(o.o_orderkey) AS int) AS total_orders,
+               cast(sum(cast(o.o_totalprice AS decimal(18,2))) AS decimal(18,2)) AS total_amount,
+               cast(max(o.o_orderdate) AS date) AS last_order_date
         FROM {customer} c
-        JOIN completed o ON o.o_custkey = c.c_custkey
+        JOIN {orders} o ON o.o_custkey = c.c_custkey
         LEFT JOIN {nation} n ON n.n_nationkey = c.c_nationkey
         LEFT JOIN {region} r ON r.r_regionkey = n.n_regionkey
+        WHERE o.o_orderstatus = 'F' AND o.o_totalprice > 0
         GROUP BY c.c_custkey, upper(trim(c.c_name)), n.n_name, r.r_name
         """,
         customer=customer,

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.checks import column_differences
+from tablewright.operators.checks import column_differences, type_differences
 from tablewright.operators.columns import conform
 from tablewright.operators.reconcile import report
 from tablewright.sources.tables import TARGET_SCHEMA, ensure_table, load_overwrite
@@ -26,20 +26,22 @@ def load_and_verify(
 ) -> DataFrame:
     """Create the target, overwrite it with ``result``, read it back and check it.
 
-    Returns one row: ``status``, ``missing_columns`` and ``extra_columns`` of the
-    target against the declaration, then the columns of ``reconcile.report`` of the
+    Returns one row: ``status``, ``missing_columns``, ``extra_columns`` and ``other_types`` of
+    the target against the declaration, then the columns of ``reconcile.report`` of the
     loaded table against ``expected``. The load runs at once, the checks when the
     row is asked for.
     """
     spark = result.sparkSession
     declared = list(declared)
     target = ensure_table(spark, name, declared, schema, catalog, fmt, location)
-    load_overwrite(conform(result, declared), target, fmt, location)
+    load_overwrite(conform(result, declared), target)
     loaded = spark.table(target)
     missing, extra = column_differences(loaded, declared)
+    other = type_differences(loaded, declared)
     return report(expected, loaded, keys).select(
-        F.lit("INVALID" if missing or extra else "VALID").alias("status"),
+        F.lit("INVALID" if missing or extra or other else "VALID").alias("status"),
         F.lit(", ".join(missing)).alias("missing_columns"),
         F.lit(", ".join(extra)).alias("extra_columns"),
+        F.lit(", ".join(other)).alias("other_types"),
         "*",
     )

@@ -6,6 +6,7 @@ on both sides; money is DECIMAL, averages of doubles are rounded.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -263,11 +264,12 @@ def expr_date(t):
 )
 def filter_rows(t):
     # The second condition is NULL for low priorities.
-    kept = keep(t.orders, "o_orderstatus = 'F'\nAND nullif(o_orderpriority, '5-LOW') < '4'")
+    closed = "o_orderstatus = 'F' -- the closed ones"
+    kept = keep(t.orders, f"{closed}\nAND nullif(o_orderpriority, '5-LOW') < '4'")
     return source_view(kept, ["o_orderkey", "o_orderstatus", "o_totalprice"])
 
 
-# Joins and lookups. Both inputs of the customer-order joins hold unmatched keys.
+# Joins and lookups. Both inputs of the outer customer-order joins hold unmatched keys.
 
 
 def _customers(t):
@@ -289,10 +291,14 @@ def _customer_order_sql(kind: str) -> str:
     """
 
 
-@query(_customer_order_sql("INNER"))
+@query(
+    """
+    SELECT c_custkey, c_name, o_orderkey, o_custkey
+    FROM customer INNER JOIN orders ON c_custkey = o_custkey
+    """
+)
 def join_inner(t):
-    on = ("c_custkey", "o_custkey")
-    return join(_customers(t), _closed_orders(t), on, "NORMAL JOIN", _CUSTOMER_ORDER)
+    return join(t.customer, t.orders, ("c_custkey", "o_custkey"), "NORMAL JOIN", _CUSTOMER_ORDER)
 
 
 @query(_customer_order_sql("LEFT"))
@@ -708,7 +714,8 @@ def recon_mismatches_by_column(t):
            CASE WHEN n_e = n_a THEN ''
                 ELSE concat('row counts differ: expected ', n_e, ', actual ', n_a) END AS errors,
            CASE WHEN twice_e + twice_a = 0 THEN '' ELSE 'some keys occur more than once' END
-               AS warnings
+               AS warnings,
+           'k, st, amt, prio' AS expected_columns, 'k, st, amt, prio' AS actual_columns
     FROM (SELECT
         (SELECT count(*) FROM e) AS n_e,
         (SELECT count(*) FROM a) AS n_a,
@@ -745,10 +752,56 @@ def recon_typed(t):
     return reconcile.mismatches(expected, actual, "k", compare="typed")
 
 
+@query(
+    """
+    SELECT o_orderkey AS k, CAST(1 AS BIGINT) AS expected_rows, CAST(1 AS BIGINT) AS actual_rows,
+           CAST(1 AS DECIMAL(38,0)) AS mismatched_pairs
+    FROM (SELECT o_orderkey, o_orderkey + 9007199254740992 AS v FROM orders)
+    WHERE CAST(CAST(v AS DOUBLE) AS HUGEINT) <> CAST(v AS HUGEINT)
+    """
+)
+def recon_typed_exact(t):
+    # Whole numbers beyond 2^53, of which a DOUBLE holds the even ones.
+    expected = t.orders.selectExpr("o_orderkey AS k", "o_orderkey + 9007199254740992 AS v")
+    actual = expected.selectExpr("k", "CAST(v AS double) AS v")
+    return reconcile.mismatches(expected, actual, "k", compare="typed")
+
+
+@query(
+    _PAIR
+    + """
+    SELECT 'FAIL' AS schema_validation,
+           CASE WHEN n_e = n_a THEN 'PASS' ELSE 'FAIL' END AS row_count_validation,
+           'SKIPPED' AS data_validation, 'FAIL' AS overall_status,
+           n_e AS expected_row_count, n_a AS actual_row_count,
+           CAST(NULL AS BIGINT) AS missing_rows, CAST(NULL AS BIGINT) AS extra_rows,
+           CAST(NULL AS DECIMAL(38,0)) AS mismatched_rows,
+           CAST(NULL AS BIGINT) AS duplicate_expected_keys,
+           CAST(NULL AS BIGINT) AS duplicate_actual_keys,
+           concat('columns differ: expected [''k'', ''st'', ''amt'', ''prio''], ',
+                  'actual [''k'', ''st'', ''prio'', ''amt'']',
+                  CASE WHEN n_e = n_a THEN ''
+                       ELSE concat('; row counts differ: expected ', n_e, ', actual ', n_a) END)
+               AS errors,
+           '' AS warnings,
+           'k, st, amt, prio' AS expected_columns, 'k, st, prio, amt' AS actual_columns
+    FROM (SELECT (SELECT count(*) FROM e) AS n_e, (SELECT count(*) FROM a) AS n_a)
+    """
+)
+def reconcile_report_schemas(t):
+    actual = source_view(_actual_orders(t), ["k", "st", "prio", "amt"])
+    return _flat(reconcile.report(_expected_orders(t), actual, "k"))
+
+
 def _flat(report):
     return derive(
         report,
-        [("errors", "array_join(errors, '; ')"), ("warnings", "array_join(warnings, '; ')")],
+        [
+            ("errors", "array_join(errors, '; ')"),
+            ("warnings", "array_join(warnings, '; ')"),
+            ("expected_columns", "array_join(expected_columns, ', ')"),
+            ("actual_columns", "array_join(actual_columns, ', ')"),
+        ],
     )
 
 
@@ -903,6 +956,9 @@ _CUSTOMER_ORDERS = """
 """
 
 
+_TARGET_COLUMNS = "'" + ", ".join(c.name for c in customer_orders.TARGET) + "'"
+
+
 @query(_CUSTOMER_ORDERS)
 def customer_order_summary(t):
     return customer_orders.customer_order_summary(t.customer, t.orders, t.nation, t.region)
@@ -911,8 +967,8 @@ def customer_order_summary(t):
 def _target(t) -> tuple[str, str | None]:
     """Name and place of a target: one per input and application, in the shared folder
     where the cluster names one."""
-    run = f"{t.directory}_{t.spark.conf.get('spark.app.id')}"
-    name = "customer_order_summary_" + "".join(c if c.isalnum() else "_" for c in run)[-80:]
+    run = f"{t.directory}\n{t.spark.conf.get('spark.app.id')}"
+    name = "customer_order_summary_" + hashlib.sha256(run.encode()).hexdigest()
     shared = t.spark.conf.get("spark.checkpoint.dir", None)
     return name, f"{shared.rstrip('/')}/{name}" if shared else None
 
@@ -920,7 +976,8 @@ def _target(t) -> tuple[str, str | None]:
 @query(
     f"""
     SELECT 'INVALID' AS status, 'segment' AS missing_columns,
-           'last_order_date, region' AS extra_columns, count(*) AS row_count
+           'region, last_order_date' AS extra_columns,
+           'total_amount: decimal(18,2), not decimal(20,2)' AS other_types, count(*) AS row_count
     FROM ({_CUSTOMER_ORDERS})
     """
 )
@@ -931,21 +988,22 @@ def verify_target(t):
     declared = [c for c in customer_orders.TARGET if c.name in loaded]
     target = ensure_table(t.spark, name, declared, schema=None, location=location)
     summary = customer_order_summary(t)
-    load_overwrite(source_view(summary, loaded), target, location=location)
-    wanted = [("customer_id", "BIGINT"), ("segment", "VARCHAR"), ("total_amount", "DECIMAL")]
+    load_overwrite(source_view(summary, loaded), target)
+    wanted = [("customer_id", "BIGINT"), ("segment", "VARCHAR"), ("total_amount", "DECIMAL", 20)]
     return checks.verify_target(t.spark, target, wanted).drop("table_name")
 
 
 @query(
     f"""
-    SELECT 'VALID' AS status, '' AS missing_columns, '' AS extra_columns,
+    SELECT 'VALID' AS status, '' AS missing_columns, '' AS extra_columns, '' AS other_types,
            'PASS' AS schema_validation, 'PASS' AS row_count_validation,
            'PASS' AS data_validation, 'PASS' AS overall_status,
            count(*) AS expected_row_count, count(*) AS actual_row_count,
            CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows,
            CAST(0 AS DECIMAL(38,0)) AS mismatched_rows,
            CAST(0 AS BIGINT) AS duplicate_expected_keys,
-           CAST(0 AS BIGINT) AS duplicate_actual_keys, '' AS errors, '' AS warnings
+           CAST(0 AS BIGINT) AS duplicate_actual_keys, '' AS errors, '' AS warnings,
+           {_TARGET_COLUMNS} AS expected_columns, {_TARGET_COLUMNS} AS actual_columns
     FROM ({_CUSTOMER_ORDERS})
     """
 )

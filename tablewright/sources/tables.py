@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablewright.functions.text import quoted
 from tablewright.functions.types import declared_columns
@@ -12,6 +17,8 @@ from tablewright.functions.types import declared_columns
 # Schema of a source and of a target that name none.
 SOURCE_SCHEMA = "bronze"
 TARGET_SCHEMA = "silver"
+# Formats whose tables are plain folders of files.
+FILE_FORMATS = ("parquet", "orc", "avro", "csv", "json", "text")
 
 
 def table_name(name: str, schema: str | None = None, catalog: str | None = None) -> str:
@@ -58,18 +65,94 @@ def ensure_table(
     return full_name
 
 
-def load_overwrite(
-    df: DataFrame, full_name: str, fmt: str = "parquet", location: str | None = None
-) -> None:
-    """Replace the whole content of the table with ``df``.
+def load_overwrite(df: DataFrame, full_name: str) -> None:
+    """Replace the whole content of an existing table with ``df``, and nothing but the content.
 
-    ``full_name`` is a qualified name as returned by ``ensure_table``. The write
-    takes its types from ``df``, so ``columns.conform`` belongs before it.
+    ``full_name`` is a qualified name as returned by ``ensure_table``. Format, location in use,
+    partitioning and types are the table's; columns are matched by name and cast to its types,
+    and both sides must have the same. Rows are exchanged once the write has succeeded: a load
+    that fails leaves the old ones. ``df`` may read the table itself.
+
+    A table of files gets its new files beside the old ones and is then pointed at them; the old
+    files are removed last. Partitions change over one after the other. Tables of other formats
+    take the overwrite of their own, which has to be atomic.
     """
-    writer = df.write.mode("overwrite").format(fmt)
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(full_name)
+    spark = df.sparkSession
+    table = spark.table(full_name)
+    names = table.columns
+    given = {c.lower(): c for c in df.columns}
+    if len(given) != len(df.columns) or given.keys() != {c.lower() for c in names}:
+        raise ValueError(f"the load has columns {df.columns}, the table {names}")
+    rows = df.select(
+        *[
+            F.col(quoted(given[f.name.lower()])).cast(f.dataType).alias(f.name)
+            for f in table.schema
+        ]
+    )
+    described = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {full_name} AS JSON").first()[0])
+    if described.get("provider", "").lower() not in FILE_FORMATS:
+        rows.writeTo(full_name).overwrite(F.lit(True))
+        return
+    partitions = described.get("partition_columns") or []
+    old = described["location"].rstrip("/")
+    new = f"{re.sub('__load_[0-9a-f]{32}$', '', old)}__load_{uuid.uuid4().hex}"
+    writer = rows.write.format(described["provider"])
+    writer = writer.options(**(described.get("storage_properties") or {}))
+    try:
+        writer.partitionBy(*partitions).save(new) if partitions else writer.save(new)
+    except BaseException:
+        _remove(spark, new)
+        raise
+    parts = _partitions(spark, full_name, new, len(partitions)) if partitions else []
+    spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{_literal(new)}'")
+    for statement in parts:
+        spark.sql(statement)
+    spark.catalog.refreshTable(full_name)
+    _remove(spark, old)
+
+
+def _partitions(spark: SparkSession, full_name: str, folder: str, depth: int) -> list[str]:
+    """Statements that turn the table's partitions into those of ``folder``."""
+    had = {r[0] for r in spark.sql(f"SHOW PARTITIONS {full_name}").collect()}
+    now = _folders(spark, folder, depth)
+
+    def spec(path: str) -> str:
+        values = []
+        for part in path.split("/"):
+            name, _, value = part.partition("=")
+            value = unquote(value)
+            null = value == "__HIVE_DEFAULT_PARTITION__"
+            values.append(f"{quoted(name)} = " + ("NULL" if null else f"'{_literal(value)}'"))
+        return f"PARTITION ({', '.join(values)})"
+
+    moved = [
+        f"ALTER TABLE {full_name} {spec(p)} SET LOCATION '{_literal(f'{folder}/{p}')}'"
+        if p in had
+        else f"ALTER TABLE {full_name} ADD {spec(p)} LOCATION '{_literal(f'{folder}/{p}')}'"
+        for p in now
+    ]
+    gone = [f"ALTER TABLE {full_name} DROP {spec(p)}" for p in sorted(had - set(now))]
+    return [*gone, *moved]
+
+
+def _folders(spark: SparkSession, top: str, depth: int) -> list[str]:
+    """Paths of the partitions below ``top``, relative to it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(top)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = [("", path)]
+    for _ in range(depth):
+        found = [
+            (f"{name}/{s.getPath().getName()}".lstrip("/"), s.getPath())
+            for name, folder in found
+            for s in system.listStatus(folder)
+            if s.isDirectory() and "=" in s.getPath().getName()
+        ]
+    return sorted(name for name, _ in found)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def _literal(text: str) -> str:

@@ -1,11 +1,15 @@
+import json
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tablewright.functions import Declared
 from tablewright.operators import checks
 from tablewright.plans import customer_order_summary, expected_summary, load_and_verify
+from tablewright.plans.customer_orders import TARGET
+from tablewright.plans.queries import Tables, _target
 from tablewright.sources import ensure_table, load_overwrite, read_table, table_name
 
 
@@ -91,9 +95,9 @@ def test_create_load_read_and_verify(spark):
     load_overwrite(df, target)
     load_overwrite(df.filter("id > 0"), target)
     assert read_table(spark, "made", "silver").count() == 2
-    assert rows(checks.verify_target(spark, target, declared)) == [(target, "VALID", "", "", 2)]
+    assert rows(checks.verify_target(spark, target, declared)) == [(target, "VALID", "", "", "", 2)]
     assert rows(checks.verify_target(spark, target, ["note", "id", "gone", "lost"])) == [
-        (target, "INVALID", "gone, lost", "amount", 2)
+        (target, "INVALID", "gone, lost", "amount", "id: bigint, not string", 2)
     ]
     with pytest.raises(ValueError, match="no columns"):
         ensure_table(spark, "made_without", [])
@@ -111,9 +115,73 @@ def test_external_table(spark, tmp_path):
     place = str(tmp_path / "it's here")
     for n in (5, 2):
         target = ensure_table(spark, "placed", [("id", "BIGINT")], location=place)
-        load_overwrite(spark.range(n), target, location=place)
+        load_overwrite(spark.range(n), target)
         assert spark.table(target).count() == n
-        assert spark.read.parquet(place).count() == n
+        (current,) = (tmp_path).iterdir()
+        assert current.name.startswith("it's here__load_")
+        assert spark.read.parquet(str(current)).count() == n
+        assert described(spark, target)["type"] == "EXTERNAL"
+
+
+def described(spark, target):
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {target} AS JSON").first()[0])
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+@pytest.mark.parametrize("partitioned", [False, True])
+@pytest.mark.parametrize("external", [False, True])
+def test_an_overwrite_keeps_the_declaration(spark, tmp_path, fmt, partitioned, external):
+    name = f"kept_{fmt}_{partitioned}_{external}".lower()
+    place = f"LOCATION '{tmp_path}/t'" if external else ""
+    by = "PARTITIONED BY (p, `q r`)" if partitioned else ""
+    spark.sql(
+        f"CREATE TABLE {name} (i INT, d DECIMAL(18,2), p STRING, `q r` INT) USING {fmt} {by} {place}"
+    )
+    try:
+        data = [(1, "1.5", "a/b", 1), (2, "2", "it's", 1), (3, None, None, 2)]
+        df = spark.createDataFrame(data, "i long, d string, p string, `q r` long")
+        before = described(spark, name)
+        for part in (df, df.filter("i > 1"), df.filter("i < 3"), df.filter("false"), df):
+            # The order of columns does not matter.
+            load_overwrite(part.select("p", "d", "`q r`", "I"), name)
+            found = [tuple(r) for r in spark.table(name).select("i", "d", "p", "`q r`").collect()]
+            expected = [(r.i, r.d and Decimal(r.d), r.p, r["q r"]) for r in part.collect()]
+            assert sorted(found, key=repr) == sorted(expected, key=repr)
+            if partitioned and part is df:
+                assert spark.sql(f"SHOW PARTITIONS {name}").count() == 3
+                assert spark.table(name).filter("p = 'it''s'").count() == 1
+        after = described(spark, name)
+        for key in ("columns", "provider", "type", "partition_columns"):
+            assert before.get(key) == after.get(key)
+        # A load that reads the table, and one that fails.
+        load_overwrite(spark.table(name).filter("i = 3").union(spark.table(name)), name)
+        assert spark.table(name).count() == 4
+        broken = df.withColumn("d", F.expr("CASE WHEN i = 3 THEN raise_error('no') ELSE d END"))
+        with pytest.raises(Exception, match="no"):
+            load_overwrite(broken.repartition(3), name)
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            load_overwrite(df.withColumn("d", F.lit("x")), name)
+        with pytest.raises(ValueError, match="columns"):
+            load_overwrite(df.drop("d"), name)
+        assert spark.table(name).count() == 4
+        if external:
+            assert len(list(tmp_path.iterdir())) == 1
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_targets_of_other_inputs_are_other_targets(spark):
+    long = "x" * 90
+    folders = [f"/a/{long}", f"/b/{long}", "/data/sf-1", "/data/sf.1", "/data/sf-1/x"]
+    assert len({_target(Tables(spark, f))[0] for f in folders}) == len(folders)
+
+
+def test_a_fault_in_the_summary_is_found(spark):
+    tables = inputs(spark)
+    good = customer_order_summary(*tables)
+    wrong = good.withColumn("total_orders", F.expr("total_orders + CAST(customer_id = 1 AS INT)"))
+    found = load_and_verify(wrong, expected_summary(*tables), "faulty", TARGET, "customer_id").first()
+    assert (found.status, found.overall_status, found.mismatched_rows) == ("VALID", "FAIL", 1)
 
 
 def inputs(spark):

@@ -48,7 +48,6 @@ def test_declarations_may_be_mappings_tuples_or_names():
         [
             {"name": "a", "datatype": "DECIMAL", "precision": "5", "scale": None},
             {"name": "b", "datatype": "int", "length": 4},
-            {"datatype": "int"},
             ("c",),
             "d",
         ]
@@ -67,6 +66,36 @@ def test_declaration_without_columns_or_with_one_twice_is_an_error(columns):
         declared_columns(columns)
 
 
+def test_other_field_names():
+    columns = declared_columns([{"column": "x", "type": "INT"}, {"name": "y", "column": "z"}])
+    assert [(c.name, c.spark_type) for c in columns] == [("x", "INT"), ("y", "STRING")]
+    with pytest.raises(ValueError, match="no name"):
+        declared_columns(["a", {"type": "INT"}])
+
+
+def test_a_view_of_no_columns_is_an_error(spark):
+    with pytest.raises(ValueError):
+        source_view(spark.range(1), [])
+
+
+def test_derive_sees_stars_and_hidden_references(spark):
+    df = spark.createDataFrame([(7, 1)], "a int, b int")
+    for star in ("concat_ws(',', *)", "concat_ws(',',\n *)", "concat_ws(',', /* all */ *)"):
+        for value in (star, F.expr(star)):
+            steps = [("zz", "a + 1"), ("al", value)]
+            one_by_one = df.withColumn("zz", F.expr("a + 1")).withColumn("al", F.expr(star))
+            assert rows(derive(df, steps)) == rows(one_by_one) == [(7, 1, 8, "7,1,8")]
+    steps = [("c", F.col("a") * 2), ("d", F.struct(F.col("A"), F.col("C"))), ("e", "b * 3")]
+    assert rows(derive(df, steps)) == [(7, 1, 14, (7, 14), 3)]
+
+
+def test_derive_batches_columns_like_texts(spark):
+    df = spark.range(1)
+    plan = derive(df, [(f"c{i}x", F.col("id") + i) for i in range(300)])._jdf
+    analysed = plan.queryExecution().analyzed().toString()
+    assert analysed.count("Project") == 1
+
+
 def test_source_view_keeps_all_or_the_declared_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, `b c` int")
     assert source_view(df).columns == ["a", "b c"]

@@ -3,7 +3,9 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright.operators.checks import references
 from tablewright.operators.joins import join, join_type, lookup
+from tablewright.operators.rows import keep
 
 
 def rows(df):
@@ -40,6 +42,13 @@ RIGHT_ONLY = [(None, None, 5, "t"), (None, None, None, "s")]
         (None, "inner"),
         ("normal join", "inner"),
         ("CONNECTED", "inner"),
+        ("INNER JOIN", "inner"),
+        ("LEFTOUTER", "left"),
+        ("rightouter", "right"),
+        ("FullOuter", "full"),
+        ("LEFT OUTER JOIN", "left"),
+        ("LEFTSEMI", "left_semi"),
+        ("LEFTANTI", "left_anti"),
         ("Master", "left"),
         ("detail", "left"),
         ("left_outer", "left"),
@@ -118,7 +127,7 @@ def test_condition_text_and_column_name_the_sides(left, right):
     column = (F.col("left.k") == F.col("right.k")) & (F.col("left.v") < "b")
     for on in (text, column):
         assert rows(join(left, right, on, "INNER", OUT)) == MATCHED[:2]
-    assert rows(join(left, right, "left.k > right.k", "INNER", OUT)) == [
+    assert rows(join(left, right, "left.k > right.k", "INNER", OUT, all_pairs=True)) == [
         (2, "c", 1, "p"),
         (2, "c", 1, "q"),
         (4, "e", 1, "p"),
@@ -163,6 +172,62 @@ def test_missing_condition_is_an_error(left, right, on):
             join(left, right, on, how, OUT)
 
 
+@pytest.mark.parametrize("how", ["INNER", "LEFT", "FULL", "LEFT ANTI"])
+def test_conditions_without_an_equality_need_consent(left, right, how):
+    out = ["v"] if how == "LEFT ANTI" else OUT
+    for on in ("left.k > right.k", "left.k = 1 AND right.k = 1", "left.k = right.k OR left.k = 2"):
+        for condition in (on, F.expr(on)):
+            with pytest.raises(ValueError, match="all_pairs"):
+                join(left, right, condition, how, out)
+        join(left, right, on, how, out, all_pairs=True)
+    join(left, right, "(left.k = right.k AND left.v < 'b') OR left.k = right.k", how, out)
+    join(left, right, "left.k + 1 = right.k -- next\nAND left.v > 'a'", how, out)
+
+
+def test_comments_and_newlines_of_conditions_are_kept(left, right):
+    on = "left.k = right.k -- the key\nAND left.v < 'b'"
+    assert rows(join(left, right, on, "INNER", OUT)) == MATCHED[:2]
+    df = left.sparkSession.createDataFrame([(1, "a\nb"), (3, "a b")], "id int, s string")
+    assert rows(keep(df, "id > 0 -- all\nAND s = 'a b'")) == [(3, "a b")]
+    assert rows(keep(df, "s = 'a\nb'")) == [(1, "a\nb")]
+    other = df.withColumnRenamed("id", "j")
+    assert rows(join(df, other, "left.s = right.s AND left.s = 'a\nb'", select=["id", "j"])) == [(1, 1)]
+
+
+def test_lists_of_plain_names_are_refused(left, right):
+    for on in (["k", "v"], ["k"], [("k", "k", "k")]):
+        with pytest.raises(ValueError, match="pairs"):
+            join(left, right, on, select=OUT)
+
+
+def test_colocated_tables_are_joined_where_they_are(spark):
+    df = spark.range(1000).selectExpr("id AS k", "id % 7 AS v")
+    for name in ("colocated_one", "colocated_two"):
+        df.write.bucketBy(4, "k").mode("overwrite").saveAsTable(name)
+    one, two = spark.table("colocated_one"), spark.table("colocated_two").filter("v = 1")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        found = [
+            join(one, two, ("k", "k"), "LEFT SEMI", colocated=True),
+            join(one, two, ("k", "k"), "LEFT ANTI", colocated=True),
+            references(one, two, ("k", "k"), colocated=True),
+        ]
+        for df in found:
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert [df.count() for df in found] == [143, 857, 857]
+        assert join(one, two, ("k", "k"), "LEFT SEMI").count() == 143
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_hot_full_join_of_odd_field_names(spark):
+    df = spark.sql("SELECT id AS k, named_struct('a-b', id) AS s FROM range(3)")
+    other = df.selectExpr("k + 1 AS j", "s AS u")
+    assert join(df, other, ("k", "j"), "FULL", ["s", "u"], hot="both").count() == 4
+
+
 def test_bad_arguments(left, right):
     with pytest.raises(ValueError, match="absent from the right"):
         join(left, right, ("k", "nope"), select=OUT)
