@@ -21,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -34,7 +33,7 @@ from tablewright.llm.common import (
     plain_texts,
     unpacked_list,
 )
-from tablewright.llm.vocabulary import Remembered, chunks
+from tablewright.llm.vocabulary import Remembered, chunks, compiled
 
 SLOTS = 1 << 16  # of the literal array of maps
 NEVER = 2**31 - 1  # the rank of a pair that does not merge
@@ -148,15 +147,8 @@ def encoded(
     )
 
 
-def _compiled(pattern: str):
-    """The pattern with white space as Unicode has it, which is how the libraries read it."""
-    return regex.compile(
-        pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-    )
-
-
 def _asked(packed: pa.Table, pattern: str, buckets: int) -> pa.Table:
-    find = _compiled(pattern).findall
+    find = compiled(pattern).findall
     parts, words = set(), set()
     for data in plain_texts(packed):
         text = (data or b"").decode()
@@ -238,7 +230,7 @@ def _answered(held: dict[int, list[tuple[bytes, bytes]]]) -> pa.RecordBatch:
 def _encoded_block(
     packed: pa.Table, answers: pa.Table, pattern: str, pieces: dict[str, bytes], ids: bool
 ) -> pa.Table:
-    find = _compiled(pattern).findall
+    find = compiled(pattern).findall
     known: dict[str, str] = {}
     for row in answers.to_pylist():
         flat = np.frombuffer(zstandard.decompress(row["ids"]), "<u4").tolist()
@@ -246,7 +238,7 @@ def _encoded_block(
         ends = np.cumsum(counts, dtype=np.int64).tolist()
         for word, a, b in zip(unpacked_list(row["words"]), [0, *ends], ends):
             known[word.decode()] = " ".join(map(str, flat[a:b]))
-    remembered = Remembered(lambda chunk: " ".join(map(known.__getitem__, find(chunk))))
+    remembered = Remembered(lambda chunk: " ".join(map(known.__getitem__, find(" " + chunk))))
     columns: list[list] = [[], [], [], [], []]
     for doc, data in zip(packed.column("id").to_pylist(), plain_texts(packed)):
         text = (data or b"").decode()

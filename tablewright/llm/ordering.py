@@ -91,7 +91,7 @@ def sequences(
     id_type = "<u4" if layout.wide else "<u2"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkTokenizer(vocabulary).encode
+        encode = ChunkTokenizer.of(vocabulary).encode
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             columns = (c.to_pylist() for c in batch.columns)

@@ -44,7 +44,7 @@ def pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkTokenizer(vocabulary).encode
+        encode = ChunkTokenizer.of(vocabulary).encode
         for batch in batches:
             columns: list[list] = [[], [], [], [], [], []]
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):

@@ -3,60 +3,122 @@
 Both operators that use them split texts by the pattern of the byte-level vocabularies. No match
 of it spans the place before a blank that follows a character other than white space and precedes
 one, so a text may be cut at such blanks, each going with what follows. Chunks repeat far more
-than texts, so each distinct one is encoded once in a task.
+than texts, so each is encoded once and remembered for a while.
 """
 
 from __future__ import annotations
 
+import functools
+import json
 import re
+import unicodedata
+from array import array
 from collections.abc import Callable
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
-MEMORY = 300_000  # chunks that a task remembers; then it starts anew
+# Fixed value: how byte-level vocabularies cut a text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+MEMORY = 300_000  # values of a generation that a task remembers; it keeps two
 # White space before and after a blank, where a cut could change the matches.
 _AWKWARD = re.compile(r"\s (?:\s|\Z)|\A (?:\s|\Z)")
+_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace()]
+
+
+def compiled(pattern: str):
+    """The pattern with white space as Unicode has it, which is how the libraries read it."""
+    return regex.compile(
+        pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+    )
 
 
 def chunks(text: str) -> list[str] | None:
     """The chunks of a text without the blanks that begin all but the first, or None where it
     cannot be cut so."""
-    return None if _AWKWARD.search(text) else text.split(" ")
+    held = [c for c in _BLANKS if c in text]
+    if text.endswith(" ") or any(" " + c in text for c in held):
+        if _AWKWARD.search(text):
+            return None
+    return text.split(" ")
 
 
 class Remembered(dict):
-    """Values of chunks (with the blank), computed when they are first asked for."""
+    """Values by key, computed when first asked for. When there are many, those not asked for again
+    are forgotten."""
 
     def __init__(self, make: Callable[[str], object]):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
-    def __missing__(self, chunk: str):
+    def __missing__(self, key: str):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
         if len(self) >= MEMORY:
+            self.old = dict(self)
             self.clear()
-        value = self[chunk] = self.make(" " + chunk)
+        self[key] = value
         return value
 
 
+def _alphabet() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte: its own where that is a
+    visible one of Latin-1, else the next from 256 on."""
+    seen, other = {}, 256
+    for byte in range(256):
+        visible = byte > 32 and unicodedata.category(chr(byte)) not in ("Cc", "Cf", "Zs")
+        seen[byte] = chr(byte if visible else other)
+        other += not visible
+    return seen
+
+
 class ChunkTokenizer:
-    """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
+    """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them, for byte-level files."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        form = json.loads(self.tokenizer.to_str())
+        cut = form["pre_tokenizer"] or {}
+        if form["normalizer"] or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space"):
+            raise ValueError(f"{path} is no plain byte-level vocabulary")
         self.special = [
             t.content for t in self.tokenizer.get_added_tokens_decoder().values()
         ]
-        self.remembered = Remembered(self._bytes)
-
-    def _bytes(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        self.find, self.alphabet = compiled(PATTERN).findall, _alphabet()
+        self.model = self.tokenizer.model
+        self.words = Remembered(self._of_word)
+        self.remembered = Remembered(self._of_chunk)
+
+    @staticmethod
+    @functools.cache
+    def of(path: str) -> ChunkTokenizer:
+        """The one of this process, which keeps what it remembers from task to task."""
+        return ChunkTokenizer(path)
+
+    def _of_word(self, word: str) -> bytes:
+        plain = word.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
+
+    def _of_chunk(self, chunk: str) -> bytes:
+        if chunk.isascii():
+            if chunk.isalpha():
+                return self.words[" " + chunk]
+            if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+                return self.words[" " + chunk[:-1]] + self.words[chunk[-1]]
+        return self._matches(" " + chunk)
+
+    def _matches(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.find(text)))
 
     def encode(self, text: str) -> np.ndarray:
-        cut = None if any(s in text for s in self.special) else chunks(text)
+        if any(s in text for s in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(ids, "<u4")
+        cut = chunks(text)
         if cut is None:
-            data = self._bytes(text)
+            data = self._matches(text)
         else:
-            data = self._bytes(cut[0]) + b"".join(map(self.remembered.__getitem__, cut[1:]))
+            data = self._matches(cut[0]) + b"".join(map(self.remembered.__getitem__, cut[1:]))
         return np.frombuffer(data, "<u4")
