@@ -9,7 +9,8 @@ so a step looks up the two new pairs only.
 
 Documents lie in blocks. A block asks for its distinct words, packed by ranges of a hash; the
 answers come back to the block, so neither the vocabulary of the corpus nor any document's words
-are ever rows of a join. Decoding concatenates the pieces of the ids.
+are ever rows of a join. Decoding concatenates the pieces of the ids; as that goes id by id, it is
+done for each distinct word, and texts are put together from their words.
 """
 
 from __future__ import annotations
@@ -19,10 +20,8 @@ import hashlib
 import json
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +32,12 @@ from tablewright.llm.common import (
     plain_texts,
     unpacked_list,
 )
-from tablewright.llm.vocabulary import Remembered, chunks, compiled
+from tablewright.llm.vocabulary import Remembered, chunks, compiled, words_of
 
-SLOTS = 1 << 16  # of the literal array of maps
+SLOTS = 1 << 14  # of the literal array of maps
 NEVER = 2**31 - 1  # the rank of a pair that does not merge
-FLUSH = 1_000_000  # answers that a task gathers before it hands them on
+FLUSH = 200_000  # answers that a task gathers before it hands them on
+MEMORY = 150_000  # chunks of a generation that a task remembers for a block
 
 
 def ranks(path: str) -> dict[bytes, int]:
@@ -128,8 +128,9 @@ def encoded(
     """One row for each document: ``doc_id``, ``n_tokens``, ``ids_sha256`` (of the decimal ids joined
     by one space), ``decoded_sha256`` (of the bytes the ids decode to) and, unless switched off,
     ``ids``. A NULL text is empty; repeated rows are encoded each."""
-    n = blocks or block_count(docs.sparkSession)
+    n = blocks or 2 * block_count(docs.sparkSession)
     of = ranks(path)
+    pieces = {str(rank): piece for piece, rank in of.items()}
     packed = dealt(docs, n, doc_id, text)
     by_block = packed.groupBy("block")
     asked = by_block.applyInArrow(
@@ -137,12 +138,15 @@ def encoded(
     )
     words = asked.groupBy("bucket").applyInArrow(_distinct, "word string, blocks array<int>")
     found = _let(rank_literal(of), lambda table: encoded_word(F.col("word"), table))
-    known = words.select("word", "blocks", found.alias("ids"))
-    answers = known.mapInArrow(_answers, "block int, words binary, counts binary, ids binary")
-    pieces = {str(rank): piece for piece, rank in of.items()}
+    known = words.select(
+        "word", "blocks", F.array_join(found.cast("array<string>"), " ").alias("ids")
+    )
+    answers = known.mapInArrow(
+        lambda batches: _answers(batches, pieces), "block int, words binary, ids binary, decoded binary"
+    )
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(
-        lambda t, a: _encoded_block(t, a, pattern, pieces, ids),
+        lambda t, a: _encoded_block(t, a, pattern, ids),
         schema + (", ids array<int>" if ids else ""),
     )
 
@@ -159,10 +163,11 @@ def _asked(packed: pa.Table, pattern: str, buckets: int) -> pa.Table:
             words.update(find(cut[0]))
             parts.update(cut[1:])
     for part in parts:
-        words.update(find(" " + part))
+        words.update(words_of(part, find))
     lists: dict[int, list[bytes]] = {}
-    for word in sorted(w.encode() for w in words):
-        lists.setdefault(xxhash.xxh64_intdigest(word) % buckets, []).append(word)
+    for word in words:
+        data = word.encode()
+        lists.setdefault(xxhash.xxh64_intdigest(data) % buckets, []).append(data)
     block = packed.column("block")[0].as_py()
     return pa.table(
         {
@@ -187,20 +192,19 @@ def _distinct(rows: pa.Table) -> pa.Table:
     )
 
 
-def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list[tuple[bytes, bytes]]] = {}
+def _answers(
+    batches: Iterator[pa.RecordBatch], pieces: dict[str, bytes]
+) -> Iterator[pa.RecordBatch]:
+    """Each word, its ids and what they decode to, packed for every block that asked for it."""
+    held: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
     size = 0
     for batch in batches:
-        words = [w.encode("latin-1") for w in batch.column(0).to_pylist()]
-        ids = batch.column(2)
-        flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-        ends = np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)).tolist()
-        blocks = batch.column(1).to_pylist()
-        for word, asking, a, b in zip(words, blocks, [0, *ends], ends):
-            one = (word, flat[a:b].tobytes())
-            for block in asking:
+        for word, blocks, ids in zip(*(c.to_pylist() for c in batch.columns)):
+            decoded = b"".join(map(pieces.__getitem__, ids.split(" ")))
+            one = (word.encode("latin-1"), ids.encode(), decoded)
+            for block in blocks:
                 held.setdefault(block, []).append(one)
-            size += len(asking)
+            size += len(blocks)
         if size >= FLUSH:
             yield _answered(held)
             held, size = {}, 0
@@ -208,54 +212,47 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _answered(held)
 
 
-def _answered(held: dict[int, list[tuple[bytes, bytes]]]) -> pa.RecordBatch:
-    columns = [[], [], [], []]
-    for block, found in held.items():
-        counts = np.array([len(i) // 4 for _, i in found], "<u4")
-        row = (
-            block,
-            packed_list([w for w, _ in found]),
-            zstandard.compress(counts.tobytes()),
-            zstandard.compress(b"".join(i for _, i in found)),
-        )
-        for values, value in zip(columns, row):
-            values.append(value)
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+def _answered(held: dict[int, list[tuple[bytes, bytes, bytes]]]) -> pa.RecordBatch:
+    columns = [[packed_list(list(x)) for x in zip(*found)] for found in held.values()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(v, k) for v, k in zip(columns, kinds)],
-        names=["block", "words", "counts", "ids"],
+        [pa.array(list(held), pa.int32()), *[pa.array(c, pa.binary()) for c in zip(*columns)]],
+        names=["block", "words", "ids", "decoded"],
     )
 
 
-def _encoded_block(
-    packed: pa.Table, answers: pa.Table, pattern: str, pieces: dict[str, bytes], ids: bool
-) -> pa.Table:
+def _encoded_block(packed: pa.Table, answers: pa.Table, pattern: str, ids: bool) -> pa.Table:
     find = compiled(pattern).findall
-    known: dict[str, str] = {}
-    for row in answers.to_pylist():
-        flat = np.frombuffer(zstandard.decompress(row["ids"]), "<u4").tolist()
-        counts = np.frombuffer(zstandard.decompress(row["counts"]), "<u4")
-        ends = np.cumsum(counts, dtype=np.int64).tolist()
-        for word, a, b in zip(unpacked_list(row["words"]), [0, *ends], ends):
-            known[word.decode()] = " ".join(map(str, flat[a:b]))
-    remembered = Remembered(lambda chunk: " ".join(map(known.__getitem__, find(" " + chunk))))
+    known: dict[str, tuple[str, bytes]] = {}
+    for row in answers.to_batches(1):
+        words, numbers, decoded = (
+            unpacked_list(row.column(c)[0].as_py()) for c in ("words", "ids", "decoded")
+        )
+        known.update((w.decode(), (n.decode(), d)) for w, n, d in zip(words, numbers, decoded))
+
+    def joined(words: list[str]) -> tuple[str, bytes]:
+        if len(words) == 1:
+            return known[words[0]]
+        found = [known[w] for w in words]
+        return " ".join([n for n, _ in found]), b"".join([d for _, d in found])
+
+    remembered = Remembered(lambda chunk: joined(words_of(chunk, find)), MEMORY)
     columns: list[list] = [[], [], [], [], []]
     for doc, data in zip(packed.column("id").to_pylist(), plain_texts(packed)):
         text = (data or b"").decode()
         cut = chunks(text)
         if cut is None:
-            joined = " ".join(map(known.__getitem__, find(text)))
+            numbers, decoded = joined(find(text))
         else:
-            first = " ".join(map(known.__getitem__, find(cut[0])))
-            joined = " ".join([first, *map(remembered.__getitem__, cut[1:])]).strip(" ")
-        numbers = joined.split(" ") if joined else []
-        decoded = b"".join(map(pieces.__getitem__, numbers))
+            found = [remembered[c] for c in cut[1:]]
+            if cut[0]:
+                found.insert(0, joined(find(cut[0])))
+            numbers, decoded = " ".join([n for n, _ in found]), b"".join([d for _, d in found])
         row = (
             doc,
-            len(numbers),
-            hashlib.sha256(joined.encode()).hexdigest(),
+            numbers.count(" ") + 1 if numbers else 0,
+            hashlib.sha256(numbers.encode()).hexdigest(),
             hashlib.sha256(decoded).hexdigest(),
-            list(map(int, numbers)) if ids else None,
+            list(map(int, numbers.split())) if ids else None,
         )
         for values, value in zip(columns, row):
             values.append(value)

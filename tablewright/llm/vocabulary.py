@@ -44,19 +44,29 @@ def chunks(text: str) -> list[str] | None:
     return text.split(" ")
 
 
+def words_of(chunk: str, find: Callable[[str], list[str]]) -> list[str]:
+    """The pattern's matches in a chunk and the blank before it; plain cases without a search."""
+    if chunk.isascii():
+        if chunk.isalpha():
+            return [" " + chunk]
+        if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+            return [" " + chunk[:-1], chunk[-1]]
+    return find(" " + chunk)
+
+
 class Remembered(dict):
     """Values by key, computed when first asked for. When there are many, those not asked for again
     are forgotten."""
 
-    def __init__(self, make: Callable[[str], object]):
+    def __init__(self, make: Callable[[str], object], most: int = MEMORY):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key: str):
         value = self.old.pop(key, None)
         if value is None:
             value = self.make(key)
-        if len(self) >= MEMORY:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -102,12 +112,7 @@ class ChunkTokenizer:
         return array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
 
     def _of_chunk(self, chunk: str) -> bytes:
-        if chunk.isascii():
-            if chunk.isalpha():
-                return self.words[" " + chunk]
-            if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
-                return self.words[" " + chunk[:-1]] + self.words[chunk[-1]]
-        return self._matches(" " + chunk)
+        return b"".join(map(self.words.__getitem__, words_of(chunk, self.find)))
 
     def _matches(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.find(text)))
