@@ -1,6 +1,7 @@
 """The measures and verdicts against plain Python, and the plan."""
 
 import re
+from collections import Counter
 
 from tablewright.llm import quality
 
@@ -10,9 +11,8 @@ def brute(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
-    repeated = {
-        i + k for i, w in enumerate(windows) for k in range(8) if windows.count(w) > 1
-    }
+    times = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) for k in range(8) if times[w] > 1}
     plain = re.split(r"[\x20\x09-\x0D.,;:]+", text.lower())
     return {
         "n_words": len(words),
