@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import (
     block_count,
     dealt,
+    freeing,
+    give_back,
     packed_list,
     plain_texts,
     unpacked_list,
@@ -136,7 +138,7 @@ def encoded(
     asked = by_block.applyInArrow(
         lambda t: _asked(t, pattern, n), "bucket int, block int, words binary"
     )
-    words = asked.groupBy("bucket").applyInArrow(_distinct, "word string, blocks array<int>")
+    words = asked.groupBy("bucket").applyInArrow(lambda t: _distinct(t), "word string, blocks array<int>")
     found = _let(rank_literal(of), lambda table: encoded_word(F.col("word"), table))
     known = words.select(
         "word", "blocks", F.array_join(found.cast("array<string>"), " ").alias("ids")
@@ -151,6 +153,7 @@ def encoded(
     )
 
 
+@freeing
 def _asked(packed: pa.Table, pattern: str, buckets: int) -> pa.Table:
     find = compiled(pattern).findall
     parts, words = set(), set()
@@ -178,6 +181,7 @@ def _asked(packed: pa.Table, pattern: str, buckets: int) -> pa.Table:
     )
 
 
+@freeing
 def _distinct(rows: pa.Table) -> pa.Table:
     """The words of a bucket and the blocks that ask for each; a block asks at most once."""
     blocks: dict[bytes, list[int]] = {}
@@ -210,6 +214,7 @@ def _answers(
             held, size = {}, 0
     if held:
         yield _answered(held)
+    give_back()
 
 
 def _answered(held: dict[int, list[tuple[bytes, bytes, bytes]]]) -> pa.RecordBatch:
@@ -220,6 +225,7 @@ def _answered(held: dict[int, list[tuple[bytes, bytes, bytes]]]) -> pa.RecordBat
     )
 
 
+@freeing
 def _encoded_block(packed: pa.Table, answers: pa.Table, pattern: str, ids: bool) -> pa.Table:
     find = compiled(pattern).findall
     known: dict[str, tuple[str, bytes]] = {}

@@ -34,6 +34,8 @@ from tablewright.llm.common import (
     checkpointed,
     column,
     dealt,
+    freeing,
+    give_back,
     mixed,
     packed_list,
     plain_texts,
@@ -106,6 +108,7 @@ def scored(
     )
 
 
+@freeing
 def _counted(packed: pa.Table, buckets: int) -> pa.Table:
     """The words of a block, packed by bucket, with their counts in training documents."""
     train, other = Counter(), set()
@@ -126,6 +129,7 @@ def _counted(packed: pa.Table, buckets: int) -> pa.Table:
     )
 
 
+@freeing
 def _totals(rows: pa.Table, settings: Settings) -> pa.Table:
     """The total counts of each block's words of one bucket. A row of block -1 has the bucket's most
     frequent words, one of block -2 its tokens and words by hashed class."""
@@ -313,6 +317,7 @@ def _round(
             ],
             names=["piece", "task", "change"],
         )
+        give_back()
 
     def averaged(key: tuple, batches: pa.Table) -> pa.Table:
         rows = sorted(batches.select(["task", "change"]).to_pylist(), key=lambda r: r["task"])
@@ -357,6 +362,7 @@ def _step(weights, squares, touched, features, target, settings: Settings) -> No
         touched[rows] = True
 
 
+@freeing
 def _scored_block(packed: pa.Table, answers: pa.Table, model: Model) -> pa.Table:
     settings = model.settings
     counts: dict[bytes, int] = {}

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import block_count, checkpointed, column
+from tablewright.llm.common import block_count, checkpointed, column, give_back
 from tablewright.llm.vocabulary import ChunkTokenizer
 
 POOL = 50_000  # pieces of a pool, about, once pools grow
@@ -60,6 +60,7 @@ def pieces(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(columns, kinds)], names=names
             )
+        give_back()
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]

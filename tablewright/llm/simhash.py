@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import checkpointed, column, components
+from tablewright.llm.common import checkpointed, column, components, give_back
 
 BITS = 64
 SHORT = 32  # groups up to this many fingerprints are compared in whole
@@ -67,6 +67,7 @@ def fingerprints(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(signed)], names=["doc_id", "fingerprint"]
             )
+        give_back()
 
     taken = docs.select(column(doc_id).cast("long").alias("doc_id"), column(text).alias("text"))
     return taken.mapInArrow(run, "doc_id long, fingerprint long")
@@ -159,6 +160,7 @@ def _linked(
             yield _of_groups([c[:last] for c in columns], bounds, distance)
     if rest is not None and len(rest[0]):
         yield _of_groups(rest, bounds, distance)
+    give_back()
 
 
 def _of_groups(columns: list[np.ndarray], bounds: list[int], distance: int) -> pa.RecordBatch:

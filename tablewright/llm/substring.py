@@ -38,6 +38,7 @@ from tablewright.llm.common import (
     block_count,
     bucket_edges,
     dealt,
+    freeing,
     mixed,
     plain_texts,
     planes,
@@ -83,12 +84,12 @@ def remove_repeats(
     by_block = packed.groupBy("block")
 
     symbols = by_block.applyInArrow(lambda t: _symbol_names(t, window, n), _NAMES)
-    recurring = symbols.groupBy("bucket").applyInArrow(_recurring, _BITS)
+    recurring = symbols.groupBy("bucket").applyInArrow(lambda t: _recurring(t), _BITS)
     names = (
         by_block.cogroup(recurring.groupBy("block"))
         .applyInArrow(lambda t, bits: _window_names(t, bits, window, n), _NAMES + ", ids binary")
     )
-    earlier = names.groupBy("bucket").applyInArrow(_earlier, _BITS)
+    earlier = names.groupBy("bucket").applyInArrow(lambda t: _earlier(t), _BITS)
     out = T.StructType(
         [f for f in docs.schema if f.name != text]
         + [T.StructField(text, T.StringType())]
@@ -228,6 +229,7 @@ def _symbols(block: _Block, window: int):
         yield words, ends, places, _grams(low, k, _MULTIPLY[0])[places], begin, end
 
 
+@freeing
 def _symbol_names(packed: pa.Table, window: int, buckets: int) -> pa.Table:
     block = _Block(packed)
     names = [s[3] for s in _symbols(block, window)]
@@ -256,6 +258,7 @@ def _wide(names: np.ndarray) -> bytes:
     return b"".join(planes(names[:, i].copy()) for i in range(names.shape[1]))
 
 
+@freeing
 def _recurring(rows: pa.Table) -> pa.Table:
     """For each block's names of one bucket, which of them another block has as well."""
     lists = [unplaned(b, np.uint64) for b in rows.column("names").to_pylist()]
@@ -329,6 +332,7 @@ class _Windows:
         self.number[order] = np.cumsum(new) - 1
 
 
+@freeing
 def _window_names(packed: pa.Table, bits: pa.Table, window: int, buckets: int) -> pa.Table:
     if not len(packed):
         return _by_nothing()
@@ -347,6 +351,7 @@ def _by_nothing() -> pa.Table:
     )
 
 
+@freeing
 def _earlier(rows: pa.Table) -> pa.Table:
     """For each block's windows of one bucket, whether a smaller id has them elsewhere."""
     ids = [unplaned(b, np.int64) for b in rows.column("ids").to_pylist()]
@@ -364,6 +369,7 @@ def _earlier(rows: pa.Table) -> pa.Table:
     return _answers(rows, 1, np.split(earlier, cuts))
 
 
+@freeing
 def _cut(
     packed: pa.Table, bits: pa.Table, window: int, buckets: int, schema: T.StructType
 ) -> pa.Table:

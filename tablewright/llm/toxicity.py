@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.llm.common import checkpointed, column
+from tablewright.llm.common import checkpointed, column, give_back
 
 PART = 400_000  # tokens tagged at once in a task
 _LIMIT = 30.0  # of a log-odds
@@ -336,6 +336,7 @@ def score(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
                 ],
                 names=["rest", "text", *added],
             )
+        give_back()
 
     struct = pa.struct([("from", pa.int64()), ("to", pa.int64()), ("marginal", pa.float64())])
     kind = pa.list_(struct)

@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 
 # Fixed value: how byte-level vocabularies cut a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMORY = 300_000  # values of a generation that a task remembers; it keeps two
+MEMORY = 150_000  # values of a generation that a task remembers; it keeps two
 # White space before and after a blank, where a cut could change the matches.
 _AWKWARD = re.compile(r"\s (?:\s|\Z)|\A (?:\s|\Z)")
 _BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace()]
