@@ -122,7 +122,8 @@ def materialised(
     ``a``, ``b``, ``piece``, ``used``, ``slot``, ``shard``, ``offset`` (bytes) and ``ids_crc32``."""
     order = ["a", "b", "piece", "ids"]
     spark = sequences.sparkSession
-    ranged = checkpointed(sequences.repartitionByRange(*order).sortWithinPartitions(*order))
+    once = checkpointed(sequences)  # the range partitioning reads its input twice
+    ranged = checkpointed(once.repartitionByRange(*order).sortWithinPartitions(*order))
     counted = ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()
     counts = {r.p: r["count"] for r in counted}
     n = sum(counts.values())
