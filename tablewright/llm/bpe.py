@@ -69,39 +69,32 @@ def encoded_word(word: Column, table: Column) -> Column:
         return F.coalesce(F.try_element_at(slot, piece), F.lit(NEVER))
 
     def pair(pieces: Column, i: Column) -> Column:
-        """Rank of the pieces i and i + 1 (from 0)."""
-        left, right = F.get(pieces, i), F.get(pieces, i + 1)
-        return F.when(left.isNull() | right.isNull(), F.lit(NEVER)).otherwise(
-            rank(F.concat(left, right))
-        )
+        """Rank of the pieces i and i + 1 (from 0); without a second one, that of NULL: never."""
+        return rank(F.concat(F.get(pieces, i), F.get(pieces, i + 1)))
 
     def state(pieces: Column, pairs: Column, least: Column) -> Column:
         return F.struct(pieces.alias("pieces"), pairs.alias("pairs"), least.alias("least"))
 
     def merged(s: Column) -> Column:
-        at = F.array_position(s["pairs"], s["least"]).cast("int")
-
         def with_place(p: Column) -> Column:
-            n = F.size(s["pieces"])
-            one = F.array(F.concat(F.get(s["pieces"], p - 1), F.get(s["pieces"], p)))
-            before = F.slice(s["pieces"], F.lit(1), p - 1)
-            after = F.slice(s["pieces"], p + 2, F.greatest(n - p - 1, F.lit(0)))
+            """``p``: place of the pair's left piece, from 1, so that of its right piece from 0."""
+            joined = F.concat(F.get(s["pieces"], p - 1), F.get(s["pieces"], p))
+            pieces = F.transform(
+                F.filter(s["pieces"], lambda _, i: i != p),
+                lambda x, i: F.when(i == p - 1, joined).otherwise(x),
+            )
             return _let(
-                F.concat(before, one, after),
+                pieces,
                 lambda q: _let(
-                    F.concat(
-                        F.slice(s["pairs"], F.lit(1), F.greatest(p - 2, F.lit(0))),
-                        F.when(p > 1, F.array(pair(q, p - 2))).otherwise(
-                            F.array().cast("array<int>")
-                        ),
-                        F.array(pair(q, p - 1)),
-                        F.slice(s["pairs"], p + 2, F.greatest(n - p - 1, F.lit(0))),
+                    F.transform(
+                        F.filter(s["pairs"], lambda _, i: i != p),
+                        lambda x, i: F.when((i < p - 2) | (i >= p), x).otherwise(pair(q, i)),
                     ),
                     lambda r: state(q, r, F.array_min(r)),
                 ),
             )
 
-        return _let(at, with_place)
+        return _let(F.array_position(s["pairs"], s["least"]).cast("int"), with_place)
 
     def folded(pieces: Column) -> Column:
         start = _let(
@@ -130,7 +123,7 @@ def encoded(
     """One row for each document: ``doc_id``, ``n_tokens``, ``ids_sha256`` (of the decimal ids joined
     by one space), ``decoded_sha256`` (of the bytes the ids decode to) and, unless switched off,
     ``ids``. A NULL text is empty; repeated rows are encoded each."""
-    n = blocks or 2 * block_count(docs.sparkSession)
+    n = blocks or block_count(docs.sparkSession)
     of = ranks(path)
     pieces = {str(rank): piece for piece, rank in of.items()}
     packed = dealt(docs, n, doc_id, text)
