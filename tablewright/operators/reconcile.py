@@ -119,17 +119,28 @@ def mismatches_by_column(
         raise ValueError("there is no column besides the keys to compare")
     tally = _tally(expected, actual, keys, compare)
     ks, vs = _numbered("k", len(keys)), _numbered("v", len(values))
-    paired = tally.groupBy(*ks).agg(
-        *_sums(),
-        *[F.expr(f"count_if({side} > 0) AS n_{side}") for side in "ea"],
-        *[
-            F.expr(f"first({v}) FILTER (WHERE {side} > 0) AS {v}_{side}")
-            for v in vs
-            for side in "ea"
-        ],
+    per_key = _per_key(tally, len(keys), ["n_e", "n_a"])
+    # A mismatched key with one distinct row on each side has two rows, each of one side.
+    paired = (
+        tally.filter("e = 0 OR a = 0")
+        .groupBy(*ks)
+        .agg(
+            *_sums(),
+            *[F.expr(f"count_if({side} > 0) AS n_{side}") for side in "ea"],
+            *[
+                F.expr(f"first({v}) FILTER (WHERE {side} > 0) AS {v}_{side}")
+                for v in vs
+                for side in "ea"
+            ],
+        )
+        .filter("n_e = 1 AND n_a = 1")
+        .alias("rows")
     )
+    several = per_key.filter("n_e > 1 OR n_a > 1")
+    same_key = F.expr(" AND ".join(f"rows.{k} <=> several.{k}" for k in ks))
+    ordinary = paired.join(several.select(*ks).alias("several"), same_key, "left_anti")
     product = f"CAST(e AS {_COUNT}) * CAST(a AS {_COUNT})"
-    ordinary = paired.filter("n_e = 1 AND n_a = 1").agg(
+    ordinary = ordinary.agg(
         *[F.expr(f"sum({product}) FILTER (WHERE NOT {v}_e <=> {v}_a) AS {v}") for v in vs]
     )
     ordinary = ordinary.select(
@@ -137,9 +148,7 @@ def mismatches_by_column(
             "column_no", "pairs"
         )
     )
-    several = _per_key(tally, len(keys), ["n_e", "n_a"]).filter(
-        "pairs > 0 AND (n_e > 1 OR n_a > 1)"
-    )
+    several = several.filter("pairs > 0")
     suspect = _rows_of_keys(tally, several, len(keys))
     texts = ", ".join(_cell(suspect, v) for v in vs)
     cells = suspect.selectExpr(
