@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import checkpointed, column, mixed
+from tablewright.llm.common import checkpointed, column, give_back, mixed
 from tablewright.llm.vocabulary import ChunkTokenizer
 
 ROUNDS = 6
@@ -91,7 +91,8 @@ def sequences(
     id_type = "<u4" if layout.wide else "<u2"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkTokenizer.of(vocabulary).encode
+        tokenizer = ChunkTokenizer.of(vocabulary)
+        encode = tokenizer.encode
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             columns = (c.to_pylist() for c in batch.columns)
@@ -109,6 +110,8 @@ def sequences(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(out, kinds)], names=["a", "b", "piece", "used", "ids"]
             )
+        tokenizer.forget()
+        give_back()
 
     key = [F.coalesce(column(k).cast("long"), F.lit(-1)) for k in keys]
     taken = rows.select(key[0].alias("a"), key[1].alias("b"), column(text).alias("text"))

@@ -93,7 +93,7 @@ def op6_maxent_lm(spark, sf_dir):
 @query
 def op7_best_fit_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.packed(packing.pieces(docs, BYTE_BPE))
+    return packing.packed(packing.pieces(docs, BYTE_BPE, remember=True))
 
 
 @query

@@ -21,10 +21,11 @@ from tokenizers import Tokenizer
 
 # Fixed value: how byte-level vocabularies cut a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMORY = 150_000  # values of a generation that a task remembers; it keeps two
+MEMORY = 300_000  # chunks of a generation that a task remembers; it keeps two
+WORDS = 400_000  # words of a generation
 # White space before and after a blank, where a cut could change the matches.
 _AWKWARD = re.compile(r"\s (?:\s|\Z)|\A (?:\s|\Z)")
-_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace()]
+_RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 
 def compiled(pattern: str):
@@ -37,11 +38,13 @@ def compiled(pattern: str):
 def chunks(text: str) -> list[str] | None:
     """The chunks of a text without the blanks that begin all but the first, or None where it
     cannot be cut so."""
-    held = [c for c in _BLANKS if c in text]
-    if text.endswith(" ") or any(" " + c in text for c in held):
-        if _AWKWARD.search(text):
-            return None
-    return text.split(" ")
+    cut = text.split(" ")
+    doubtful = (
+        "" in cut
+        or any(line.endswith(" ") for line in text.split("\n"))
+        or any(c in text for c in _RARE)
+    )
+    return None if doubtful and _AWKWARD.search(text) else cut
 
 
 def words_of(chunk: str, find: Callable[[str], list[str]]) -> list[str]:
@@ -98,7 +101,7 @@ class ChunkTokenizer:
         ]
         self.find, self.alphabet = compiled(PATTERN).findall, _alphabet()
         self.model = self.tokenizer.model
-        self.words = Remembered(self._of_word)
+        self.words = Remembered(self._of_word, WORDS)
         self.remembered = Remembered(self._of_chunk)
 
     @staticmethod
@@ -107,8 +110,16 @@ class ChunkTokenizer:
         """The one of this process, which keeps what it remembers from task to task."""
         return ChunkTokenizer(path)
 
+    def forget(self) -> None:
+        for remembered in (self.words, self.remembered):
+            remembered.clear()
+            remembered.old = {}
+
     def _of_word(self, word: str) -> bytes:
-        plain = word.encode().decode("latin-1").translate(self.alphabet)
+        if word.isascii() and word[1:].isalpha() and word[0] == " ":
+            plain = self.alphabet[32] + word[1:]
+        else:
+            plain = word.encode().decode("latin-1").translate(self.alphabet)
         return array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
 
     def _of_chunk(self, chunk: str) -> bytes:
