@@ -16,6 +16,8 @@ counts travel as packed arrays between blocks of documents and ranges of a hash.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -41,11 +43,13 @@ from tablewright.llm.common import (
     plain_texts,
     unpacked_list,
 )
+from tablewright.llm.substring import names_of, word_places
 
+END_HASH = np.uint64(0x9E6C63D0876A46AD)
 END = b"\n"  # ends a text and stands before its first word; no word is like it
 PIECES = 64  # of the weight table, when changes are averaged
 PART = 300_000  # tokens handled at once in a task
-STEP = 4_096  # tokens of a gradient step
+STEP = 16_384  # tokens of a gradient step
 
 
 class Settings(NamedTuple):
@@ -209,24 +213,90 @@ def _statistics(totals: DataFrame, settings: Settings):
     return singles, by_class[0], by_class[1], tokens, words
 
 
+@functools.cache
+def _tail_classes(settings: Settings) -> np.ndarray:
+    """The hashed class by the last two bytes of a word, of a word of one byte by 65,536 and it."""
+    pairs = [_class_of(bytes([a, b]), settings) for a in range(256) for b in range(256)]
+    return np.array(pairs + [_class_of(bytes([b]), settings) for b in range(256)], np.int32)
+
+
+def _named(data: bytes, starts: np.ndarray, ends: np.ndarray, known, settings: Settings):
+    """Hash and class of words, which are found by their places in ``data``."""
+    buffer = np.frombuffer(data, np.uint8).astype(np.int32)
+    last = buffer[ends - 1]
+    tail = np.where(ends - starts > 1, buffer[ends - 2] * 256 + last, 65_536 + last)
+    hashes, classes = names_of(data, starts, ends)[1], _tail_classes(settings)[tail]
+    single_hashes, single_classes = known
+    if len(single_hashes):
+        at = np.minimum(np.searchsorted(single_hashes, hashes), len(single_hashes) - 1)
+        classes = np.where(single_hashes[at] == hashes, single_classes[at], classes)
+    return hashes, classes
+
+
+def _known_singles(singles: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words with a class of their own, sorted, and their classes; without the end."""
+    words = [w for w in singles if w != END]
+    data, starts, ends, _ = word_places(words)
+    hashes = names_of(data, starts, ends)[1]
+    order = np.argsort(hashes)
+    return hashes[order], np.array([singles[w] for w in words], np.int32)[order]
+
+
 class _Words(dict):
-    """Words numbered as they come, with the hash and the class of each."""
+    """Words numbered as they come, the end first; after ``settle`` with hash and class of each."""
 
     def __init__(self, singles: dict[bytes, int], settings: Settings):
-        super().__init__()
-        self.singles, self.settings = singles, settings
-        self.hashes: list[int] = []
-        self.classes: list[int] = []
+        super().__init__({END: 0})
+        self.known, self.settings = _known_singles(singles), settings
+        self.hashes, self.classes = np.array([END_HASH]), np.zeros(1, np.int32)
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
-        self.hashes.append(xxhash.xxh64_intdigest(word))
-        own = self.singles.get(word)
-        self.classes.append(_class_of(word, self.settings) if own is None else own)
         return number
 
+    def settle(self) -> list[bytes]:
+        """The words that came since the last time."""
+        new = list(itertools.islice(self, len(self.hashes), None))
+        data, starts, ends, _ = word_places([b" ".join(new)])
+        hashes, classes = _named(data, starts, ends, self.known, self.settings)
+        self.hashes = np.concatenate([self.hashes, hashes])
+        self.classes = np.concatenate([self.classes, classes])
+        return new
+
+
+def _gathered(texts: Iterator[bytes | None], most: int) -> Iterator[list[bytes]]:
+    held, size = [], 0
+    for text in texts:
+        held.append((text or b"").lower())
+        size += len(held[-1])
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _hashed(texts: list[bytes], known, settings: Settings):
+    """Hash and class of each token of the texts, ends included, and each text's tokens."""
+    data, starts, ends, counts = word_places(texts)
+    hashes, classes = _named(data, starts, ends, known, settings)
+    after = np.cumsum(counts)
+    return np.insert(hashes, after, END_HASH), np.insert(classes, after, 0), counts + 1
+
 
-def _parts(texts: Iterator[bytes | None], words: _Words):
+def _features(hashes: np.ndarray, lengths: np.ndarray, rows: int) -> np.ndarray:
+    """The three hashed features of each token. Before a text's first word stands its end."""
+    starts = np.cumsum(lengths) - lengths
+    a, b = np.empty_like(hashes), np.empty_like(hashes)
+    a[1:], b[2:] = hashes[:-1], hashes[:-2]
+    a[starts] = END_HASH
+    b[starts] = END_HASH
+    b[starts[lengths > 1] + 1] = END_HASH
+    found = [a, b + np.uint64(0x5851F42D4C957F2D), mixed(a) + b]
+    return np.stack([(mixed(x) % np.uint64(rows)).astype(np.uint16) for x in found])
+
+
+def _numbered(texts: Iterator[bytes | None], words: _Words):
     """Numbers of the tokens of about ``PART`` tokens of whole texts, and each text's length."""
     held, lengths, size = [], [], 0
     for text in texts:
@@ -241,22 +311,6 @@ def _parts(texts: Iterator[bytes | None], words: _Words):
         yield np.concatenate(held), np.array(lengths)
 
 
-def _features(numbers: np.ndarray, lengths: np.ndarray, words: _Words, rows: int) -> np.ndarray:
-    """The three hashed features of each token. Before a text's first word stands its end."""
-    end = words[END]
-    hashes = np.array(words.hashes, np.uint64)
-    starts = np.cumsum(lengths) - lengths
-    one, two = np.empty_like(numbers), np.empty_like(numbers)
-    one[1:], two[2:] = numbers[:-1], numbers[:-2]
-    one[starts] = end
-    two[starts] = end
-    second = starts[lengths > 1] + 1
-    two[second] = end
-    a, b = hashes[one], hashes[two]
-    found = [a, b + np.uint64(0x5851F42D4C957F2D), mixed(a) + b]
-    return np.stack([(mixed(x) % np.uint64(rows)).astype(np.uint16) for x in found])
-
-
 def _logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     z = weights[features[0]] + weights[features[1]]
     z += weights[features[2]]
@@ -293,13 +347,13 @@ def _round(
         own = shared.copy()
         squares = np.full(own.shape, 10, np.float32)
         touched = np.zeros(len(own), bool)
+        known = _known_singles(own_classes)
         for batch in batches:
-            known = _Words(own_classes, settings)
             raw = batch.column(0).cast(pa.large_binary())
-            for numbers, lengths in _parts((t.as_py() for t in raw), known):
-                features = _features(numbers, lengths, known, settings.rows)
-                target = np.array(known.classes, np.int32)[numbers]
-                for a in range(0, len(numbers), STEP):
+            for part in _gathered((t.as_py() for t in raw), 8 * PART):
+                hashes, target, lengths = _hashed(part, known, settings)
+                features = _features(hashes, lengths, settings.rows)
+                for a in range(0, len(hashes), STEP):
                     _step(own, squares, touched, features[:, a : a + STEP],
                           target[a : a + STEP], settings)
         change = own - shared
@@ -349,16 +403,16 @@ def _step(weights, squares, touched, features, target, settings: Settings) -> No
     slope = np.exp(_logits(weights, features))
     slope /= slope.sum(axis=1, keepdims=True)
     slope[np.arange(len(target)), target] -= 1
-    for one in (*features, None):
-        if one is None:
-            rows, sums = np.array([len(weights) - 1]), slope.sum(axis=0, keepdims=True)
-        else:
-            order = np.argsort(one, kind="stable")
-            in_order = one[order]
-            starts = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1]))
-            rows, sums = in_order[starts], np.add.reduceat(slope[order], starts, axis=0)
-        squares[rows] += sums * sums
-        weights[rows] -= settings.rate * sums / np.sqrt(squares[rows])
+    every = features.ravel()
+    order = np.argsort(every, kind="stable")
+    in_order = every[order]
+    starts = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1]))
+    sums = np.add.reduceat(slope[order % len(target)], starts, axis=0)
+    bias = slope.sum(axis=0, keepdims=True)
+    for rows, change in ((in_order[starts], sums), ([len(weights) - 1], bias)):
+        seen = squares[rows] + change * change
+        squares[rows] = seen
+        weights[rows] -= settings.rate * change / np.sqrt(seen)
         touched[rows] = True
 
 
@@ -374,18 +428,18 @@ def _scored_block(packed: pa.Table, answers: pa.Table, model: Model) -> pa.Table
     spread[: settings.singles] = 0
     out: list[list] = [[], [], [], []]
     denominator = model.tokens + model.words + 1
-    known: list[int] = []
-    for numbers, lengths in _parts(plain_texts(packed), words):
-        known.extend(counts.get(w, 0) for w in list(words)[len(known) :])
-        count = np.array(known, np.int64)
-        classes = np.array(words.classes, np.int32)
+    count = np.array([counts.get(END, 0)], np.int64)
+    for numbers, lengths in _numbered(plain_texts(packed), words):
+        new = words.settle()
+        count = np.append(count, np.array([counts.get(w, 0) for w in new], np.int64))
+        classes = words.classes
         inside = np.where(
             classes < settings.singles,
             0.0,
             np.log(count + 1.0) - np.log(np.maximum(spread[classes], 1.0)),
         )
         base = np.log10((count + 1.0) / denominator)
-        features = _features(numbers, lengths, words, settings.rows)
+        features = _features(words.hashes[numbers], lengths, settings.rows)
         target = classes[numbers]
         own = np.empty(len(numbers))
         for a in range(0, len(numbers), STEP):

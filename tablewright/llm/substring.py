@@ -161,17 +161,28 @@ def _tables():
     return space, halves
 
 
-def _word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The number of words of each text, and both halves of the name of each word: polynomials of
-    its bytes, from sums over all bytes up to its ends, or another hash for a long word."""
-    space, halves = _tables()
+def word_places(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts laid end to end, where their words start and end, and the number of each text's."""
+    space, _ = _tables()
     data = b"\n".join([*texts, b""])
-    buffer = np.frombuffer(data, np.uint8)
-    blank = np.concatenate([[True], space[buffer]])
+    blank = np.concatenate([[True], space[np.frombuffer(data, np.uint8)]])
     starts = np.flatnonzero(blank[:-1] & ~blank[1:])
     ends = np.flatnonzero(~blank[:-1] & blank[1:])
     places = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    counts = np.diff(np.searchsorted(starts, places))
+    return data, starts, ends, np.diff(np.searchsorted(starts, places))
+
+
+def _word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of words of each text, and both halves of the name of each word."""
+    data, starts, ends, counts = word_places(texts)
+    return counts, *names_of(data, starts, ends)
+
+
+def names_of(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Both halves of the names of words: polynomials of their bytes, from sums over all bytes up to
+    their ends, or another hash for a long word."""
+    _, halves = _tables()
+    buffer = np.frombuffer(data, np.uint8)
     names = np.zeros((2, len(starts)), np.uint64)
     sizes, a = ends - starts, 0
     while a < len(starts):
@@ -188,7 +199,7 @@ def _word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     for i in np.flatnonzero(sizes > LONG):
         digest = xxhash.xxh3_128_digest(data[starts[i] : ends[i]])
         names[:, i] = np.frombuffer(digest, ">u8")
-    return counts, names[0], names[1]
+    return names
 
 
 def _grams(names: np.ndarray, k: int, by: np.uint64) -> np.ndarray:

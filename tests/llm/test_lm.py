@@ -51,6 +51,8 @@ def test_probabilities_sum_to_one():
     weights = rng.normal(size=(129, 8)).astype(np.float32)
     known = lm._Words(singles, settings)
     numbers = np.array([known[w] for w in counts])
+    known.settle()
+    assert all(known.classes[known[w]] == singles.get(w, lm._class_of(w, settings)) for w in counts)
     features = np.repeat(rng.integers(0, 128, (3, 1)), len(numbers), axis=1)
     z = lm._logits(weights, features).astype(float)
     p_class = np.exp(z[0]) / np.exp(z[0]).sum()
@@ -75,5 +77,20 @@ def test_held_out_texts_gain_from_the_model(spark):
     assert sum(r.score for r in out) > 0.98 * sum(r.base_score for r in out)
 
 
+def test_training_and_scoring_see_the_same_tokens():
+    settings, singles = lm.Settings(), {lm.END: 0, b"the": 1, b"x": 2}
+    texts = [b"The x", None, b"  ", b"y " + b"z" * 200 + b" the\tqu\xc3\xa9", b"a b c d"]
+    words = lm._Words(singles, settings)
+    ((numbers, lengths),) = lm._numbered(iter(texts), words)
+    words.settle()
+    ((part),) = lm._gathered(iter(texts), 10**6)
+    hashes, classes, counts = lm._hashed(part, lm._known_singles(singles), settings)
+    assert (counts == lengths).all() and lengths.tolist() == [3, 1, 1, 5, 5]
+    assert (words.hashes[numbers] == hashes).all() and (words.classes[numbers] == classes).all()
+    features = lm._features(hashes, lengths, settings.rows)
+    alone = [lm._features(h, np.array([len(h)]), settings.rows) for h in np.split(hashes, np.cumsum(lengths)[:-1])]
+    assert (features == np.concatenate(alone, axis=1)).all()
+
+
 def test_empty_table(made_documents):
     assert lm.scored(made_documents().filter("false")).collect() == []
