@@ -404,16 +404,14 @@ def _step(weights, squares, touched, features, target, settings: Settings) -> No
     slope /= slope.sum(axis=1, keepdims=True)
     slope[np.arange(len(target)), target] -= 1
     every = features.ravel()
-    order = np.argsort(every, kind="stable")
-    in_order = every[order]
-    starts = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1]))
-    sums = np.add.reduceat(slope[order % len(target)], starts, axis=0)
-    bias = slope.sum(axis=0, keepdims=True)
-    for rows, change in ((in_order[starts], sums), ([len(weights) - 1], bias)):
-        seen = squares[rows] + change * change
-        squares[rows] = seen
-        weights[rows] -= settings.rate * change / np.sqrt(seen)
-        touched[rows] = True
+    sums = np.empty_like(weights)
+    for k, of_class in enumerate(np.ascontiguousarray(slope.T, np.float64)):
+        sums[:-1, k] = np.bincount(every, np.tile(of_class, len(features)), len(weights) - 1)
+    sums[-1] = slope.sum(axis=0)
+    squares += sums * sums
+    weights -= settings.rate * sums / np.sqrt(squares)
+    touched[every] = True
+    touched[-1] = True
 
 
 @freeing
