@@ -30,7 +30,7 @@ def column(spark, kind, start):
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(i, v)")
 
 
-@pytest.mark.parametrize("one, other", itertools.combinations(NUMBERS, 2))
+@pytest.mark.parametrize("one, other", list(itertools.combinations(NUMBERS, 2)))
 def test_unlike_numbers(spark, one, other):
     a, b = column(spark, one, 0), column(spark, other, 0)
     texts = []
