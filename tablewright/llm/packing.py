@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import block_count, checkpointed, column, give_back
-from tablewright.llm.vocabulary import ChunkTokenizer
+from tablewright.llm.vocabulary import LARGE, MEMORY, ChunkTokenizer
 
 POOL = 50_000  # pieces of a pool, about, once pools grow
 
@@ -42,11 +42,12 @@ def pieces(
     A document's ids are those of ``tokenizers`` with the vocabulary file, without special tokens,
     then ``end``. One of more than ``limit`` ids is cut so that only the first piece may be shorter
     than ``limit``. A NULL text is empty: its one piece is the end. ``remember`` lets workers keep
-    the words they have encoded from task to task, up to some 300 MB each, which saves time.
+    more of the words they have encoded, and from task to task: up to some 300 MB each, which saves
+    time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = ChunkTokenizer.of(vocabulary)
+        tokenizer = ChunkTokenizer.of(vocabulary, LARGE if remember else MEMORY)
         encode = tokenizer.encode
         for batch in batches:
             columns: list[list] = [[], [], [], [], [], []]

@@ -21,8 +21,8 @@ from tokenizers import Tokenizer
 
 # Fixed value: how byte-level vocabularies cut a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMORY = 300_000  # chunks of a generation that a task remembers; it keeps two
-WORDS = 400_000  # words of a generation
+MEMORY = 150_000  # values of a generation that a task remembers; it keeps two
+LARGE = 400_000  # of a task that is to remember much
 # White space before and after a blank, where a cut could change the matches.
 _AWKWARD = re.compile(r"\s (?:\s|\Z)|\A (?:\s|\Z)")
 _RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
@@ -90,7 +90,7 @@ def _alphabet() -> dict[int, str]:
 class ChunkTokenizer:
     """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them, for byte-level files."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = MEMORY):
         self.tokenizer = Tokenizer.from_file(path)
         form = json.loads(self.tokenizer.to_str())
         cut = form["pre_tokenizer"] or {}
@@ -101,14 +101,14 @@ class ChunkTokenizer:
         ]
         self.find, self.alphabet = compiled(PATTERN).findall, _alphabet()
         self.model = self.tokenizer.model
-        self.words = Remembered(self._of_word, WORDS)
-        self.remembered = Remembered(self._of_chunk)
+        self.words = Remembered(self._of_word, most)
+        self.remembered = Remembered(self._of_chunk, most * 3 // 4)
 
     @staticmethod
     @functools.cache
-    def of(path: str) -> ChunkTokenizer:
+    def of(path: str, most: int = MEMORY) -> ChunkTokenizer:
         """The one of this process, which keeps what it remembers from task to task."""
-        return ChunkTokenizer(path)
+        return ChunkTokenizer(path, most)
 
     def forget(self) -> None:
         for remembered in (self.words, self.remembered):
