@@ -27,6 +27,7 @@ from tablewright.llm.common import checkpointed, column, give_back, mixed
 from tablewright.llm.vocabulary import ChunkTokenizer
 
 ROUNDS = 6
+GATHERED = 1_000_000  # ids handled at once in a task, or one text's
 
 
 class Layout(NamedTuple):
@@ -88,28 +89,19 @@ def sequences(
 ) -> DataFrame:
     """Each text's ids and ``end``, cut into sequences: ``a``, ``b`` (the keys), ``piece``, ``used`` and
     ``ids`` (bytes, padded). A NULL text is empty, a NULL key is -1."""
-    id_type = "<u4" if layout.wide else "<u2"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = ChunkTokenizer.of(vocabulary)
         encode = tokenizer.encode
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            columns = (c.to_pylist() for c in batch.columns)
-            for a, b, value in zip(*columns):
-                found = np.append(encode(value or ""), np.uint32(end))
-                if found.max() > np.iinfo(id_type).max:
-                    raise ValueError("an id needs more than two bytes; set wide")
-                for k, i in enumerate(range(0, len(found), layout.length)):
-                    part = found[i : i + layout.length]
-                    padded = np.full(layout.length, layout.pad, id_type)
-                    padded[: len(part)] = part
-                    for values, v in zip(out, (a, b, k, len(part), padded.tobytes())):
-                        values.append(v)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out, kinds)], names=["a", "b", "piece", "used", "ids"]
-            )
+            a, b = (c.to_numpy() for c in batch.columns[:2])
+            held, size, first = [], 0, 0
+            for i, value in enumerate(batch.column(2)):
+                held.append(np.append(encode(value.as_py() or ""), np.uint32(end)))
+                size += len(held[-1])
+                if size >= GATHERED or i == len(batch) - 1:
+                    yield _cut(a[first : i + 1], b[first : i + 1], held, layout)
+                    held, size, first = [], 0, i + 1
         tokenizer.forget()
         give_back()
 
@@ -118,6 +110,35 @@ def sequences(
     return taken.mapInArrow(run, "a long, b long, piece int, used int, ids binary")
 
 
+def _cut(a: np.ndarray, b: np.ndarray, texts: list[np.ndarray], layout: Layout) -> pa.RecordBatch:
+    """The sequences of some texts' ids."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    joined = np.concatenate(texts)
+    id_type = layout.kind["ids"].base
+    if joined.max() > np.iinfo(id_type).max:
+        raise ValueError("an id needs more than two bytes; set wide")
+    counts = -(-lengths // layout.length)
+    begins = np.cumsum(counts) - counts
+    ids = np.full(int(counts.sum()) * layout.length, layout.pad, id_type)
+    shift = begins * layout.length - (np.cumsum(lengths) - lengths)
+    ids[np.arange(len(joined)) + np.repeat(shift, lengths)] = joined
+    piece = np.arange(counts.sum()) - np.repeat(begins, counts)
+    used = np.minimum(np.repeat(lengths, counts) - piece * layout.length, layout.length)
+    columns = [np.repeat(a, counts), np.repeat(b, counts), piece.astype("<i4"), used.astype("<i4")]
+    return pa.RecordBatch.from_arrays(
+        [*map(pa.array, columns), _binary(ids.view(np.uint8).reshape(len(piece), -1))],
+        names=["a", "b", "piece", "used", "ids"],
+    )
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """One value for each row of bytes."""
+    n, size = rows.shape
+    ends = np.arange(0, (n + 1) * size, size, dtype=np.int32)
+    data = np.ascontiguousarray(rows)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
 def materialised(
     sequences: DataFrame, folder: str, key: int, layout: Layout = Layout()
 ) -> DataFrame:
@@ -145,9 +166,9 @@ def materialised(
             rows["ids"] = np.frombuffer(joined, layout.kind["ids"].base).reshape(-1, layout.length)
             rows["end"] = ord("\n")
             at += len(batch)
-            data = [r.tobytes()[:-1] for r in rows]
+            data = rows.view(np.uint8).reshape(len(rows), -1)[:, :-1]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["slot"]), pa.array(data, pa.binary())], names=["slot", "record"]
+                [pa.array(rows["slot"]), _binary(data)], names=["slot", "record"]
             )
 
     shards = max(1, -(-n // layout.per_shard))

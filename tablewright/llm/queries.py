@@ -96,6 +96,17 @@ def op7_best_fit_packing(spark, sf_dir):
     return packing.packed(packing.pieces(docs, BYTE_BPE, remember=True))
 
 
+@query
+def op8_document_order(spark, sf_dir):
+    """The whole corpus; a NULL id is -1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("part"), "text")
+    found = ordering.sequences(docs, BYTE_BPE, keys=("doc_id", "part"))
+    folder = shared_folder(spark, "document_order")
+    return ordering.materialised(found, folder, key=20_240_101).select(
+        F.col("a").alias("doc_id"), "piece", "used", "slot", "shard", "offset", "ids_crc32"
+    )
+
+
 @query
 def op8_training_order(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")

@@ -4,10 +4,12 @@ import hashlib
 import zlib
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from conftest import DATA
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from llm import test_lm as lm_case
@@ -103,6 +105,19 @@ def test_warc_and_order(spark):
     assert len({(r.conv_id, r.turn) for r in out}) == turns
 
 
+def test_order_of_all_documents(spark, documents):
+    out = QUERIES["op8_document_order"](spark, DATA).collect()
+    assert sorted(r.slot for r in out) == list(range(len(out)))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = []
+    for d, t in documents:
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 50256]
+        for k in range(0, len(ids), 128):
+            part = np.array(ids[k : k + 128], "<u2")
+            expected.append((-1 if d is None else d, k // 128, len(part), zlib.crc32(part.tobytes())))
+    assert sorted((r.doc_id, r.piece, r.used, r.ids_crc32) for r in out) == sorted(expected)
+
+
 def brute_pipeline(spark, docs):
     """What the middle stages keep of (id, text) rows, by plain Python."""
     docs = [(d, t) for d, t in docs if quality_case.verdict(quality_case.brute(t))[2]]
