@@ -42,15 +42,16 @@ def best(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """The k highest scores of each query among all vectors but its own id: ``query_id``, ``rank``,
     ``vec_id``, ``score``. Both inputs have ``vec_id`` and ``v``; equal scores go to the smaller id;
     vectors of another length than the query's are no candidates. Of repeated ids, each row counts
-    as a candidate, and as one query."""
+    as a candidate. A query id with several vectors is searched with each of them and has the k
+    highest of all these scores; equal vectors of an id are one query."""
     vectors = checkpointed(vectors)
     shards = max(1, -(-vectors.count() // SHARD))
     blocks = max(1, -(-queries.count() // BLOCK))
     own = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     of = vectors.withColumn("shard", own(shards)).withColumn("n", F.size("v"))
     asked = (
-        queries.dropDuplicates(["vec_id"])
-        .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
+        queries.select("vec_id", "v").distinct()
+        .withColumn("block", F.pmod(F.xxhash64("vec_id", "v", F.lit(1)), F.lit(blocks)).cast("int"))
         .withColumn("n", F.size("v"))
         .withColumn("home", own(shards))
         .select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "block", "n", "home")

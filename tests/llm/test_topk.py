@@ -34,6 +34,27 @@ def test_agrees_with_brute_force(spark, monkeypatch, shard, block, scale):
     assert found == brute(rows, wanted, 5)
 
 
+def test_every_vector_of_a_query_id_is_searched(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD", 20)
+    monkeypatch.setattr(topk, "BLOCK", 2)
+    monkeypatch.setattr(topk, "LEAF", 4)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-9, 10, 4).tolist()) for i in range(200)]
+    asked = [(i, [x * s for x in v]) for i, v in rows[:6] for s in (1, -1)]
+    asked += [(7, [1, 2, 3, 4]), (7, [1, 2]), rows[8], rows[8]]
+    kind = "vec_id long, v array<long>"
+    out = topk.best(spark.createDataFrame(rows, kind), spark.createDataFrame(asked, kind).repartition(5))
+    expected = []
+    for q in {q for q, _ in asked}:
+        every = {tuple(v) for i, v in asked if i == q}
+        scored = sorted(
+            (-sum(a * b for a, b in zip(w, v)), i)
+            for w in every for i, v in rows if i != q and len(v) == len(w)
+        )
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:5], 1)]
+    assert sorted(map(tuple, out.collect())) == sorted(expected)
+
+
 def test_quantised(spark):
     rows = [(1, [0.5, -0.001, None]), (2, [0.5, -0.001]), (3, None), (4, [float("nan")]),
             (5, [float("inf")]), (6, []), (None, [1.0]), (7, [1.0, 2.0])]
