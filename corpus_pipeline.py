@@ -45,11 +45,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate class. Rows repeated with one id are
-    one document and stay together; rows without an id cannot be named and stay."""
+    """The rows with the smallest id of each near-duplicate class. An id repeated with different texts
+    is judged for each of them; rows without an id cannot be named and stay."""
     classes = simhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*map(column, docs.columns))
+    gone = classes.filter("doc_id <> component_id").select("doc_id", "fingerprint").distinct()
+    rows = simhash.fingerprinted(_rows(docs).withColumn("doc_id", F.col("doc_id").cast("long")))
+    return _documents(rows.join(gone, ["doc_id", "fingerprint"], "left_anti"), docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

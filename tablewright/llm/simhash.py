@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.llm.common import checkpointed, column, components, give_back
 
@@ -59,13 +60,8 @@ def fingerprints(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
-            found = [
-                fingerprint((t.as_py() or b"").lower().split(), shingle) for t in texts
-            ]
-            signed = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(signed)], names=["doc_id", "fingerprint"]
+                [batch.column(0), _prints(batch.column(1), shingle)], names=["doc_id", "fingerprint"]
             )
         give_back()
 
@@ -73,6 +69,26 @@ def fingerprints(
     return taken.mapInArrow(run, "doc_id long, fingerprint long")
 
 
+def fingerprinted(docs: DataFrame, shingle: int = 4, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and ``fingerprint``, as ``fingerprints`` has it."""
+    names, at = docs.columns, docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, _prints(batch.column(at), shingle)], names=[*names, "fingerprint"]
+            )
+        give_back()
+
+    kind = T.StructType([*docs.schema.fields, T.StructField("fingerprint", T.LongType())])
+    return docs.mapInArrow(run, kind)
+
+
+def _prints(texts: pa.Array, shingle: int) -> pa.Array:
+    words = ((t.as_py() or b"").lower().split() for t in texts.cast(pa.large_binary()))
+    return pa.array(np.array([fingerprint(w, shingle) for w in words], np.uint64).view(np.int64))
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 4,

@@ -153,6 +153,16 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in docs.collect()} == cut.keys()
 
 
+def test_dedup_keeps_a_row_of_each_class_where_ids_repeat(spark):
+    a, b, c = (" ".join(f"{p}{i}" for i in range(80)) for p in "abc")
+    rows = [(5, a), (5, b), (9, a), (3, b), (3, b), (None, b), (7, c), (7, None), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    out = corpus_pipeline.STAGES[2][1](spark, docs, DATA)
+    assert out.schema == docs.schema
+    expected = [(3, b), (3, b), (5, a), (None, b), (7, c), (7, None)]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_stages_take_awkward_tables(spark, made_documents):
     docs = made_documents(1).withColumnRenamed("block", "score")
     spare = docs.select("doc_id", "text", "lang", "source", "n_chars", "score")
