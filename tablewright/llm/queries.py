@@ -39,7 +39,7 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
 
 @query
 def op1_warc_derivatives(spark, sf_dir):
-    """Every derived record; the block itself is left to its digest and length."""
+    """Every derived record, its block as text: both types are UTF-8."""
     stored = warc.responses(table(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z")
     return warc.derivatives(stored, ("page_id",)).select(
         "page_id",
@@ -54,6 +54,7 @@ def op1_warc_derivatives(spark, sf_dir):
         "source_block_digest",
         "source_payload_digest",
         F.to_json("source_headers").alias("source_headers"),
+        F.col("block").cast("string").alias("block"),
     )
 
 

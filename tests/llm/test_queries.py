@@ -16,7 +16,7 @@ from llm import test_lm as lm_case
 from llm import test_quality as quality_case
 from llm import test_simhash as simhash_case
 from llm import test_substring as substring_case
-from tablewright.llm import bpe
+from tablewright.llm import bpe, warc
 from tablewright.llm.queries import ORACLES, QUERIES
 
 
@@ -118,6 +118,17 @@ def test_order_of_all_documents(spark, documents):
     assert sorted((r.doc_id, r.piece, r.used, r.ids_crc32) for r in out) == sorted(expected)
 
 
+def test_derived_records_have_their_blocks(spark):
+    out = QUERIES["op1_warc_derivatives"](spark, DATA).collect()
+    assert {r.type for r in out} == {"metadata", "conversion"}
+    for r in out:
+        data = r.block.encode()
+        assert len(data) == r.content_length and warc.digest(data) == r.block_digest
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+    texts = [(r.page_id, r.block) for r in out if r.type == "conversion"]
+    assert all(t == warc.plain_text(pages[p] or "") for p, t in texts) and len(texts) == len(pages)
+
+
 def brute_pipeline(spark, docs):
     """What the middle stages keep of (id, text) rows, by plain Python."""
     docs = [(d, t) for d, t in docs if quality_case.verdict(quality_case.brute(t))[2]]
