@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import (
     bpe,
+    divergence,
+    hardneg,
+    jaccard,
     lm,
     ordering,
     packing,
@@ -136,6 +139,26 @@ def op10_recompression(spark, sf_dir):
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op11_four_russians_negatives(spark, sf_dir):
+    """Labels are shifted for every seventh id; every hundredth is an anchor."""
+    vectors = hardneg.whole_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", shifted)
+    return hardneg.hard_negatives(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@query
+def op12_set_relation_join(spark, sf_dir):
+    return jaccard.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("text", "lang", "source")
+    return divergence.divergences(docs)
+
+
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
@@ -204,3 +227,70 @@ ORACLES["op5_kd_tree_top_k"] = """
     )
     SELECT * FROM r WHERE rank <= 5
 """
+
+ORACLES["op11_four_russians_negatives"] = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+               CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+        FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+        WHERE a.vec_id % 100 = 0
+    ), p AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT p.anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
+                AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT alike
+        AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY rank <= 5
+"""
+
+ORACLES["op13_source_divergence"] = r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ), w AS (
+        SELECT r, lang, source, unnest(terms) AS term FROM d
+    ), k AS (
+        SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+    ), l AS (
+        SELECT g.lang, coalesce(v, 0)::HUGEINT AS v, coalesce(n, 0)::HUGEINT AS n
+        FROM (SELECT DISTINCT lang FROM d) g
+        LEFT JOIN (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang) USING (lang)
+    ), c AS (
+        SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL
+    ), g AS (
+        SELECT lang, source, coalesce(n, 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d)
+        LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source) USING (lang, source)
+    ), p AS (
+        SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS times,
+               1 + (1000000000 * (coalesce(c.n, 0)::HUGEINT + 5)) // (g.n + 5 * l.v) AS p,
+               1 + (1000000000 * (k.n::HUGEINT + 5)) // (l.n + 5 * l.v) AS q
+        FROM g JOIN l USING (lang) JOIN k USING (lang)
+        LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    ), s AS (
+        SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY ALL
+    ), f AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE times > 0 AND p > q
+    )
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)
+                   AS INTEGER) AS rank
+    FROM f QUALIFY part = 'pair' OR rank <= 50
+"""
