@@ -14,6 +14,16 @@ counted per side, and a key with ``e`` expected and ``a`` actual rows has
 ``e * a - sum(e_v * a_v)`` mismatched pairs over its distinct rows ``v``. Nothing is
 joined, both aggregations merge on the map side, and a key that holds a third of
 all rows is spread over the cluster by its values first.
+
+Digests. What travels by key is not the compared values but a digest of them, two 64-bit
+hashes with unlike seeds, which is 16 bytes however wide a row is. Counts need nothing
+else; where values are asked for, they are read again for the keys whose digests differ
+and compared exactly. Two rows of one key that differ count as equal with a chance of
+2^-128, so a key with n distinct rows is misjudged with one of about n^2 / 2^129, and n
+keys of two distinct rows each with one of n / 2^128: below 10^-24 for 10^14 rows. The
+hashes are not cryptographic and no guard against values made to collide. ``exact=True``
+sends the values themselves. Digests are not used where they would be no shorter (one or
+two numbers) and leave out columns of nested or collated types, which travel as they are.
 """
 
 from __future__ import annotations
@@ -67,7 +77,11 @@ def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 
 def mismatches(
-    expected: DataFrame, actual: DataFrame, keys: str | Sequence[str], compare: str = "text"
+    expected: DataFrame,
+    actual: DataFrame,
+    keys: str | Sequence[str],
+    compare: str = "text",
+    exact: bool = False,
 ) -> DataFrame:
     """Keys on both sides with differing values.
 
@@ -76,8 +90,8 @@ def mismatches(
     of ``report``.
     """
     keys = _comparable(expected, actual, keys)
-    per_key = _per_key(_tally(expected, actual, keys, compare), len(keys))
-    return per_key.filter("pairs > 0").select(
+    rows = _Compared(expected, actual, keys, compare, exact)
+    return rows.per_key().filter("pairs > 0").select(
         *_keys_back(expected, keys),
         F.col("e").alias("expected_rows"),
         F.col("a").alias("actual_rows"),
@@ -86,7 +100,11 @@ def mismatches(
 
 
 def mismatch_rows(
-    expected: DataFrame, actual: DataFrame, keys: str | Sequence[str], compare: str = "text"
+    expected: DataFrame,
+    actual: DataFrame,
+    keys: str | Sequence[str],
+    compare: str = "text",
+    exact: bool = False,
 ) -> DataFrame:
     """The differing rows themselves, for the keys of ``mismatches``.
 
@@ -96,71 +114,79 @@ def mismatch_rows(
     """
     keys = _comparable(expected, actual, keys)
     values = [c for c in expected.columns if c not in keys]
-    return _suspect(_tally(expected, actual, keys, compare), len(keys)).select(
+    rows = _Compared(expected, actual, keys, compare, exact)
+    suspect = rows.per_key().filter("pairs > 0")
+    # Grouped values are at hand in the exact mode; after digests they are read again.
+    found = rows.of_keys(rows.tally() if exact else rows.rows, suspect)
+    if not exact:
+        found = found.groupBy(*rows.ks, *rows.vs).agg(*_sums())
+    return found.select(
         *_keys_back(expected, keys),
-        *[F.col(f"v{i}").alias(c) for i, c in enumerate(values)],
+        *[F.col(v).alias(c) for v, c in zip(rows.vs, values)],
         F.col("e").alias("expected_rows"),
         F.col("a").alias("actual_rows"),
     )
 
 
 def mismatches_by_column(
-    expected: DataFrame, actual: DataFrame, keys: str | Sequence[str], compare: str = "text"
+    expected: DataFrame,
+    actual: DataFrame,
+    keys: str | Sequence[str],
+    compare: str = "text",
+    exact: bool = False,
 ) -> DataFrame:
     """Per compared column, the number of pairs in which it differs.
 
     Rows: ``column_name``, ``mismatched_pairs``; columns without a difference have 0.
-    Keys with one distinct row on each side are compared column by column in the
-    aggregation that finds them. Only the rows of keys with more are taken apart.
+    A first pass finds the mismatched keys, a second reads their rows only. Keys with one
+    distinct row on each side become one row with the values of both and are compared there;
+    distinct rows of other keys stay apart in the same grouping and are taken to cells.
     """
     keys = _comparable(expected, actual, keys)
     values = [c for c in expected.columns if c not in keys]
     if not values:
         raise ValueError("there is no column besides the keys to compare")
-    tally = _tally(expected, actual, keys, compare)
-    ks, vs = _numbered("k", len(keys)), _numbered("v", len(values))
-    per_key = _per_key(tally, len(keys), ["n_e", "n_a"])
-    # A mismatched key with one distinct row on each side has two rows, each of one side.
-    paired = (
-        tally.filter("e = 0 OR a = 0")
-        .groupBy(*ks)
+    rows = _Compared(expected, actual, keys, compare, exact)
+    several = "n_e > 1 OR n_a > 1 AS several"
+    suspect = rows.per_key(["n_e", "n_a"]).filter("pairs > 0").selectExpr(*rows.ks, several)
+    found = rows.of_keys(rows.rows, suspect, ["several"])
+    # What tells distinct rows of a key apart is no matter where each side has one.
+    apart = [f"CASE WHEN several THEN {c} END AS c{i}" for i, c in enumerate(rows.contents)]
+    grouped = (
+        found.selectExpr("*", *apart)
+        .groupBy(*rows.ks, "several", *_numbered("c", len(apart)))
         .agg(
             *_sums(),
-            *[F.expr(f"count_if({side} > 0) AS n_{side}") for side in "ea"],
             *[
                 F.expr(f"first({v}) FILTER (WHERE {side} > 0) AS {v}_{side}")
-                for v in vs
+                for v in rows.vs
                 for side in "ea"
             ],
         )
-        .filter("n_e = 1 AND n_a = 1")
-        .alias("rows")
     )
-    several = per_key.filter("n_e > 1 OR n_a > 1")
-    same_key = F.expr(" AND ".join(f"rows.{k} <=> several.{k}" for k in ks))
-    ordinary = paired.join(several.select(*ks).alias("several"), same_key, "left_anti")
+    # Conditions on counts stay above the grouping, so that both parts share its exchange.
+    ordinary = grouped.filter("CASE WHEN e + a > 0 THEN NOT several END")
     product = f"CAST(e AS {_COUNT}) * CAST(a AS {_COUNT})"
-    ordinary = ordinary.agg(
-        *[F.expr(f"sum({product}) FILTER (WHERE NOT {v}_e <=> {v}_a) AS {v}") for v in vs]
+    sums = ordinary.agg(
+        *[F.expr(f"sum({product}) FILTER (WHERE NOT {v}_e <=> {v}_a) AS {v}") for v in rows.vs]
     )
-    ordinary = ordinary.select(
-        F.posexplode(F.array(*[F.coalesce(v, F.lit(0)).cast(_PAIRS) for v in vs])).alias(
+    sums = sums.select(
+        F.posexplode(F.array(*[F.coalesce(v, F.lit(0)).cast(_PAIRS) for v in rows.vs])).alias(
             "column_no", "pairs"
         )
     )
-    several = several.filter("pairs > 0")
-    suspect = _rows_of_keys(tally, several, len(keys))
-    texts = ", ".join(_cell(suspect, v) for v in vs)
-    cells = suspect.selectExpr(
-        *ks,
-        "e",
-        "a",
-        f"posexplode(array({texts})) AS (column_no, cell)",
+    texts = [_cell(rows.rows, v, f"CASE WHEN e > 0 THEN {v}_e ELSE {v}_a END") for v in rows.vs]
+    cells = grouped.filter("CASE WHEN e + a > 0 THEN several END").selectExpr(
+        *rows.ks, "e", "a", f"posexplode(array({', '.join(texts)})) AS (column_no, cell)"
+    )
+    per_cell = cells.groupBy(*rows.ks, "column_no", "cell").agg(*_sums())
+    found = (
+        per_cell.groupBy(*rows.ks, "column_no")
+        .agg(*_sums(), F.expr(f"sum({product}) AS equal"))
+        .selectExpr("column_no", f"CAST({product} - equal AS {_PAIRS}) AS pairs")
     )
-    per_cell = cells.groupBy(*ks, "column_no", "cell").agg(*_sums())
-    found = _pairs_of(per_cell, [*ks, "column_no"]).select("column_no", "pairs")
     # The ordinary keys give a row for each column, so those without a difference are there too.
-    totals = ordinary.unionAll(found).groupBy("column_no").agg(F.sum("pairs").alias("pairs"))
+    totals = sums.unionAll(found).groupBy("column_no").agg(F.sum("pairs").alias("pairs"))
     return totals.select(
         F.lit(values)[F.col("column_no")].alias("column_name"),
         F.col("pairs").cast(_PAIRS).alias("mismatched_pairs"),
@@ -172,6 +198,7 @@ def report(
     actual: DataFrame | None,
     keys: str | Sequence[str] | None,
     compare: str = "text",
+    exact: bool = False,
 ) -> DataFrame:
     """The whole reconciliation as one row, from one pass over each table.
 
@@ -204,7 +231,7 @@ def report(
         return _report_row(_row_counts(expected, actual), same, "FAIL", errors, columns)
     if not same:
         return _report_row(_row_counts(expected, actual), same, "SKIPPED", errors, columns)
-    totals = _totals(_tally(expected, actual, keys, compare), len(keys))
+    totals = _totals(_Compared(expected, actual, keys, compare, exact).tally(), len(keys))
     return _report_row(totals, same, None, errors, columns)
 
 
@@ -275,10 +302,10 @@ def _numbered(prefix: str, n: int) -> list[str]:
     return [f"{prefix}{i}" for i in range(n)]
 
 
-def _cell(tally: DataFrame, value: str) -> str:
-    """A compared value as text; equal texts mean equal values."""
-    instant = isinstance(tally.schema[value].dataType, T.TimestampType)
-    return f"string(unix_micros({value}))" if instant else f"string({value})"
+def _cell(rows: DataFrame, value: str, at: str) -> str:
+    """The compared value ``at`` as text; equal texts mean equal values."""
+    instant = isinstance(rows.schema[value].dataType, T.TimestampType)
+    return f"string(unix_micros({at}))" if instant else f"string({at})"
 
 
 def _required_keys(keys, *tables: DataFrame) -> list[str]:
@@ -326,28 +353,77 @@ def _keys_back(table: DataFrame, keys: Sequence[str]) -> list[Column]:
     ]
 
 
-def _tally(expected: DataFrame, actual: DataFrame, keys: Sequence[str], compare: str) -> DataFrame:
-    """Per key ``k0..`` and distinct compared values ``v0..``, the row counts ``e`` and ``a``."""
-    if compare not in ("text", "typed"):
-        raise ValueError(f"compare must be 'text' or 'typed', not {compare!r}")
-    values = [c for c in expected.columns if c not in keys]
-    key_exprs = _key_exprs(expected, actual, keys)
-    value_exprs = [
-        _compared(c, expected.schema[c].dataType, actual.schema[c].dataType, compare)
-        for c in values
-    ]
-
-    def named(df: DataFrame, side: int) -> DataFrame:
-        return df.selectExpr(
-            *[f"{pair[side]} AS k{i}" for i, pair in enumerate(key_exprs)],
-            *[f"{pair[side]} AS v{i}" for i, pair in enumerate(value_exprs)],
+class _Compared:
+    """Both tables one above the other as they are compared: keys ``k0..``, values ``v0..`` and
+    the side; ``contents`` are the columns that tell the distinct rows of a key apart."""
+
+    def __init__(self, expected, actual, keys: Sequence[str], compare: str, exact: bool):
+        if compare not in ("text", "typed"):
+            raise ValueError(f"compare must be 'text' or 'typed', not {compare!r}")
+        values = [c for c in expected.columns if c not in keys]
+        key_exprs = _key_exprs(expected, actual, keys)
+        value_exprs = [
+            _compared(c, expected.schema[c].dataType, actual.schema[c].dataType, compare)
+            for c in values
+        ]
+        self.ks, self.vs = _numbered("k", len(keys)), _numbered("v", len(values))
+
+        def named(df: DataFrame, side: int) -> DataFrame:
+            return df.selectExpr(
+                *[f"{pair[side]} AS {k}" for pair, k in zip(key_exprs, self.ks)],
+                *[f"{pair[side]} AS {v}" for pair, v in zip(value_exprs, self.vs)],
+            )
+
+        self.rows = _tagged(named(expected, 0), named(actual, 1))
+        digested = [] if exact else _digested({v: self.rows.schema[v].dataType for v in self.vs})
+        if digested:
+            # NULLs do not count in the hashes, so each value says whether it is one.
+            parts = ", ".join(f"{v}, {v} IS NULL" for v in digested)
+            seeds = {"d0": 1, "d1": 2}
+            self.rows = self.rows.selectExpr(
+                "*", *[f"xxhash64({seed}, {parts}) AS {d}" for d, seed in seeds.items()]
+            )
+            self.contents = [*seeds, *[v for v in self.vs if v not in digested]]
+        else:
+            self.contents = self.vs
+
+    def tally(self) -> DataFrame:
+        """Per key and distinct contents, the row counts ``e`` and ``a``."""
+        return self.rows.groupBy(*self.ks, *self.contents).agg(*_sums())
+
+    def per_key(self, distinct: Sequence[str] = ()) -> DataFrame:
+        return _per_key(self.tally(), len(self.ks), distinct)
+
+    def of_keys(self, rows: DataFrame, keys: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+        """The ``rows`` whose key is among ``keys``, with what ``more`` names there.
+
+        Joined on a hash besides the keys, so that the grouped keys are exchanged once
+        more and adaptive execution can split a hot key on the side of the rows.
+        """
+        hashed = f"xxhash64({', '.join(self.ks)}) AS h"
+        wanted = keys.selectExpr(*self.ks, *more, hashed).alias("wanted")
+        rows = rows.selectExpr("*", hashed).alias("rows")
+        condition = " AND ".join(
+            ["rows.h = wanted.h", *[f"rows.{k} <=> wanted.{k}" for k in self.ks]]
+        )
+        if not more:
+            return rows.join(wanted, F.expr(condition), "left_semi").drop("h")
+        return rows.join(wanted, F.expr(condition)).selectExpr(
+            *[f"rows.{c}" for c in rows.columns if c != "h"], *[f"wanted.{c}" for c in more]
         )
 
-    return (
-        _tagged(named(expected, 0), named(actual, 1))
-        .groupBy(*_numbered("k", len(keys)), *_numbered("v", len(values)))
-        .agg(*_sums())
-    )
+
+def _digested(kinds: dict[str, T.DataType]) -> list[str]:
+    """The values that go into a digest: those of plain types, where that makes rows shorter."""
+    plain = {v: t for v, t in kinds.items() if _plain(t)}
+    fixed = not any(isinstance(t, (T.StringType, T.BinaryType)) for t in plain.values())
+    return [] if not plain or fixed and len(plain) <= 2 else list(plain)
+
+
+def _plain(kind: T.DataType) -> bool:
+    """Whether equal values of the type have equal hashes, and unlike ones hardly ever."""
+    dated = isinstance(kind, (T.BooleanType, T.BinaryType, *_DATED))
+    return dated or isinstance(kind, T.NumericType) or kind == T.StringType()
 
 
 def _compared(column: str, one: T.DataType, other: T.DataType, compare: str) -> tuple[str, str]:
@@ -445,19 +521,15 @@ def _instant(name: str, kind: T.DataType) -> str:
     )
 
 
-def _pairs_of(
-    counted: DataFrame, by: Sequence[str], more: Sequence[Column] = ()
-) -> DataFrame:
-    """Per group: rows of each side, pairs of differing rows, and what ``more`` adds."""
-    product = f"CAST(e AS {_COUNT}) * CAST(a AS {_COUNT})"
-    grouped = counted.groupBy(*by).agg(*_sums(), F.expr(f"sum({product}) AS equal"), *more)
-    return grouped.selectExpr("*", f"CAST({product} - equal AS {_PAIRS}) AS pairs")
-
-
 def _per_key(tally: DataFrame, n_keys: int, distinct: Sequence[str] = ()) -> DataFrame:
-    """``distinct`` may name ``n_e`` and ``n_a``, the distinct rows of each side."""
+    """Per key: rows of each side and pairs of differing rows. ``distinct`` may name ``n_e`` and
+    ``n_a``, the distinct rows of each side."""
     counts = [F.expr(f"count_if({c[-1]} > 0) AS {c}") for c in distinct]
-    return _pairs_of(tally, _numbered("k", n_keys), counts)
+    product = f"CAST(e AS {_COUNT}) * CAST(a AS {_COUNT})"
+    grouped = tally.groupBy(*_numbered("k", n_keys)).agg(
+        *_sums(), F.expr(f"sum({product}) AS equal"), *counts
+    )
+    return grouped.selectExpr("*", f"CAST({product} - equal AS {_PAIRS}) AS pairs")
 
 
 def _totals(tally: DataFrame, n_keys: int) -> DataFrame:
@@ -469,22 +541,3 @@ def _totals(tally: DataFrame, n_keys: int) -> DataFrame:
         F.expr("count_if(e > 1) AS twice_e"),
         F.expr("count_if(a > 1) AS twice_a"),
     )
-
-
-def _suspect(tally: DataFrame, n_keys: int) -> DataFrame:
-    """The rows of the tally whose key has a mismatched pair."""
-    return _rows_of_keys(tally, _per_key(tally, n_keys).filter("pairs > 0"), n_keys)
-
-
-def _rows_of_keys(tally: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
-    """The rows of the tally whose key is among ``keys``.
-
-    Joined on a hash besides the keys, so that the grouped keys are exchanged once
-    more and adaptive execution can split a hot key on the tally side.
-    """
-    ks = _numbered("k", n_keys)
-    hashed = f"xxhash64({', '.join(ks)}) AS h"
-    wanted = keys.selectExpr(*ks, hashed).alias("wanted")
-    rows = tally.selectExpr("*", hashed).alias("rows")
-    condition = " AND ".join(["rows.h = wanted.h", *[f"rows.{k} <=> wanted.{k}" for k in ks]])
-    return rows.join(wanted, F.expr(condition), "left_semi").drop("h")
