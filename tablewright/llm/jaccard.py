@@ -13,7 +13,8 @@ prefix. A list is sorted by set size and position; sets of one size are a block.
 outside the size bounds are skipped, so is the rest of a block from the first position on at which too
 few shingles remain, and so are lists whose sets are connected already. Leaders that are known to be
 connected never form candidates: first one leader of each connected group is joined, then, with the
-groups found, the others. Candidates are verified on whole sets.
+groups found, the others. Candidates whose parities (of the shingles in each of 1,024 hashed cells) differ
+in more cells than the sets may in shingles are dropped; the others are verified on whole sets.
 
 Shingles and sets are named by hashes of 58 and 64 bits; unlike ones share a name with a chance of about
 n^2 / 2^59 and n^2 / 2^65 for n of them in a pair of texts, and in the corpus.
@@ -42,7 +43,12 @@ LIST = 20_000  # longest list that is not dealt to pairs of parts
 PAIRS = 1_024  # candidates verified together
 CUT = 1 << 22  # bytes of a text cut into words at once
 REMEMBERED = 400_000  # words whose hashes a task remembers
-_ROW = "kind int, id long, leader long, n int, followed int, head array<long>, z binary, followers binary"
+WANTED = 1 << 23  # bits that tell which lists hold a leader still to be joined
+SKETCH = 1024  # bits of the parities that bound how far two sets differ
+_ROW = (
+    "kind int, id long, leader long, n int, followed int, head array<long>, sketch array<long>,"
+    " followers binary"
+)
 _LEADER, _LINK = 0, 1
 
 
@@ -127,27 +133,33 @@ def classes(
     limit = Threshold(percent)
     taken = docs.select(column(doc_id).cast("long").alias("doc_id"), column(text).cast("string").alias("text"))
     seen = checkpointed(
-        taken.mapInArrow(lambda b: _marked(b, shingle), "doc_id long, n long, id long, piece int, counts binary")
+        taken.mapInArrow(
+            lambda b: _marked(b, shingle),
+            "doc_id long, n long, id long, first long, z binary, piece int, counts binary",
+        )
     )
     marks = seen.filter("piece IS NULL").select("doc_id", "n", "id")
-    magnitude = _magnitudes(seen)
-    told = docs.sparkSession.sparkContext.broadcast(magnitude)  # ``BUCKETS`` bytes
+    sets = seen.filter("z IS NOT NULL").select("first", "id", "z")
+    # A table of ``BUCKETS`` bytes, whatever the corpus.
+    told = docs.sparkSession.sparkContext.broadcast(_magnitudes(seen))
 
-    sets = taken.select("text").mapInArrow(lambda b: _distinct(b, shingle), "first long, id long, z binary")
     near = sets.hint("rebalance", "first").sortWithinPartitions("first", "id")
     rows = checkpointed(near.mapInArrow(lambda b: _clustered(b, shingle, limit, told), _ROW))
     leaders = rows.filter(f"kind = {_LEADER}")
     links = rows.filter(f"kind = {_LINK}").selectExpr("id AS u", "leader AS v")
 
     def joined(some: DataFrame, both: bool) -> DataFrame:
-        pairs = checkpointed(_candidates(some, limit, both).distinct())
-        return checkpointed(_verified(pairs, leaders, shingle, limit, told))
+        pairs = _near_enough(_candidates(some, limit, both).distinct(), leaders, limit)
+        return checkpointed(_verified(checkpointed(pairs), sets, leaders, shingle, limit, told))
 
     alone = leaders.filter("id = leader").withColumn("comp", F.col("id"))
     links = links.union(joined(alone, True))
     roots = components(links)
-    if not leaders.filter("id <> leader").isEmpty():
-        rest = leaders.join(roots, F.col("id") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "id"))
+    others = leaders.filter("id <> leader")
+    if not others.isEmpty():
+        bits = docs.sparkSession.sparkContext.broadcast(_wanted(others))  # ``WANTED`` bits
+        some = leaders.mapInArrow(lambda b: _only_wanted(b, bits), leaders.schema)
+        rest = some.join(roots, F.col("id") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "id"))
         found = joined(rest.drop("node", "root"), False)
         if not found.isEmpty():
             roots = components(roots.selectExpr("node AS u", "root AS v").union(found))
@@ -163,29 +175,34 @@ def classes(
 
 
 def _marked(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    """Id, set size and set name of each row, and at the end the task's hashed counts of shingles."""
-    known, counts = _Hashes(), np.zeros(BUCKETS, np.uint32)
-    names = ["doc_id", "n", "id", "piece", "counts"]
+    """Id, set size and set name of each row; the smallest shingle and the compressed text too, mostly
+    once for the copies in a task; at the end the task's hashed counts of shingles."""
+    known, counts, seen = _Hashes(), np.zeros(BUCKETS, np.uint32), set()
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    kinds = [pa.int64()] * 4 + [pa.binary(), pa.int32(), pa.binary()]
+    names = ["doc_id", "n", "id", "first", "z", "piece", "counts"]
+
+    def rows(*columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
     for batch in batches:
-        sizes, ids, held = [], [], []
-        for t in batch.column(1).cast(pa.large_binary()):
-            h = shingle_hashes(t.as_py(), shingle, known)
-            sizes.append(len(h))
-            ids.append(named(h) if len(h) else None)
+        out, held = [], [np.zeros(0, np.int64)]
+        for doc_id, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())):
+            t = t.as_py()
+            h = shingle_hashes(t, shingle, known)
             held.append((h & np.uint64(BUCKETS - 1)).astype(np.int64))
-        np.add.at(counts, np.concatenate(held or [np.zeros(0, np.int64)]), np.uint32(1))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
-                pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary()),
-            ],
-            names=names,
-        )
+            name = named(h) if len(h) else None
+            first = z = None
+            if name is not None and name not in seen:
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(name)
+                first, z = int(h[:1].view(np.int64)[0]), squeeze(t)
+            out.append((doc_id, len(h), name, first, z, None, None))
+        np.add.at(counts, np.concatenate(held), np.uint32(1))
+        yield rows(*zip(*out)) if out else rows(*[[]] * 7)
     z = [zstandard.compress(x.astype(np.uint64).tobytes()) for x in np.split(counts, PIECES)]
-    yield pa.RecordBatch.from_arrays(
-        [pa.nulls(PIECES, pa.int64())] * 3 + [pa.array(range(PIECES), pa.int32()), pa.array(z, pa.binary())],
-        names=names,
-    )
+    yield rows(*[[None] * PIECES] * 5, range(PIECES), z)
     give_back()
 
 
@@ -215,26 +232,48 @@ def _magnitudes(seen: DataFrame) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1].astype(np.uint8)
 
 
-def _distinct(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    """Smallest shingle, name and compressed text of the sets of a task; copies mostly once."""
-    known, seen = _Hashes(), set()
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+def _wanted(leaders: DataFrame) -> np.ndarray:
+    """Bits, by hash, of the shingles in the heads of ``leaders``."""
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(WANTED, bool)
+        for batch in batches:
+            bits[batch.column(0).flatten().to_numpy().view(np.uint64) % np.uint64(WANTED)] = True
+        yield of(bits)
+
+    def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(WANTED // 8, np.uint8)
+        for batch in batches:
+            for z in batch.column(0):
+                bits |= np.frombuffer(zstandard.decompress(z.as_py()), np.uint8)
+        yield of(np.unpackbits(bits))
+
+    def of(bits: np.ndarray) -> pa.RecordBatch:
+        z = zstandard.compress(np.packbits(bits).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([z], pa.binary())], names=["z"])
+
+    parts = leaders.select("head").mapInArrow(marked, "z binary")
+    parts = parts.repartition(32, F.xxhash64("z")).mapInArrow(either, "z binary")
+    bits = np.zeros(WANTED // 8, np.uint8)
+    for row in parts.collect():  # at most 32 of a megabyte each
+        bits |= np.frombuffer(zstandard.decompress(bytes(row.z)), np.uint8)
+    return bits
+
+
+def _only_wanted(batches: Iterator[pa.RecordBatch], told) -> Iterator[pa.RecordBatch]:
+    """Shingles of lists that hold no wanted leader become NULL, in their places."""
+    bits = np.unpackbits(told.value).astype(bool)
     for batch in batches:
-        rows = []
-        for t in batch.column(0).cast(pa.large_binary()):
-            t = t.as_py()
-            h = shingle_hashes(t, shingle, known)
-            if len(h) and (name := named(h)) not in seen:
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                seen.add(name)
-                rows.append((int(h[:1].view(np.int64)[0]), name, squeeze(t)))
-        first, ids, z = zip(*rows) if rows else ([], [], [])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(first, pa.int64()), pa.array(ids, pa.int64()), pa.array(z, pa.binary())],
-            names=["first", "id", "z"],
-        )
-    give_back()
+        at = batch.schema.get_field_index("head")
+        head = batch.column(at)
+        flat = head.flatten().to_numpy()
+        kept = bits[flat.view(np.uint64) % np.uint64(WANTED)]
+        ends = np.concatenate([[0], np.cumsum(head.value_lengths().to_numpy())])
+        hits = np.concatenate([[0], np.cumsum(kept)])
+        useful = pa.array(hits[ends[1:]] > hits[ends[:-1]])
+        columns = list(batch.columns)
+        columns[at] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, mask=~kept))
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(useful)
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -268,7 +307,7 @@ def _clustered(batches: Iterator[pa.RecordBatch], shingle: int, limit: Threshold
     ``leader`` is the one that stands for its connected group."""
     known, magnitude = _Hashes(), told.value
     plain = zstandard.ZstdDecompressor().decompress
-    part: list[tuple[int, np.ndarray, bytes]] = []
+    part: list[tuple[int, np.ndarray]] = []
     hubs: list[tuple[int, np.ndarray, int]] = []  # id, set, group
     run, size, out = None, 0, []
 
@@ -291,7 +330,7 @@ def _clustered(batches: Iterator[pa.RecordBatch], shingle: int, limit: Threshold
                 continue
             z = z.as_py()
             s = ordered(shingle_hashes(plain(z), shingle, known), magnitude)
-            part.append((name, s, z))
+            part.append((name, s))
             size += len(s)
             if len(part) >= PART or size >= PART_SHINGLES:
                 close()
@@ -305,14 +344,14 @@ def _clustered(batches: Iterator[pa.RecordBatch], shingle: int, limit: Threshold
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*out)) if out else [[]] * 8
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-    names = ["kind", "id", "leader", "n", "followed", "head", "z", "followers"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+    names = ["kind", "id", "leader", "n", "followed", "head", "sketch", "followers"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def _grouped(part, hubs, limit: Threshold, out: list[tuple]) -> list[tuple[int, np.ndarray, int]]:
     """Adds the rows of a part to ``out``; the leaders that stand for its new groups are the result."""
-    sets = [s for _, s, _ in part] + [s for _, s, _ in hubs]
+    sets = [s for _, s in part] + [s for _, s, _ in hubs]
     n = np.array([len(s) for s in sets])
     if len(sets) == 1:
         same = np.array([[n[0]]])
@@ -350,7 +389,7 @@ def _grouped(part, hubs, limit: Threshold, out: list[tuple]) -> list[tuple[int,
                     root[a] = b
     new = []
     for i in leaders:
-        name, s, z = part[i]
+        name, s = part[i]
         stands = group[top(i)]
         if stands == name:
             new.append((name, s, name))
@@ -365,7 +404,10 @@ def _grouped(part, hubs, limit: Threshold, out: list[tuple]) -> list[tuple[int,
             packed += [np.array([len(x), len(lacks), len(more)]), lacks.view(np.int64), more.view(np.int64)]
         followed = int(bool(own))
         head = s[: limit.head(followed, len(s))].view(np.int64)
-        out.append((_LEADER, name, stands, len(s), followed, head, z, np.concatenate(packed).tobytes() if own else None))
+        cells = np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+        sketch = np.packbits(cells.astype(np.uint8)).view(np.int64)
+        packed = np.concatenate(packed).tobytes() if own else None
+        out.append((_LEADER, name, stands, len(s), followed, head, sketch, packed))
     return new
 
 
@@ -374,10 +416,14 @@ def _candidates(leaders: DataFrame, limit: Threshold, both: bool) -> DataFrame:
     stand for a group are not paired with one another again."""
     lists = leaders.select(
         "id", "n", "followed", "comp", (F.col("id") == F.col("leader")).cast("int").alias("stands"),
-        F.posexplode("head").alias("pos", "token"), "head",
-    ).select(
-        "token", "n", "pos", "id", "followed", "comp", "stands",
-        F.when(F.col("pos") > 0, F.element_at("head", F.col("pos"))).otherwise(0).alias("before"),
+        "head", F.posexplode("head").alias("pos", "token"),
+    ).filter("token IS NOT NULL").select(
+        "token",
+        # Size, position and flags in one number, which sorts by size and position.
+        F.expr("shiftleft(CAST(n AS bigint), 33) + shiftleft(CAST(pos AS bigint), 2) + 2 * followed + stands").alias("what"),
+        "id",
+        "comp",
+        F.expr("CASE WHEN pos > 0 THEN coalesce(element_at(head, pos), 0L) ELSE 0L END").alias("before"),
     )
     # A list cannot be longer than its shingle's count, whose magnitude the name tells.
     long_ = (
@@ -396,12 +442,12 @@ def _candidates(leaders: DataFrame, limit: Threshold, both: bool) -> DataFrame:
             .drop("count", "parts", "own", "other")
         )
     order = ["token", "a", "b"]
-    run = dealt.repartition(*order).sortWithinPartitions(*order, "n", "pos", "id")
+    run = dealt.repartition(*order).sortWithinPartitions(*order, "what", "id")
     return run.mapInArrow(lambda b: _paired(b, limit, both), "u long, v long")
 
 
 def _paired(batches: Iterator[pa.RecordBatch], limit: Threshold, both: bool) -> Iterator[pa.RecordBatch]:
-    rest, names = None, ["token", "a", "b", "n", "pos", "id", "followed", "comp", "stands", "before"]
+    rest, names = None, ["token", "a", "b", "what", "id", "comp", "before"]
     for batch in batches:
         columns = [batch.column(c).to_numpy() for c in names]
         if rest is not None:
@@ -418,18 +464,20 @@ def _paired(batches: Iterator[pa.RecordBatch], limit: Threshold, both: bool) ->
 
 def _of_lists(x: dict[str, np.ndarray], limit: Threshold, both: bool) -> Iterator[pa.RecordBatch]:
     """Candidates of whole lists, each sorted by size and position."""
-    new = np.ones(len(x["n"]), bool)
+    new = np.ones(len(x["id"]), bool)
     new[1:] = np.any([x[c][1:] != x[c][:-1] for c in ("token", "a", "b")], axis=0)
     starts = np.flatnonzero(new)
     lengths = np.diff(np.append(starts, len(new)))
     # Skip lists of one set, and those that are connected already.
     useful = np.minimum.reduceat(x["comp"], starts) != np.maximum.reduceat(x["comp"], starts)
     if not both:
-        useful &= np.minimum.reduceat(x["stands"], starts) == 0
+        useful &= np.minimum.reduceat(x["what"] & 1, starts) == 0
     keep = np.repeat(useful, lengths)
-    x = {c: v[keep].astype(np.int64) for c, v in x.items()}
-    if not len(x["n"]):
+    x = {c: x[c][keep] for c in ("what", "id", "comp", "before")}
+    if not useful.any():
         return
+    x |= {"n": x["what"] >> 33, "pos": x["what"] >> 2 & (1 << 31) - 1}
+    x |= {"followed": x["what"] >> 1 & 1, "stands": x["what"] & 1}
     which = np.repeat(np.arange(int(useful.sum())), lengths[useful])
     n, pos = x["n"], x["pos"]
     size = len(n)
@@ -488,14 +536,30 @@ def _slices(counts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         begin = end
 
 
-def _verified(pairs: DataFrame, leaders: DataFrame, shingle: int, limit: Threshold, told) -> DataFrame:
+def _near_enough(pairs: DataFrame, leaders: DataFrame, limit: Threshold) -> DataFrame:
+    """Pairs whose parities differ in no more cells than the sets may in shingles."""
+    of = leaders.select("id", "n", "followed", "sketch")
+    told = pairs
+    for end in ("u", "v"):
+        told = told.join(of.select(*[F.col(c).alias(f"{c}_{end}") for c in of.columns]), F.col(end) == F.col(f"id_{end}"))
+    apart = "aggregate(zip_with(sketch_u, sketch_v, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    j = f"({2 * limit.percent}L - {100 - limit.percent}L * (followed_u + followed_v))"
+    least = f"(({j} * (n_u + n_v) + 199 + {j}) div (200 + {j}))"
+    return told.filter(f"{apart} <= n_u + n_v - 2 * {least}").select("u", "v").distinct()
+
+
+def _verified(
+    pairs: DataFrame, sets: DataFrame, leaders: DataFrame, shingle: int, limit: Threshold, told
+) -> DataFrame:
     """The pairs of leaders that are linked, or have followers that are."""
     buckets = max(1, -(-pairs.count() // PAIRS))
     dealt = pairs.withColumn("bucket", F.pmod(F.xxhash64("u", "v"), F.lit(buckets)).cast("int"))
-    wanted = dealt.select((F.col("bucket") + 0).alias("bucket"), F.explode(F.array("u", "v")).alias("id"))
-    texts = leaders.select("id", "z", "followers").join(wanted.distinct(), "id")
+    wanted = dealt.select((F.col("bucket") + 0).alias("bucket"), F.explode(F.array("u", "v")).alias("id")).distinct()
+    texts = sets.selectExpr("id", "z", "CAST(NULL AS binary) AS followers").join(wanted, "id")
+    follow = leaders.filter("followers IS NOT NULL").selectExpr("id", "CAST(NULL AS binary) AS z", "followers")
+    held = texts.union(follow.join(wanted, "id"))
     return (
-        dealt.groupBy("bucket").cogroup(texts.groupBy("bucket"))
+        dealt.groupBy("bucket").cogroup(held.groupBy("bucket"))
         .applyInArrow(lambda p, t: _linked(p, t, shingle, limit, told), "u long, v long")
     )
 
@@ -508,7 +572,7 @@ def _linked(pairs: pa.Table, texts: pa.Table, shingle: int, limit: Threshold, to
 
     @functools.lru_cache(maxsize=256)
     def whole(name: int) -> np.ndarray:
-        z = texts.column("z")[rows[name][0]].as_py()
+        z = next(z for at in rows[name] if (z := texts.column("z")[at].as_py()) is not None)
         return ordered(shingle_hashes(plain(z), shingle, known), told.value)
 
     def members(name: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
