@@ -1,3 +1,3 @@
-from tablewright.operators import aggregates, checks, columns, joins, reconcile, rows
+from tablewright.operators import aggregates, checks, columns, joins, ranges, reconcile, rows
 
-__all__ = ["aggregates", "checks", "columns", "joins", "reconcile", "rows"]
+__all__ = ["aggregates", "checks", "columns", "joins", "ranges", "reconcile", "rows"]

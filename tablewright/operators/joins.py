@@ -114,7 +114,8 @@ def join(
             raise ValueError(
                 "the condition contains no equality between the sides, so every row would be "
                 "compared with every row, and in LEFT, FULL and ANTI one whole side sent to "
-                "every task; all_pairs=True asks for that"
+                "every task; all_pairs=True asks for that, and range_join does without it where "
+                "a value of one side lies between two of the other"
             )
         return _plain(left, right, condition, kind, outputs, names)
     _check_keys(left, right, pairs)

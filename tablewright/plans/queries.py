@@ -17,6 +17,7 @@ from tablewright.operators import checks, reconcile
 from tablewright.operators.aggregates import summarize
 from tablewright.operators.columns import cast_failures, conform, derive, map_columns, source_view
 from tablewright.operators.joins import join, lookup
+from tablewright.operators.ranges import range_join
 from tablewright.operators.rows import keep
 from tablewright.plans import customer_orders
 from tablewright.plans.load import load_and_verify
@@ -365,6 +366,55 @@ def join_theta(t):
     return join(t.lineitem, t.orders, condition, "INNER", kept)
 
 
+_NEAR_SQL = """
+    SELECT s_suppkey, s_acctbal, c_custkey, c_acctbal
+    FROM supplier {kind} JOIN customer
+      ON s_acctbal - {below} <= c_acctbal AND c_acctbal < s_acctbal + {above}
+"""
+
+
+def _near(t, how: str, below: float, above: float, select):
+    """Suppliers with the customers whose balance is near theirs."""
+    ends = [("low", f"s_acctbal - {below}D"), ("high", f"s_acctbal + {above}D")]
+    supplier = derive(source_view(t.supplier, ["s_suppkey", "s_acctbal"]), ends)
+    return range_join(supplier, t.customer, ("right", "c_acctbal"), ("low", "high"), how, select)
+
+
+_NEAR = ["s_suppkey", "s_acctbal", "c_custkey", "c_acctbal"]
+
+
+@query(_NEAR_SQL.format(kind="INNER", below=20, above=20.5))
+def join_range(t):
+    return _near(t, "INNER", 20, 20.5, _NEAR)
+
+
+@query(_NEAR_SQL.format(kind="LEFT", below=0.5, above=2.25))
+def join_range_left(t):
+    return _near(t, "LEFT", 0.5, 2.25, _NEAR)
+
+
+@query(_NEAR_SQL.format(kind="FULL", below=0.25, above=1))
+def join_range_full(t):
+    return _near(t, "FULL", 0.25, 1, _NEAR)
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
+    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey % 40 = l_suppkey % 40
+                      AND o_orderdate <= l_shipdate AND l_shipdate < o_orderdate + INTERVAL 3 DAY)
+    """
+)
+def join_range_anti(t):
+    """Lines shipped in no three days after an order of their slot; slots must be equal besides."""
+    lines = derive(t.lineitem, [("slot", "l_suppkey % 40")])
+    spans = t.orders.selectExpr(
+        "o_custkey % 40 AS slot", "o_orderdate AS since", "o_orderdate + INTERVAL 3 DAY AS until"
+    )
+    kept = ["l_orderkey", "l_linenumber", "l_shipdate"]
+    return range_join(lines, spans, ("left", "l_shipdate"), ("since", "until"), "ANTI", kept, ("slot", "slot"))
+
+
 @query(
     """
     SELECT a.l_partkey AS part_id, a.l_suppkey AS supplier_id, a.quantity, r.returned
