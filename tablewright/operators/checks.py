@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,6 +162,140 @@ def summary(rules: Iterable[tuple[str, str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionAll, lines)
 
 
+class Rule(NamedTuple):
+    """A rule on one table, made by ``row_rule``, ``required_rule``, ``unique_rule`` or
+    ``reference_rule``."""
+
+    name: str
+    severity: str
+    broken: str | Column | None = None
+    columns: tuple[str, ...] = ()
+    parent: DataFrame | None = None
+    parent_columns: tuple[str, ...] = ()
+    nulls: str = "orphan"
+
+
+def row_rule(name: str, severity: str, broken: str | Column) -> Rule:
+    """Violations are rows for which ``broken`` is true."""
+    return Rule(name, severity, broken)
+
+
+def required_rule(name: str, severity: str, columns: str | Sequence[str]) -> Rule:
+    """Violations are rows in which one of the columns is NULL or, as text, blank."""
+    blank = [as_column(c).isNull() | (comparable_text(c) == "") for c in _named(columns)]
+    return Rule(name, severity, reduce(Column.__or__, blank))
+
+
+def unique_rule(name: str, severity: str, columns: str | Sequence[str]) -> Rule:
+    """Violations are values that occur more than once, as ``unique`` returns them."""
+    return Rule(name, severity, columns=tuple(_named(columns)))
+
+
+def reference_rule(
+    name: str,
+    severity: str,
+    parent: DataFrame,
+    on: tuple[str, str] | Sequence[tuple[str, str]],
+    nulls: str = "orphan",
+) -> Rule:
+    """Violations are rows whose reference is not among the parents, as ``references`` returns them."""
+    if nulls not in ("orphan", "ignore"):
+        raise ValueError(f"nulls must be 'orphan' or 'ignore', not {nulls!r}")
+    pairs = [on] if isinstance(on, tuple) and isinstance(on[0], str) else list(on)
+    child, other = zip(*pairs)
+    return Rule(name, severity, None, child, parent, other, nulls)
+
+
+def table_summary(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+    """The rows of ``summary`` for rules on one table, which is read once for all of them.
+
+    Each row becomes an entry for every key rule, with the rule's columns alone, and one for
+    every row rule it breaks; parents add theirs. One grouping by rule and key counts them
+    all, merged on the map side, so neither many rules nor a frequent key make it costly.
+    Columns of a reference have the same type on both sides, or are both whole numbers.
+    """
+    rules = list(rules)
+    if not rules:
+        raise ValueError("there are no rules to summarise")
+    for rule in rules:
+        if rule.severity not in SEVERITIES:
+            raise ValueError(
+                f"severity of {rule.name!r} must be one of {SEVERITIES}, not {rule.severity!r}"
+            )
+        for table, names in ((df, rule.columns), (rule.parent, rule.parent_columns)):
+            absent = [c for c in names if c not in table.columns]
+            if absent:
+                raise ValueError(f"columns {absent} of {rule.name!r} are not among {table.columns}")
+    key_columns = list(dict.fromkeys(c for rule in rules for c in rule.columns))
+    kinds = {c: _key_type(c, df, rules) for c in key_columns}
+
+    def entry(i: int, own: dict[str, str], n: str, parent: int) -> str:
+        keys = [
+            f"CAST({own.get(c, 'NULL')} AS {kinds[c]}) AS k{j}" for j, c in enumerate(key_columns)
+        ]
+        return f"struct({', '.join([f'{i} AS rule', *keys, f'{n} AS n', f'{parent} AS parent'])})"
+
+    entries, parents, counts = [], [], []
+    flags = {}
+    for i, rule in enumerate(rules):
+        own = {c: quoted(c) for c in rule.columns}
+        if rule.broken is not None:
+            flags[f"__broken{i}"] = F.expr(rule.broken) if isinstance(rule.broken, str) else rule.broken
+            entries.append(f"CASE WHEN __broken{i} THEN {entry(i, {}, '1L', 0)} END")
+            counts.append(f"sum(CASE WHEN rule = {i} THEN n END)")
+        elif rule.parent is None:
+            entries.append(entry(i, own, "1L", 0))
+            counts.append(f"count_if(rule = {i} AND n > 1)")
+        else:
+            known = " AND ".join(f"{c} IS NOT NULL" for c in own.values())
+            mine = entry(i, own, "1L", 0)
+            entries.append(mine if rule.nulls == "orphan" else f"CASE WHEN {known} THEN {mine} END")
+            # A NULL in a reference finds no parent, not even a NULL.
+            theirs = dict(zip(rule.columns, map(quoted, rule.parent_columns)))
+            there = rule.parent.dropna(subset=list(rule.parent_columns))
+            parents.append(there.selectExpr(f"inline(array({entry(i, theirs, '0L', 1)}))"))
+            counts.append(f"sum(CASE WHEN rule = {i} AND parent = 0 THEN n END)")
+    listed = df.withColumns(flags) if flags else df
+    listed = listed.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
+    keys = [f"k{j}" for j in range(len(key_columns))]
+    seen = (
+        reduce(DataFrame.unionAll, parents, listed)
+        .groupBy("rule", *keys)
+        .agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    )
+    totals = seen.agg(*[F.expr(f"coalesce({c}, 0L)").alias(f"c{i}") for i, c in enumerate(counts)])
+    return rows_of(
+        totals,
+        ["rule", "severity", "violations", "status"],
+        [
+            (
+                F.lit(rule.name),
+                F.lit(rule.severity),
+                F.col(f"c{i}"),
+                F.when(F.col(f"c{i}") > 0, "INVALID" if rule.severity == "error" else "WARNING").otherwise("VALID"),
+            )
+            for i, rule in enumerate(rules)
+        ],
+    )
+
+
+def _key_type(column: str, df: DataFrame, rules: Sequence[Rule]) -> str:
+    """A type that holds the values of a key column and of what it refers to."""
+    kind = df.schema[column].dataType
+    for rule in rules:
+        for own, other in zip(rule.columns, rule.parent_columns):
+            theirs = rule.parent.schema[other].dataType
+            if own != column or theirs == df.schema[column].dataType:
+                continue
+            if not isinstance(kind, T.IntegralType) or not isinstance(theirs, T.IntegralType):
+                raise ValueError(
+                    f"{rule.name!r} compares {kind.simpleString()} with {theirs.simpleString()}; "
+                    "cast one of them"
+                )
+            kind = T.LongType()
+    return kind.simpleString()
+
+
 def verdict(summary_rows: DataFrame) -> DataFrame:
     """One row over a ``summary``: INVALID if an error rule is broken, else VALID."""
     return summary_rows.agg(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import standardize_name
 from tablewright.operators import checks, reconcile
-from tablewright.operators.aggregates import summarize
+from tablewright.operators.aggregates import quantiles, summarize
 from tablewright.operators.columns import cast_failures, conform, derive, map_columns, source_view
 from tablewright.operators.joins import join, lookup
 from tablewright.operators.ranges import range_join
@@ -612,6 +612,34 @@ def agg_multi_key(t):
     return summarize(t.lineitem, keys, [("n_lines", F.count("*"))])
 
 
+@query(
+    """
+    SELECT l_returnflag, l_linestatus,
+           round(quantile_cont(l_extendedprice, 0.5), 6) AS median_price,
+           round(quantile_cont(l_extendedprice, 0.1), 6) AS low_price,
+           round(quantile_cont(l_extendedprice, 0.999), 6) AS high_price
+    FROM lineitem GROUP BY l_returnflag, l_linestatus
+    """
+)
+def agg_quantiles(t):
+    wanted = [("median_price", 0.5), ("low_price", 0.1), ("high_price", 0.999)]
+    found = quantiles(t.lineitem, _FLAGS, "l_extendedprice", wanted)
+    return found.selectExpr(*_FLAGS, *[f"round({name}, 6) AS {name}" for name, _ in wanted])
+
+
+@query(
+    """
+    SELECT l_suppkey, quantile_cont(CAST(l_quantity AS INTEGER), 0.5) AS median_quantity,
+           quantile_cont(CAST(l_quantity AS INTEGER), 0.25) AS quarter
+    FROM lineitem GROUP BY l_suppkey
+    """
+)
+def agg_quantiles_of_suppliers(t):
+    """Many groups with few values, each of which occurs often."""
+    lines = t.lineitem.selectExpr("l_suppkey", "CAST(l_quantity AS int) AS quantity")
+    return quantiles(lines, "l_suppkey", "quantity", [("median_quantity", 0.5), ("quarter", 0.25)])
+
+
 # Reconciliation. The actual table is the expected one with faults: urgent open orders
 # are lost, low-priority closed ones have another status and the dearest another amount,
 # urgent pending ones occur again under other keys and dear closed ones under the same.
@@ -988,6 +1016,54 @@ def check_verdict(t):
     return checks.verdict(_summary(t))
 
 
+_LINE_RULES = """
+    SELECT 'line_key_unique' AS rule, 'warning' AS severity, count(*) AS violations,
+           CASE WHEN count(*) > 0 THEN 'WARNING' ELSE 'VALID' END AS status
+    FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+    UNION ALL
+    SELECT 'line_part_unique', 'warning', count(*),
+           CASE WHEN count(*) > 0 THEN 'WARNING' ELSE 'VALID' END
+    FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey HAVING count(*) > 1)
+    UNION ALL
+    SELECT 'supplier_known', 'error', count(*),
+           CASE WHEN count(*) > 0 THEN 'INVALID' ELSE 'VALID' END
+    FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
+    UNION ALL
+    SELECT 'order_known', 'error', count(*),
+           CASE WHEN count(*) > 0 THEN 'INVALID' ELSE 'VALID' END
+    FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+    UNION ALL
+    SELECT 'dear_and_free_of_tax', 'warning', count(*),
+           CASE WHEN count(*) > 0 THEN 'WARNING' ELSE 'VALID' END
+    FROM lineitem WHERE l_tax = 0 AND l_extendedprice > 50000
+    UNION ALL
+    SELECT 'flags_given', 'error', count(*),
+           CASE WHEN count(*) > 0 THEN 'INVALID' ELSE 'VALID' END
+    FROM lineitem WHERE l_returnflag IS NULL OR trim(l_returnflag) = ''
+        OR l_linestatus IS NULL OR trim(l_linestatus) = ''
+"""
+
+
+@query(_LINE_RULES)
+def check_table_summary(t):
+    """Six rules on one table, which is read once."""
+    return checks.table_summary(
+        t.lineitem,
+        [
+            checks.unique_rule("line_key_unique", "warning", "l_orderkey, l_linenumber"),
+            checks.unique_rule("line_part_unique", "warning", ["l_orderkey", "l_partkey", "l_suppkey"]),
+            checks.reference_rule(
+                "supplier_known", "error", keep(t.supplier, "s_acctbal > 0"), ("l_suppkey", "s_suppkey")
+            ),
+            checks.reference_rule("order_known", "error", t.orders, ("l_orderkey", "o_orderkey")),
+            checks.row_rule(
+                "dear_and_free_of_tax", "warning", "l_tax = 0 AND l_extendedprice > 50000"
+            ),
+            checks.required_rule("flags_given", "error", "l_returnflag, l_linestatus"),
+        ],
+    )
+
+
 # Whole jobs
 
 
