@@ -1122,6 +1122,7 @@ def verify_target(t):
 @query(
     f"""
     SELECT 'VALID' AS status, '' AS missing_columns, '' AS extra_columns, '' AS other_types,
+           count(*) AS loaded_rows, CAST(0 AS BIGINT) AS failed_casts,
            'PASS' AS schema_validation, 'PASS' AS row_count_validation,
            'PASS' AS data_validation, 'PASS' AS overall_status,
            count(*) AS expected_row_count, count(*) AS actual_row_count,
@@ -1147,3 +1148,55 @@ def load_and_verify_(t):
             location=location,
         )
     )
+
+
+@query(
+    """
+    SELECT CAST(o_orderkey AS BIGINT) AS order_id, CAST(o_orderpriority AS VARCHAR) AS priority,
+           o_orderstatus AS order_status
+    FROM orders WHERE o_orderpriority <> '1-URGENT' AND o_orderstatus <> 'P'
+    """
+)
+def load_partitions(t):
+    """A partitioned target after two loads: the second brings other partitions than the first."""
+    declared = [("order_id", "BIGINT"), ("priority", "VARCHAR"), ("order_status", "VARCHAR")]
+    name, location = _target(t)
+    target = ensure_table(
+        t.spark, f"{name}_parts", declared, None, location=location and f"{location}_parts",
+        partitioned_by=["order_status"],
+    )
+    orders = map_columns(
+        t.orders,
+        [("o_orderkey", "order_id"), ("o_orderpriority", "priority"), ("o_orderstatus", "order_status")],
+    )
+    load_overwrite(keep(orders, "order_status <> 'O'"), target)
+    load_overwrite(keep(orders, "priority <> '1-URGENT' AND order_status <> 'P'"), target)
+    return t.spark.table(target)
+
+
+@query(
+    """
+    SELECT count(*) AS loaded_rows,
+           CAST(count_if(o_orderkey % 10 = 0) AS BIGINT) AS failed_casts,
+           'FAIL' AS overall_status, CAST(count_if(o_orderkey % 10 = 0) AS BIGINT) AS mismatched_rows
+    FROM orders
+    """
+)
+def load_counts(t):
+    """What a load counts while it writes: every tenth total is no number and becomes NULL."""
+    name, location = _target(t)
+    declared = [("o_orderkey", "BIGINT"), ("total", "DECIMAL", 18, 2)]
+    total = "CASE WHEN o_orderkey % 10 = 0 THEN 'unknown' ELSE string(o_totalprice) END AS total"
+    found = load_and_verify(
+        t.orders.selectExpr("o_orderkey", total),
+        conform(t.orders.selectExpr("o_orderkey", "o_totalprice AS total"), declared),
+        f"{name}_counts",
+        declared,
+        "o_orderkey",
+        schema=None,
+        location=location and f"{location}_counts",
+        on_error="null",
+    )
+    return found.selectExpr(
+        "loaded_rows", "failed_casts", "overall_status", "bigint(mismatched_rows) AS mismatched_rows"
+    )

@@ -238,3 +238,74 @@ def test_load_and_verify_finds_faults(spark):
         1,
         1,
     )
+
+
+class Statements:
+    """The statements that a load runs; the one that holds ``bad`` fails."""
+
+    def __init__(self, spark, monkeypatch, bad=None):
+        self.seen, plain = [], spark.sql
+
+        def sql(text, *args, **more):
+            if text.startswith("ALTER"):
+                self.seen.append(text)
+                if bad and bad in text and "PARTITION" in text:
+                    raise RuntimeError("no")
+            return plain(text, *args, **more)
+
+        monkeypatch.setattr(spark, "sql", sql, raising=False)
+
+
+def test_all_partitions_change_by_one_statement(spark, monkeypatch):
+    declared = [("i", "INT"), ("p", "VARCHAR"), ("q", "INT")]
+    target = ensure_table(spark, "switched", declared, None, partitioned_by=["p", "q"])
+    try:
+        data = [(1, "a/b", 1), (2, "it's", 2), (3, None, 2), (4, "z", None)]
+        df = spark.createDataFrame(data, "i int, p string, q int")
+        for part in (df, df.filter("i > 2"), df.filter("false"), df):
+            with monkeypatch.context() as patch:
+                run = Statements(spark, patch)
+                load_overwrite(part, target)
+                assert len(run.seen) == 1 and "SET LOCATION" in run.seen[0]
+            assert sorted(map(tuple, spark.table(target).collect())) == sorted(map(tuple, part.collect()))
+        assert spark.table(target).filter("p = 'it''s' AND q = 2").count() == 1
+    finally:
+        spark.sql(f"DROP TABLE {target}")
+
+
+@pytest.mark.parametrize("bad", ["ADD", "SET LOCATION", "DROP"])
+def test_a_change_of_partitions_that_fails_is_undone(spark, monkeypatch, bad):
+    """Where the catalog holds each partition, and a statement on partitions fails."""
+    spark.sql("CREATE TABLE undone (i INT, p STRING) USING parquet PARTITIONED BY (p)")
+    try:
+        first = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "i int, p string")
+        second = spark.createDataFrame([(4, "a"), (5, "b"), (6, "d"), (7, "e")], "i int, p string")
+        for given in (first, second):  # once from the table's own folders, once from those of a load
+            load_overwrite(given, "undone")
+            other = second if given is first else first
+            with monkeypatch.context() as patch:
+                Statements(spark, patch, bad)
+                with pytest.raises(RuntimeError, match="no"):
+                    load_overwrite(other, "undone")
+            assert sorted(map(tuple, spark.table("undone").collect())) == sorted(map(tuple, given.collect()))
+            load_overwrite(other, "undone")
+            assert sorted(map(tuple, spark.table("undone").collect())) == sorted(map(tuple, other.collect()))
+    finally:
+        spark.sql("DROP TABLE undone")
+
+
+def test_a_load_counts_what_it_writes(spark):
+    declared = [("k", "INT"), ("d", "DATE"), ("n", "DECIMAL", 4, 1)]
+    df = spark.createDataFrame(
+        [(1, "2024-01-01", "1.5"), (2, "x", "y"), (3, None, "12345.6"), (4, "2024-02-30", None)], "k int, d string, n string"
+    )
+    expected = spark.createDataFrame([(1, None, None)], "k int, d date, n decimal(4,1)")
+    for part, counts in ((df, (4, 4)), (df.filter("k = 1"), (1, 0)), (df.filter("k > 9"), (0, 0)), (df.filter("false"), (0, 0))):
+        found = load_and_verify(part, expected, "counted", declared, "k", schema=None, on_error="null").first()
+        assert (found.loaded_rows, found.failed_casts) == counts
+        assert found.actual_row_count == counts[0]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        load_and_verify(df, expected, "counted", declared, "k", schema=None)
+    found = load_and_verify(df.filter("k = 1"), expected, "counted", declared, "k", schema=None).first()
+    assert (found.loaded_rows, found.failed_casts) == (1, 0)
+    spark.sql("DROP TABLE counted")
