@@ -11,6 +11,11 @@ join through an exchange of their own. Two things here keep that true or fill th
 * An outer join cannot split the side it does not stream. Where ``hot`` names such a
   side, the join becomes the union of an inner join and of anti joins padded with
   NULLs, all of which can be split.
+
+``hot="auto"`` finds such sides: one pass over the keys keeps a sketch of frequent items, which
+tasks merge, and a side is hot where its most frequent key has ``HOT_ROWS`` rows or more and at
+least twice what a shuffle partition should get. FULL joins, whose sides adaptive execution
+never splits, do so by themselves.
 """
 
 from __future__ import annotations
@@ -56,6 +61,9 @@ _HASHABLE = (
     T.BinaryType,
 )
 _HASH = "__key_hash"
+# A key is hot from so many rows on.
+HOT_ROWS = 1_000_000
+_TRACKED_KEYS = 10_000  # of a task's sketch of frequent keys
 
 Pair = tuple[str, str]
 Output = str | tuple[str, str] | tuple[str, str, str]
@@ -96,16 +104,17 @@ def join(
 
     ``hot`` is ``"left"``, ``"right"`` or ``"both"``: a side on which one key may
     hold a large share of the rows. It changes the plan, not the result, see the
-    module text, and needs key pairs.
+    module text, and needs key pairs. ``"auto"`` looks for such keys at once, in one
+    aggregation of each side's keys; ``"none"`` keeps FULL joins from doing so.
 
     ``colocated`` says that both sides of a semi or anti join are bucketed or partitioned
     by the keys: Spark then joins them where they are. A hot key stays in its partition.
     """
     kind = join_type(how)
     pairs = _pairs(on)
-    if hot not in (None, "left", "right", "both"):
-        raise ValueError(f"hot must be 'left', 'right' or 'both', not {hot!r}")
-    if hot and pairs is None:
+    if hot not in (None, "none", "auto", "left", "right", "both"):
+        raise ValueError(f"hot must be 'left', 'right', 'both', 'auto' or 'none', not {hot!r}")
+    if hot not in (None, "none") and pairs is None:
         raise ValueError("hot needs the join condition as key pairs")
     outputs = _outputs(left, right, select, kind)
     if pairs is None:
@@ -121,7 +130,9 @@ def join(
     _check_keys(left, right, pairs)
     if kind in ("left_semi", "left_anti") and not colocated:
         return _existence(left, right, pairs, kind, outputs)
-    if hot is None:
+    if hot == "auto" or hot is None and kind == "full":
+        hot = _hot_sides(left, right, pairs, kind)
+    if hot in (None, "none"):
         return _plain(left, right, _equal(pairs), kind, outputs)
     streamed = {"inner": ("left", "right", "both"), "left": ("left",), "right": ("right",)}
     if hot in streamed.get(kind, ()):
@@ -276,6 +287,25 @@ def _actual(df: DataFrame, name: str) -> str:
     return next(c for c in df.columns if c.lower() == name.lower())
 
 
+def _hot_sides(left, right, pairs, kind) -> str | None:
+    """Which sides have a key that is hot, of those that a plain join could not split."""
+    sides = {"left": (left, [l for l, _ in pairs]), "right": (right, [r for _, r in pairs])}
+    looked = {"left": ("right",), "right": ("left",)}.get(kind, ("left", "right"))
+    hot = []
+    for side in looked:
+        df, keys = sides[side]
+        known = df.dropna(subset=[_actual(df, k) for k in keys])  # rows without a key join nothing
+        hashed = f"xxhash64({', '.join(map(quoted, keys))})"
+        found = known.selectExpr(f"{hashed} AS h").selectExpr(
+            "count(*) AS n", f"approx_top_k(h, 1, {_TRACKED_KEYS}) AS top"
+        ).first()
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        most = found.top[0]["count"] if found.top else 0
+        if most >= max(HOT_ROWS, 2 * found.n / parts):
+            hot.append(side)
+    return "both" if len(hot) == 2 else hot[0] if hot else None
+
+
 def _outer_in_parts(left, right, pairs, kind, outputs) -> DataFrame:
     """An outer join as the union of its matched rows and of its unmatched ones.
 

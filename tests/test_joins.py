@@ -3,6 +3,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright.operators import joins
 from tablewright.operators.checks import references
 from tablewright.operators.joins import join, join_type, lookup
 from tablewright.operators.rows import keep
@@ -304,6 +305,32 @@ def test_hot_key_is_split(spark, tiny_partitions, how):
         assert splits(None) == 0, "the grouped side enters the join without an exchange"
 
 
+@pytest.mark.parametrize("how, hot", [("FULL", None), ("LEFT", "auto"), ("RIGHT", "auto"), ("INNER", "auto")])
+def test_hot_keys_are_found(spark, tiny_partitions, monkeypatch, how, hot):
+    """Nobody says which side is hot: a third of the facts have one key."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 10_000)
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    facts = spark.range(0, 100_000, 1, 16).select(key.alias("k"), F.col("id").alias("v"))
+    some = spark.range(-1, 50_000).selectExpr("id AS k", "id + 1 AS n")
+    sides = (some, facts) if how == "LEFT" else (facts, some)
+    found = join(*sides, ("k", "k"), how, ["v", "n"], hot)
+    assert executed_plan(found).count("skew=true") > 0
+    plain = join(*sides, ("k", "k"), how, ["v", "n"], "none")
+    if how != "INNER":  # which adaptive execution splits as it is
+        assert executed_plan(plain).count("skew=true") == 0
+    total = ("count(*)", "sum(v)", "sum(n)")
+    assert found.selectExpr(*total).first() == plain.selectExpr(*total).first()
+
+
+def test_no_key_is_hot(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 3)
+    a = spark.createDataFrame([(None, i) for i in range(30)] + [(i, i) for i in range(9)], "k int, v int")
+    for df, hot in ((a, None), (a.filter("false"), None), (a.union(a.filter("k = 1")).union(a.filter("k = 1")), "left")):
+        pairs = [("k", "k")]
+        # The default of 8 partitions makes two fair shares of 9 to 11 keys less than 3 rows.
+        assert joins._hot_sides(df, a, pairs, "full") == hot
+
+
 @pytest.mark.parametrize("how, shared", [("LEFT", 1), ("RIGHT", 1), ("FULL", 2)])
 def test_outer_join_in_parts_shuffles_each_side_once(spark, tiny_partitions, how, shared):
     a = spark.range(1000).selectExpr("id % 700 AS k", "id AS v")
