@@ -1,9 +1,13 @@
 """Derived records: links back, digests, texts, and the bytes as a reader of the format sees them."""
 
 import base64
+import gzip
 import hashlib
+import time
+import zlib
 from html.parser import HTMLParser
 
+import pytest
 from conftest import DATA
 
 from tablewright.llm import warc
@@ -55,6 +59,53 @@ def test_other_responses():
     assert b"payload-length: 7" in bare[11]
 
 
+@pytest.mark.parametrize(
+    "part", ["<a href ", "<script ", "<!-- ", "<head <", '<a href="', "<a <a href='x", "<p <div ", "</script", "<meta "]
+)
+def test_hostile_pages_take_time_by_their_length(part):
+    page = (part * (1_000_000 // len(part) + 1))[:1_000_000].encode()
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page
+    begin = time.perf_counter()
+    assert len(warc.derive_one("<urn:uuid:1>", "http://a.example/", "d", block, None)) == 2
+    assert time.perf_counter() - begin < 2
+
+
+def test_links_inside_values_and_open_tags():
+    for page, links in (
+        ("<a href=<a href=x>", ["<a"]), ("<a <a href='/x>y' href=z>", ["/x>y"]), ('<A title="<a" HREF = "q"', ["q"]),
+        ("<a href=>", []), ("<a href='x><a href=y>", ["'x", "y"]), ("<abbr href=x>", []),
+    ):
+        assert list(warc._links(page)) == links
+    assert warc.plain_text("a<script>b</SCRIPT >c<!-- d --><!-- e <b>f</b> < g") == "a c f < g"
+
+
+def test_encoded_payloads():
+    page = "<html><head></head><p>grüße</p></html>".encode()
+    bare = zlib.compressobj(wbits=-15)
+    chunked = b"5;x=y\r\n" + page[:5] + b"\r\n" + b"%X\r\n" % len(page[5:]) + page[5:] + b"\r\n0\r\n\r\n"
+    zipped = gzip.compress(page)
+    both = b"%x\r\n" % len(zipped) + zipped + b"\r\n0\r\n\r\n"
+    for head, payload in (
+        (b"Transfer-Encoding: chunked", chunked), (b"Content-Encoding: gzip", zipped),
+        (b"content-encoding: X-GZIP", zipped), (b"Content-Encoding: deflate", zlib.compress(page)),
+        (b"Content-Encoding: deflate", bare.compress(page) + bare.flush()),
+        (b"Transfer-Encoding: chunked\r\nContent-Encoding: gzip", both), (b"Content-Encoding: identity", page),
+        (b"Content-Encoding: gzip", page), (b"Transfer-Encoding: chunked", page),
+    ):
+        block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n" + head + b"\r\n\r\n" + payload
+        _, text = warc.derive_one("r", "http://a.example", "d", block, None)
+        assert text[11].decode() == "grüße" and text[9] == sha(payload)
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Encoding: br\r\n\r\n\x01\x02"
+    assert [r[2] for r in warc.derive_one("r", "u", "d", block, None)] == ["metadata"]
+
+
+def test_charset_is_found_anywhere_in_the_page():
+    page = b"<html>" + b"<i>x</i>" * 1000 + b"<META http-equiv=x content='text/html; charset=latin-1'><p>\xfcber</p>"
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page
+    _, text = warc.derive_one("r", "u", "d", block, None)
+    assert text[11].decode().endswith("über")
+
+
 def test_serialized_records_can_be_read(spark):
     pages = spark.createDataFrame([(1, "http://a.example/", PAGE)], "page_id long, url string, html string")
     out = warc.serialized(warc.derivatives(warc.responses(pages, "2024-01-01T00:00:00Z"))).collect()
@@ -63,6 +114,10 @@ def test_serialized_records_can_be_read(spark):
         version, *lines = head.decode().split("\r\n")
         fields = dict(x.split(": ", 1) for x in lines)
         assert version == "WARC/1.1" and fields["WARC-Refers-To"] == r.refers_to
+        assert fields["WARC-Source-Block-Digest"] == r.source_block_digest
+        assert fields["WARC-Source-Payload-Digest"] == r.source_payload_digest
+        told = [x.split(": ", 2)[1:] for x in lines if x.startswith("WARC-Source-Header: ")]
+        assert told and sorted(map(tuple, told)) == sorted(r.source_headers.items())
         assert rest == bytes(r.block) + b"\r\n\r\n" and int(fields["Content-Length"]) == len(r.block)
 
 
