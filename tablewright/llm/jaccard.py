@@ -12,9 +12,10 @@ global order, rare ones first (by bounded counts over all documents), so frequen
 prefix. A list is sorted by set size and position; sets of one size are a block. For a probe, blocks
 outside the size bounds are skipped, so is the rest of a block from the first position on at which too
 few shingles remain, and so are lists whose sets are connected already. Leaders that are known to be
-connected never form candidates: first one leader of each connected group is joined, then, with the
-groups found, the others. Candidates whose parities (of the shingles in each of 1,024 hashed cells) differ
-in more cells than the sets may in shingles are dropped; the others are verified on whole sets.
+connected never form candidates: first a few leaders of each two groups in a list are tried, then, with
+the groups found, all pairs of the lists where some were left out. Candidates whose parities (of the
+shingles in each of 1,024 hashed cells) differ in more cells than the sets may in shingles are dropped;
+the others are verified on whole sets.
 
 Shingles and sets are named by hashes of 58 and 64 bits; unlike ones share a name with a chance of about
 n^2 / 2^59 and n^2 / 2^65 for n of them in a pair of texts, and in the corpus.
@@ -23,6 +24,7 @@ n^2 / 2^59 and n^2 / 2^65 for n of them in a pair of texts, and in the corpus.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,9 @@ PIECES = 16
 PART = 128  # sets compared in whole, besides hubs
 HUBS = 8  # leaders that a long run of similar sets is compared with
 PART_SHINGLES = 1 << 20  # shingles of sets compared in whole, about
-LIST = 20_000  # longest list that is not dealt to pairs of parts
+CROWD = 1_024  # sets with one smallest shingle that are dealt together, about
+LIST = 50_000  # longest list that is not dealt to pairs of parts
+FEW = 2  # candidates of two groups in a list that are tried before all are
 PAIRS = 1_024  # candidates verified together
 CUT = 1 << 22  # bytes of a text cut into words at once
 REMEMBERED = 400_000  # words whose hashes a task remembers
@@ -118,7 +122,13 @@ class Threshold:
 
 
 def classes(
-    docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    shingle: int = 3,
+    percent: int = 90,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    part: int = PART,
+    hubs: int = HUBS,
 ) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links, for every row.
 
@@ -126,7 +136,9 @@ def classes(
     words, the whole sequence is the only one. Rows are linked where the overlap of their sets is at
     least ``percent`` of the union. A NULL text, or one without words, has an empty set and is linked
     with nothing. Repeated rows are linked rows; a row without an id keeps its NULL and is in the
-    component of its set, whose id is NULL where no row has one.
+    component of its set, whose id is NULL where no row has one. Long texts are cut into words
+    piece by piece; a set takes 8 bytes a shingle. ``part`` sets are compared in whole at once, and with
+    ``hubs`` earlier leaders; neither changes the result.
     """
     if not 50 <= percent < 100:
         raise ValueError("the percentage must be from 50 to 99")
@@ -141,26 +153,38 @@ def classes(
     marks = seen.filter("piece IS NULL").select("doc_id", "n", "id")
     sets = seen.filter("z IS NOT NULL").select("first", "id", "z")
     # A table of ``BUCKETS`` bytes, whatever the corpus.
-    told = docs.sparkSession.sparkContext.broadcast(_magnitudes(seen))
+    magnitudes = _magnitudes(seen)
+    told = docs.sparkSession.sparkContext.broadcast(magnitudes)
+    # A list cannot be longer than its shingle's count.
+    long_ = int(magnitudes.max()) >= LIST.bit_length()
 
-    near = sets.hint("rebalance", "first").sortWithinPartitions("first", "id")
-    rows = checkpointed(near.mapInArrow(lambda b: _clustered(b, shingle, limit, told), _ROW))
+    near = _gathered(sets)
+    rows = checkpointed(near.mapInArrow(lambda b: _clustered(b, shingle, limit, told, part, hubs), _ROW))
     leaders = rows.filter(f"kind = {_LEADER}")
     links = rows.filter(f"kind = {_LINK}").selectExpr("id AS u", "leader AS v")
 
-    def joined(some: DataFrame, both: bool) -> DataFrame:
-        pairs = _near_enough(_candidates(some, limit, both).distinct(), leaders, limit)
-        return checkpointed(_verified(checkpointed(pairs), sets, leaders, shingle, limit, told))
-
-    alone = leaders.filter("id = leader").withColumn("comp", F.col("id"))
-    links = links.union(joined(alone, True))
-    roots = components(links)
-    others = leaders.filter("id <> leader")
-    if not others.isEmpty():
-        bits = docs.sparkSession.sparkContext.broadcast(_wanted(others))  # ``WANTED`` bits
-        some = leaders.mapInArrow(lambda b: _only_wanted(b, bits), leaders.schema)
-        rest = some.join(roots, F.col("id") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "id"))
-        found = joined(rest.drop("node", "root"), False)
+    def bits_of(shingles: DataFrame):
+        return docs.sparkSession.sparkContext.broadcast(_bits(shingles))  # ``WANTED`` bits
+
+    # What a prefix has for the sake of followers concerns lists of leaders that have some.
+    bits = bits_of(leaders.filter("followed = 1").select("head"))
+    some = leaders.withColumn("comp", F.col("leader"))
+    some = some.mapInArrow(lambda b: _masked(b, bits, limit), some.schema)
+    tried = checkpointed(_candidates(some, limit, FEW, long_))
+
+    def linked(candidates: DataFrame) -> DataFrame:
+        pairs = checkpointed(_near_enough(candidates.distinct(), leaders, limit))
+        return checkpointed(_verified(pairs, sets, leaders, shingle, limit, told))
+
+    roots = components(links.union(linked(tried.filter("v IS NOT NULL"))))
+    left_out = tried.filter("v IS NULL").select(F.array("u").alias("head"))
+    if not left_out.isEmpty():
+        more = bits_of(left_out)
+        rest = some.mapInArrow(lambda b: _masked(b, more), some.schema)
+        rest = rest.drop("comp").join(roots, F.col("id") == F.col("node"), "left").select(
+            *leaders.columns, F.coalesce("root", "id").alias("comp")
+        )
+        found = linked(_candidates(rest, limit, None, long_))
         if not found.isEmpty():
             roots = components(roots.selectExpr("node AS u", "root AS v").union(found))
     nodes = marks.filter("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"))
@@ -232,48 +256,70 @@ def _magnitudes(seen: DataFrame) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1].astype(np.uint8)
 
 
-def _wanted(leaders: DataFrame) -> np.ndarray:
-    """Bits, by hash, of the shingles in the heads of ``leaders``."""
+def _bits(shingles: DataFrame) -> np.ndarray:
+    """Bits, by hash, of all shingles in an array column."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(WANTED, bool)
         for batch in batches:
-            bits[batch.column(0).flatten().to_numpy().view(np.uint64) % np.uint64(WANTED)] = True
-        yield of(bits)
+            bits[_cell(batch.column(0).flatten().to_numpy())] = True
+        if bits.any():
+            yield of(np.packbits(bits))
 
     def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(WANTED // 8, np.uint8)
         for batch in batches:
             for z in batch.column(0):
                 bits |= np.frombuffer(zstandard.decompress(z.as_py()), np.uint8)
-        yield of(np.unpackbits(bits))
+        if bits.any():
+            yield of(bits)
 
     def of(bits: np.ndarray) -> pa.RecordBatch:
-        z = zstandard.compress(np.packbits(bits).tobytes())
-        return pa.RecordBatch.from_arrays([pa.array([z], pa.binary())], names=["z"])
+        return pa.RecordBatch.from_arrays([pa.array([zstandard.compress(bits.tobytes())], pa.binary())], names=["z"])
 
-    parts = leaders.select("head").mapInArrow(marked, "z binary")
-    parts = parts.repartition(32, F.xxhash64("z")).mapInArrow(either, "z binary")
+    parts = shingles.mapInArrow(marked, "z binary").repartition(32, F.xxhash64("z"))
     bits = np.zeros(WANTED // 8, np.uint8)
-    for row in parts.collect():  # at most 32 of a megabyte each
+    for row in parts.mapInArrow(either, "z binary").toLocalIterator():  # a megabyte for each partition
         bits |= np.frombuffer(zstandard.decompress(bytes(row.z)), np.uint8)
     return bits
 
 
-def _only_wanted(batches: Iterator[pa.RecordBatch], told) -> Iterator[pa.RecordBatch]:
-    """Shingles of lists that hold no wanted leader become NULL, in their places."""
+def _cell(names: np.ndarray) -> np.ndarray:
+    return (names.view(np.uint64) % np.uint64(WANTED)).astype(np.int64)
+
+
+def _masked(batches: Iterator[pa.RecordBatch], told, limit: Threshold | None = None) -> Iterator[pa.RecordBatch]:
+    """Leaders whose head keeps the shingles of ``told`` and, with ``limit``, those of the prefix that
+    leaders without followers need among themselves; others become NULL, in their places."""
     bits = np.unpackbits(told.value).astype(bool)
     for batch in batches:
         at = batch.schema.get_field_index("head")
         head = batch.column(at)
-        flat = head.flatten().to_numpy()
-        kept = bits[flat.view(np.uint64) % np.uint64(WANTED)]
-        ends = np.concatenate([[0], np.cumsum(head.value_lengths().to_numpy())])
+        flat = head.flatten()
+        known = flat.is_valid().to_numpy(zero_copy_only=False)
+        flat = flat.fill_null(0).to_numpy()
+        lengths = head.value_lengths().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        kept = bits[_cell(flat)]
+        if limit:
+            short = limit.head(-1, batch.column("n").to_numpy().astype(np.int64))
+            kept |= np.arange(len(flat)) - np.repeat(ends[:-1], lengths) < np.repeat(short, lengths)
+        kept &= known
         hits = np.concatenate([[0], np.cumsum(kept)])
-        useful = pa.array(hits[ends[1:]] > hits[ends[:-1]])
         columns = list(batch.columns)
         columns[at] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, mask=~kept))
-        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(useful)
+        masked = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+        yield masked.filter(pa.array(hits[ends[1:]] > hits[ends[:-1]]))
+
+
+def _gathered(sets: DataFrame) -> DataFrame:
+    """Sets with one smallest shingle side by side; a crowd of them is dealt to several places."""
+    crowds = sets.groupBy("first").count().filter(F.col("count") > CROWD)
+    dealt = sets.withColumn("salt", F.lit(0))
+    if not crowds.isEmpty():
+        salt = f"CAST(pmod(xxhash64(id), ceil(coalesce(count, 1L) / {CROWD})) AS int) AS salt"
+        dealt = sets.join(crowds, "first", "left").selectExpr("first", "id", "z", salt)
+    return dealt.repartition("first", "salt").sortWithinPartitions("first", "salt", "id").drop("salt")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -302,7 +348,9 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return found
 
 
-def _clustered(batches: Iterator[pa.RecordBatch], shingle: int, limit: Threshold, told) -> Iterator[pa.RecordBatch]:
+def _clustered(
+    batches: Iterator[pa.RecordBatch], shingle: int, limit: Threshold, told, most: int, most_hubs: int
+) -> Iterator[pa.RecordBatch]:
     """Leaders with their followers, and links, of runs of sets with one smallest shingle. A leader's
     ``leader`` is the one that stands for its connected group."""
     known, magnitude = _Hashes(), told.value
@@ -315,7 +363,7 @@ def _clustered(batches: Iterator[pa.RecordBatch], shingle: int, limit: Threshold
         nonlocal size
         if part:
             new = _grouped(part, hubs, limit, out)
-            hubs[:] = (hubs + new)[-HUBS:]
+            hubs[:] = (hubs + new)[-most_hubs:]
             part.clear()
         size = 0
 
@@ -332,7 +380,7 @@ def _clustered(batches: Iterator[pa.RecordBatch], shingle: int, limit: Threshold
             s = ordered(shingle_hashes(plain(z), shingle, known), magnitude)
             part.append((name, s))
             size += len(s)
-            if len(part) >= PART or size >= PART_SHINGLES:
+            if len(part) >= most or size >= PART_SHINGLES:
                 close()
         if len(out) >= 256:
             yield _rows(out)
@@ -411,42 +459,44 @@ def _grouped(part, hubs, limit: Threshold, out: list[tuple]) -> list[tuple[int,
     return new
 
 
-def _candidates(leaders: DataFrame, limit: Threshold, both: bool) -> DataFrame:
-    """Pairs (u, v) of leaders of different ``comp`` that may be near enough. Unless ``both``, leaders that
-    stand for a group are not paired with one another again."""
+def _candidates(leaders: DataFrame, limit: Threshold, few: int | None, long_: bool) -> DataFrame:
+    """Pairs (u, v) of leaders of different ``comp`` that may be near enough. With ``few``, no more of two
+    groups in a list, and a row (shingle, NULL) for each list where that left some out."""
     lists = leaders.select(
-        "id", "n", "followed", "comp", (F.col("id") == F.col("leader")).cast("int").alias("stands"),
-        "head", F.posexplode("head").alias("pos", "token"),
+        "id", "n", "followed", "comp", "head", F.posexplode("head").alias("pos", "token")
     ).filter("token IS NOT NULL").select(
         "token",
-        # Size, position and flags in one number, which sorts by size and position.
-        F.expr("shiftleft(CAST(n AS bigint), 33) + shiftleft(CAST(pos AS bigint), 2) + 2 * followed + stands").alias("what"),
+        # Size, position and flag in one number, which sorts by size and position.
+        F.expr("shiftleft(CAST(n AS bigint), 33) + shiftleft(CAST(pos AS bigint), 1) + followed").alias("what"),
         "id",
         "comp",
-        F.expr("CASE WHEN pos > 0 THEN coalesce(element_at(head, pos), 0L) ELSE 0L END").alias("before"),
-    )
-    # A list cannot be longer than its shingle's count, whose magnitude the name tells.
-    long_ = (
-        lists.filter(F.shiftrightunsigned("token", 58) >= LIST.bit_length())
-        .groupBy("token").count().filter(F.col("count") > LIST)
+        # The shingle before, or what no other leader has.
+        F.expr("CASE WHEN pos > 0 THEN coalesce(element_at(head, pos), id) ELSE id END").alias("before"),
     )
-    if long_.isEmpty():
-        dealt = lists.withColumns({"a": F.lit(0), "b": F.lit(0)})
-    else:
-        dealt = (
-            lists.join(long_, "token", "left")
-            .withColumn("parts", F.ceil(F.coalesce("count", F.lit(1)) / LIST).cast("int"))
-            .withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")})
-            .drop("count", "parts", "own", "other")
+    dealt = lists.withColumns({"a": F.lit(0), "b": F.lit(0)})
+    if long_:
+        # The name tells the magnitude of the shingle's count.
+        longest = (
+            lists.filter(F.shiftrightunsigned("token", 58) >= LIST.bit_length())
+            .groupBy("token").count().filter(F.col("count") > LIST)
         )
+        if not longest.isEmpty():
+            dealt = (
+                lists.join(longest, "token", "left")
+                .withColumn("parts", F.ceil(F.coalesce("count", F.lit(1)) / LIST).cast("int"))
+                .withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+                .withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")})
+                .drop("count", "parts", "own", "other")
+            )
     order = ["token", "a", "b"]
     run = dealt.repartition(*order).sortWithinPartitions(*order, "what", "id")
-    return run.mapInArrow(lambda b: _paired(b, limit, both), "u long, v long")
+    return run.mapInArrow(lambda b: _paired(b, limit, few), "u long, v long")
 
 
-def _paired(batches: Iterator[pa.RecordBatch], limit: Threshold, both: bool) -> Iterator[pa.RecordBatch]:
+def _paired(
+    batches: Iterator[pa.RecordBatch], limit: Threshold, few: int | None
+) -> Iterator[pa.RecordBatch]:
     rest, names = None, ["token", "a", "b", "what", "id", "comp", "before"]
     for batch in batches:
         columns = [batch.column(c).to_numpy() for c in names]
@@ -456,13 +506,15 @@ def _paired(batches: Iterator[pa.RecordBatch], limit: Threshold, both: bool) ->
         last = ends[-1] + 1 if len(ends) else 0
         rest = [c[last:] for c in columns]
         if last:
-            yield from _of_lists(dict(zip(names, (c[:last] for c in columns))), limit, both)
+            yield from _of_lists(dict(zip(names, (c[:last] for c in columns))), limit, few)
     if rest is not None and len(rest[0]):
-        yield from _of_lists(dict(zip(names, rest)), limit, both)
+        yield from _of_lists(dict(zip(names, rest)), limit, few)
     give_back()
 
 
-def _of_lists(x: dict[str, np.ndarray], limit: Threshold, both: bool) -> Iterator[pa.RecordBatch]:
+def _of_lists(
+    x: dict[str, np.ndarray], limit: Threshold, few: int | None
+) -> Iterator[pa.RecordBatch]:
     """Candidates of whole lists, each sorted by size and position."""
     new = np.ones(len(x["id"]), bool)
     new[1:] = np.any([x[c][1:] != x[c][:-1] for c in ("token", "a", "b")], axis=0)
@@ -470,14 +522,11 @@ def _of_lists(x: dict[str, np.ndarray], limit: Threshold, both: bool) -> Iterato
     lengths = np.diff(np.append(starts, len(new)))
     # Skip lists of one set, and those that are connected already.
     useful = np.minimum.reduceat(x["comp"], starts) != np.maximum.reduceat(x["comp"], starts)
-    if not both:
-        useful &= np.minimum.reduceat(x["what"] & 1, starts) == 0
     keep = np.repeat(useful, lengths)
-    x = {c: x[c][keep] for c in ("what", "id", "comp", "before")}
+    x = {c: x[c][keep] for c in ("token", "what", "id", "comp", "before")}
     if not useful.any():
         return
-    x |= {"n": x["what"] >> 33, "pos": x["what"] >> 2 & (1 << 31) - 1}
-    x |= {"followed": x["what"] >> 1 & 1, "stands": x["what"] & 1}
+    x |= {"n": x["what"] >> 33, "pos": x["what"] >> 1 & (1 << 32) - 1, "followed": x["what"] & 1}
     which = np.repeat(np.arange(int(useful.sum())), lengths[useful])
     n, pos = x["n"], x["pos"]
     size = len(n)
@@ -507,14 +556,25 @@ def _of_lists(x: dict[str, np.ndarray], limit: Threshold, both: bool) -> Iterato
             u = np.repeat(probe[one:two], count[one:two])
             v = np.repeat(since[one:two], count[one:two]) + _steps(count[one:two])
             good = x["comp"][u] != x["comp"][v]
-            if not both:
-                good &= (x["stands"][u] & x["stands"][v]) == 0
             # Where the shingles before are the same, an earlier list has the pair.
-            good &= (pos[u] == 0) | (pos[v] == 0) | (x["before"][u] != x["before"][v])
+            good &= x["before"][u] != x["before"][v]
             u, v = u[good], v[good]
             least = limit.least(x["followed"][u] + x["followed"][v], n[u], n[v])
             good = (pos[u] <= n[u] - least) & (pos[v] <= n[v] - least)
-            a, b = x["id"][u[good]], x["id"][v[good]]
+            u, v = u[good], v[good]
+            if few:
+                groups = [f(x["comp"][u], x["comp"][v]) for f in (np.minimum, np.maximum)]
+                order = np.lexsort((*groups, which[u]))
+                new = np.ones(len(order), bool)
+                new[1:] = np.any([k[order][1:] != k[order][:-1] for k in (*groups, which[u])], axis=0)
+                begun = np.flatnonzero(new)
+                rank = np.arange(len(order)) - np.repeat(begun, np.diff(np.append(begun, len(order))))
+                over = np.unique(x["token"][u[order[rank >= few]]])
+                if len(over):
+                    none = pa.nulls(len(over), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(over), none], names=["u", "v"])
+                u, v = u[order[rank < few]], v[order[rank < few]]
+            a, b = x["id"][u], x["id"][v]
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             if pairs.shape[1]:
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["u", "v"])
@@ -551,13 +611,24 @@ def _near_enough(pairs: DataFrame, leaders: DataFrame, limit: Threshold) -> Data
 def _verified(
     pairs: DataFrame, sets: DataFrame, leaders: DataFrame, shingle: int, limit: Threshold, told
 ) -> DataFrame:
-    """The pairs of leaders that are linked, or have followers that are."""
-    buckets = max(1, -(-pairs.count() // PAIRS))
-    dealt = pairs.withColumn("bucket", F.pmod(F.xxhash64("u", "v"), F.lit(buckets)).cast("int"))
+    """The pairs of leaders that are linked, or have followers that are.
+
+    Pairs are dealt by a part of either end, so that a leader of many pairs is sent to few
+    buckets; a bucket that got more than its share, as that of a hub may, is dealt once more.
+    """
+    parts = math.isqrt(max(0, pairs.count() - 1) // PAIRS) + 1
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
+    cut = pairs.withColumns({"a": part("u"), "b": part("v")})
+    full = cut.groupBy("a", "b").count().filter(F.col("count") > 4 * PAIRS)
+    if full.isEmpty():
+        dealt = cut.selectExpr("u", "v", "xxhash64(a, b) AS bucket")
+    else:
+        again = f"pmod(xxhash64(u, v), ceil(coalesce(count, 1L) / {2 * PAIRS}))"
+        dealt = cut.join(full, ["a", "b"], "left").selectExpr("u", "v", f"xxhash64(a, b, {again}) AS bucket")
     wanted = dealt.select((F.col("bucket") + 0).alias("bucket"), F.explode(F.array("u", "v")).alias("id")).distinct()
-    texts = sets.selectExpr("id", "z", "CAST(NULL AS binary) AS followers").join(wanted, "id")
+    texts = sets.selectExpr("id", "z", "CAST(NULL AS binary) AS followers")
     follow = leaders.filter("followers IS NOT NULL").selectExpr("id", "CAST(NULL AS binary) AS z", "followers")
-    held = texts.union(follow.join(wanted, "id"))
+    held = texts.union(follow).join(wanted, "id")
     return (
         dealt.groupBy("bucket").cogroup(held.groupBy("bucket"))
         .applyInArrow(lambda p, t: _linked(p, t, shingle, limit, told), "u long, v long")
