@@ -1,13 +1,15 @@
 """Packing of tokenised documents into sequences: best-fit decreasing, certified by lower bounds.
 
-Each partition packs its pieces by best-fit decreasing and compares its number of sequences with
-lower bounds from dual feasible functions: functions u of a length with sum(u) <= 1 for every set
-of lengths that fits one sequence, so that the sum over all pieces, rounded up, is a number no
-packing can beat. A partition that meets its bound is certified. Every partition ends with a
-sequence that is not full, and one that misses its bound has further gaps: these sequences give
-their pieces to an exchange, where ever fewer pools (never larger than a bound) pack them again.
-Rounds go on until one pool is left, nothing has a gap, a round no longer saves a sequence, or the
-whole packing meets the bound over all pieces. Only ids and lengths of pieces travel.
+Pieces are dealt to pools of bounded size, as many as the pieces fill and one where they fit it, so
+that the result does not depend on the session's partitions. Each pool packs by best-fit decreasing
+and compares its number of sequences with lower bounds from dual feasible functions: functions u of
+a length with sum(u) <= 1 for every set of lengths that fits one sequence, so that the sum over all
+pieces, rounded up, is a number no packing can beat. A pool that meets its bound is certified.
+While all pools together miss the bound over all pieces, every sequence that is not full gives its
+pieces to an exchange, also those of certified pools, and ever fewer pools (never larger than a
+bound) pack them again. Rounds go on until one pool is left, nothing has a gap, a round no longer
+saves a sequence, or the whole packing meets the bound over all pieces. Only ids and lengths of
+pieces travel. The bounds come with the result.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import block_count, checkpointed, column, give_back
+from tablewright.llm.common import checkpointed, column, give_back
 from tablewright.llm.vocabulary import LARGE, MEMORY, ChunkTokenizer
 
-POOL = 50_000  # pieces of a pool, about, once pools grow
+POOL = 50_000  # pieces of a pool, about
 
 
 def pieces(
@@ -125,20 +127,26 @@ def lower_bound(counts: np.ndarray, limit: int) -> int:
 
 def packed(pieces: DataFrame, limit: int = 1024) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``, the place in the sequence; a sequence is filled
-    without gaps from 0, in the order of document and piece.
+    without gaps from 0, in the order of document and piece. Further ``bound``, a number of sequences
+    that no packing of all pieces can beat, and ``pool_sequences`` and ``pool_bound``, the number and
+    the bound of the pool that packed the sequence last (1 and 1 for a piece that fills one).
 
     Rows of the same document and piece, from repeated ids, are packed as pieces of their own.
     """
-    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    added = ("sequence_id", "offset", "bound", "pool_sequences", "pool_bound")
+    names = [c for c in pieces.columns if c not in added]
     pieces = checkpointed(pieces.select(*names).withColumn("row", F.monotonically_increasing_id()))
     sizes = pieces.select("row", F.col("length").cast("int").alias("length"))
-    placed = sizes.filter(F.col("length") >= limit).select("row", F.col("row").alias("first"))
+    full = sizes.filter(F.col("length") >= limit)
+    n_full = full.count()
+    placed = full.selectExpr("row", "row AS first", "1L AS pool_sequences", "1L AS pool_bound")
     left = sizes.filter(F.col("length") < limit)
     counts = np.zeros(limit + 1, np.int64)
     for r in left.groupBy("length").count().collect():
         counts[r["length"]] = r["count"]
     bound, n = lower_bound(counts, limit), int(counts.sum())
-    pools, closed, opened = max(block_count(pieces.sparkSession), -(-n // POOL)), 0, None
+    pools, closed, opened = max(1, -(-n // POOL)), 0, None
+    kept = ["row", "first", "pool_sequences", "pool_bound"]
     before = None
     while n:
         key = F.pmod(F.xxhash64("row", F.lit(pools)), F.lit(pools))
@@ -158,10 +166,10 @@ def packed(pieces: DataFrame, limit: int = 1024) -> DataFrame:
         if opened is not None and state.sequences > opened:
             placed = placed.union(before)
             break
-        placed = placed.union((out if last else out.filter("NOT again")).select("row", "first"))
+        placed = placed.union((out if last else out.filter("NOT again")).select(*kept))
         if last:
             break
-        before = out.filter("again").select("row", "first")
+        before = out.filter("again").select(*kept)
         left = out.filter("again").select("row", "length")
         closed, opened = closed + state.sequences - state.open, state.open
         n, pools = state.pieces, max(pools // 4, -(-state.pieces // POOL), 1)
@@ -172,14 +180,17 @@ def packed(pieces: DataFrame, limit: int = 1024) -> DataFrame:
     return (
         pieces.join(placed, "row")
         .withColumnRenamed("first", "sequence_id")
-        .withColumn("offset", order)
-        .select(*names, "sequence_id", "offset")
+        .withColumns({"offset": order, "bound": F.lit(bound + n_full).cast("long")})
+        .select(*names, *added)
     )
 
 
 #: ``first``: the row of the sequence's first piece, which names the sequence; ``opens``: whether the
 #: row is that one; ``again``: whether the sequence has a gap and is packed again.
-_POOLED = "row long, length int, first long, opens boolean, again boolean"
+_POOLED = (
+    "row long, length int, first long, opens boolean, again boolean,"
+    " pool_sequences long, pool_bound long"
+)
 
 
 def _packed_pool(rows: pa.Table, limit: int) -> pa.Table:
@@ -189,15 +200,11 @@ def _packed_pool(rows: pa.Table, limit: int) -> pa.Table:
     row, lengths = row[order], lengths[order]
     sequence, room = best_fit_decreasing(lengths, limit)
     counts = np.bincount(lengths, minlength=limit + 1)
-    certified = len(room) <= lower_bound(counts, limit)
+    bound = lower_bound(counts, limit)
     by_sequence = np.argsort(sequence, kind="stable")
     starts = np.searchsorted(sequence[by_sequence], np.arange(len(room)))
     first = row[by_sequence[starts]]
     again = room > 0
-    if certified:
-        # Nothing is to be won inside; only the sequence with the most room may still join others.
-        again = np.zeros(len(room), bool)
-        again[np.argmax(room)] = room.max() > 0
     return pa.table(
         {
             "row": row,
@@ -205,5 +212,7 @@ def _packed_pool(rows: pa.Table, limit: int) -> pa.Table:
             "first": first[sequence],
             "opens": first[sequence] == row,
             "again": again[sequence],
+            "pool_sequences": np.full(len(row), len(room)),
+            "pool_bound": np.full(len(row), bound),
         }
     )

@@ -93,6 +93,31 @@ def test_documents(spark, made_documents, limit):
     assert len(by_sequence) <= -(-total // limit) * 1.05 + 1
 
 
+@pytest.mark.parametrize("partitions", ["3", "200"])
+def test_as_few_as_one_pool_whatever_the_partitions(spark, partitions, monkeypatch):
+    rng = np.random.default_rng(4)
+    lengths = np.concatenate([rng.integers(1, 1024, 900), rng.integers(300, 420, 500), [1024] * 40])
+    rows = spark.createDataFrame([(i, 0, int(n)) for i, n in enumerate(lengths)], "doc_id long, piece int, length long")
+    _, room = packing.best_fit_decreasing(lengths[lengths < 1024], 1024)
+    bound = packing.lower_bound(np.bincount(lengths, minlength=1025), 1024)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        out = packing.packed(rows).collect()
+        assert len({r.sequence_id for r in out}) == len(room) + 40
+        assert {r.bound for r in out} == {bound}
+        assert {(r.pool_sequences, r.pool_bound) for r in out if r.length < 1024} == {(len(room), bound - 40)}
+        monkeypatch.setattr(packing, "POOL", 100)  # pools, and an exchange between them
+        out = packing.packed(rows).collect()
+        assert bound <= len({r.sequence_id for r in out}) <= 1.02 * (len(room) + 40)
+        used = {}
+        for r in out:
+            used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
+        assert max(used.values()) <= 1024 and sum(used.values()) == lengths.sum()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_empty_table(made_documents):
     pieces = packing.pieces(made_documents().filter("false"), PATH)
     assert packing.packed(pieces).collect() == []

@@ -12,11 +12,12 @@ from conftest import DATA
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from llm import test_jaccard as jaccard_case
 from llm import test_lm as lm_case
 from llm import test_quality as quality_case
 from llm import test_simhash as simhash_case
 from llm import test_substring as substring_case
-from tablewright.llm import bpe, warc
+from tablewright.llm import bpe, packing, warc
 from tablewright.llm.queries import ORACLES, QUERIES
 
 
@@ -30,7 +31,7 @@ def test_query_agrees_with_its_sql(spark, name):
     columns = sorted(d[0] for d in found.description)
     assert columns == sorted(df.columns)
     kinds = {d[0]: str(d[1]) for d in found.description}
-    names = {"bigint": "BIGINT", "boolean": "BOOLEAN", "int": "INTEGER"}
+    names = {"bigint": "BIGINT", "boolean": "BOOLEAN", "int": "INTEGER", "string": "VARCHAR"}
     assert kinds == {c: names[t] for c, t in df.dtypes}
     order = [d[0] for d in found.description]
     expected = sorted(tuple(dict(zip(order, r))[c] for c in columns) for r in found.fetchall())
@@ -89,11 +90,20 @@ def test_recompression(spark, documents):
     assert sorted(map(tuple, out), key=repr) == substring_case.brute(documents)
 
 
+def test_set_relation_join(spark, documents):
+    out = QUERIES["op12_set_relation_join"](spark, DATA).collect()
+    assert sorted(map(tuple, out), key=repr) == jaccard_case.brute(documents)
+
+
 def test_packing(spark, documents):
     out = QUERIES["op7_best_fit_packing"](spark, DATA).collect()
     total = sum(r.length for r in out)
     assert {r.doc_id for r in out} == {d for d, _ in documents}
-    assert len({r.sequence_id for r in out}) <= -(-total // 1024) * 1.02 + 1
+    found = len({r.sequence_id for r in out})
+    assert found <= -(-total // 1024) * 1.02 + 1
+    # As few as one best-fit pass over all pieces finds.
+    _, room = packing.best_fit_decreasing(np.array([r.length for r in out]), 1024)
+    assert {r.bound for r in out} == {r.bound for r in out if r.bound <= found <= len(room)}
 
 
 def test_warc_and_order(spark):
