@@ -145,8 +145,10 @@ def _packed(rows: Iterator[pa.RecordBatch], planes: int) -> Iterator[pa.RecordBa
 def _against(candidates: DataFrame, anchors: DataFrame, key: list[str], task: Callable) -> DataFrame:
     """``task`` for each shard of candidates and block of anchors."""
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    c = candidates.withColumn("shard", F.expr("CAST(pmod(xxhash64(id, 1), shards) AS int)")).withColumn("block", every("blocks"))
-    a = anchors.withColumn("block", F.expr("CAST(pmod(anchor, blocks) AS int)")).withColumn("shard", every("shards"))
+    shard = F.expr("CAST(pmod(xxhash64(id, 1), shards) AS int)")
+    c = candidates.withColumn("shard", shard).withColumn("block", every("blocks"))
+    block = F.expr("CAST(pmod(anchor, blocks) AS int)")
+    a = anchors.withColumn("block", block).withColumn("shard", every("shards"))
     kind = _FOUND + ", copy int"
     rows = [df.drop("shards", "blocks") for df in (c, a)]
     return rows[0].groupBy(*key).cogroup(rows[1].groupBy(*key)).applyInArrow(task, kind)
@@ -186,7 +188,8 @@ def _task(planes: int, k: int, percent: tuple[int, int] | None):
     positive, of other labels."""
 
     def run(candidates: pa.Table, anchors: pa.Table) -> pa.Table:
-        found = [_of_block(candidates, anchors.slice(at, AT_ONCE), planes, k, percent) for at in range(0, len(anchors), AT_ONCE)] if len(candidates) else []
+        begins = range(0, len(anchors), AT_ONCE) if len(candidates) else ()
+        found = [_of_block(candidates, anchors.slice(at, AT_ONCE), planes, k, percent) for at in begins]
         names = ("anchor", "anchor_id", "positive_id", "positive_score", "id", "score", "copy")
         columns = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 7
         kinds = [pa.int64()] * 6 + [pa.int32()]

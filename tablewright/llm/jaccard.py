@@ -140,8 +140,8 @@ def classes(
     piece by piece; a set takes 8 bytes a shingle. ``part`` sets are compared in whole at once, and with
     ``hubs`` earlier leaders; neither changes the result.
     """
-    if not 50 <= percent < 100:
-        raise ValueError("the percentage must be from 50 to 99")
+    if not 60 <= percent < 100:
+        raise ValueError("the percentage must be from 60 to 99")
     limit = Threshold(percent)
     taken = docs.select(column(doc_id).cast("long").alias("doc_id"), column(text).cast("string").alias("text"))
     seen = checkpointed(
@@ -392,7 +392,8 @@ def _clustered(
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*out)) if out else [[]] * 8
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+    longs = pa.list_(pa.int64())
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), longs, longs, pa.binary()]
     names = ["kind", "id", "leader", "n", "followed", "head", "sketch", "followers"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
