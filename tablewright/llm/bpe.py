@@ -5,7 +5,9 @@ once, by built-in functions of Spark: its bytes, as an array of one-character IS
 are folded with ``aggregate``, each step merging the leftmost pair of least rank. The ranks are a
 literal: an array indexed by a hash of the piece, holding small maps, since looking up a key of a
 Spark map takes time proportional to its size. The state keeps the rank of every neighbouring pair,
-so a step looks up the two new pairs only.
+so a step looks up the two new pairs only. As a step also copies the state, the fold takes time that
+grows with the square of a word's length; the rare words of more than ``LONG`` bytes (runs of letters
+without blanks, as of some scripts or of encoded data) take the same merges from a queue instead.
 
 Documents lie in blocks. A block asks for its distinct words, packed by ranges of a hash; the
 answers come back to the block, so neither the vocabulary of the corpus nor any document's words
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -37,6 +40,7 @@ from tablewright.llm.common import (
 from tablewright.llm.vocabulary import Remembered, chunks, compiled, words_of
 
 SLOTS = 1 << 14  # of the literal array of maps
+LONG = 256  # bytes of the longest word that is folded
 NEVER = 2**31 - 1  # the rank of a pair that does not merge
 FLUSH = 200_000  # answers that a task gathers before it hands them on
 MEMORY = 150_000  # chunks of a generation that a task remembers for a block
@@ -111,6 +115,40 @@ def encoded_word(word: Column, table: Column) -> Column:
     return F.when(whole != NEVER, F.array(whole)).otherwise(_let(F.split(word, ""), folded))
 
 
+def merged(word: bytes, of: dict[bytes, int], longest: int) -> list[int]:
+    """Ids of a word: the pair of least rank, the leftmost of several, is merged until none is left.
+    Pairs wait in a queue; those that no longer exist when their turn comes are passed over."""
+    if word in of:
+        return [of[word]]
+    n = len(word)
+    after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
+    queue = []
+
+    def wait(begin: int, end: int) -> None:
+        if end - begin <= longest and (rank := of.get(word[begin:end])) is not None:
+            heapq.heappush(queue, (rank, begin, end))
+
+    for i in range(n - 1):
+        wait(i, i + 2)
+    while queue:
+        _, begin, end = heapq.heappop(queue)
+        right = after[begin]
+        if right >= n or ends[right] != end:
+            continue
+        ends[begin], after[begin] = end, after[right]
+        after[right] = n  # the right piece begins nothing any more
+        if after[begin] < n:
+            before[after[begin]] = begin
+            wait(begin, ends[after[begin]])
+        if before[begin] >= 0:
+            wait(before[begin], end)
+    ids, at = [], 0
+    while at < n:
+        ids.append(of[word[at : ends[at]]])
+        at = ends[at]
+    return ids
+
+
 def encoded(
     docs: DataFrame,
     path: str,
@@ -122,7 +160,8 @@ def encoded(
 ) -> DataFrame:
     """One row for each document: ``doc_id``, ``n_tokens``, ``ids_sha256`` (of the decimal ids joined
     by one space), ``decoded_sha256`` (of the bytes the ids decode to) and, unless switched off,
-    ``ids``. A NULL text is empty; repeated rows are encoded each."""
+    ``ids``. A NULL text is empty; repeated rows are encoded each. Time grows with a text's length, also
+    where it is one word."""
     n = blocks or block_count(docs.sparkSession)
     of = ranks(path)
     pieces = {str(rank): piece for piece, rank in of.items()}
@@ -131,11 +170,12 @@ def encoded(
     asked = by_block.applyInArrow(
         lambda t: _asked(t, pattern, n), "bucket int, block int, words binary"
     )
-    words = asked.groupBy("bucket").applyInArrow(lambda t: _distinct(t), "word string, blocks array<int>")
-    found = _let(rank_literal(of), lambda table: encoded_word(F.col("word"), table))
-    known = words.select(
-        "word", "blocks", F.array_join(found.cast("array<string>"), " ").alias("ids")
+    words = asked.groupBy("bucket").applyInArrow(
+        lambda t: _distinct(t, of), "word string, blocks array<int>, ids string"
     )
+    folded = _let(rank_literal(of), lambda table: encoded_word(F.col("word"), table))
+    ids_of = F.when(F.col("ids").isNull(), F.array_join(folded.cast("array<string>"), " "))
+    known = words.select("word", "blocks", ids_of.otherwise(F.col("ids")).alias("ids"))
     answers = known.mapInArrow(
         lambda batches: _answers(batches, pieces), "block int, words binary, ids binary, decoded binary"
     )
@@ -175,16 +215,20 @@ def _asked(packed: pa.Table, pattern: str, buckets: int) -> pa.Table:
 
 
 @freeing
-def _distinct(rows: pa.Table) -> pa.Table:
-    """The words of a bucket and the blocks that ask for each; a block asks at most once."""
+def _distinct(rows: pa.Table, of: dict[bytes, int]) -> pa.Table:
+    """The words of a bucket and the blocks that ask for each; a block asks at most once. Long words
+    have their ids already."""
     blocks: dict[bytes, list[int]] = {}
     for block, words in zip(rows.column("block").to_pylist(), rows.column("words").to_pylist()):
         for word in unpacked_list(words):
             blocks.setdefault(word, []).append(block)
+    longest = max(map(len, of))
+    ids = [None if len(w) <= LONG else " ".join(map(str, merged(w, of, longest))) for w in blocks]
     return pa.table(
         {
             "word": pa.array([w.decode("latin-1") for w in blocks], pa.string()),
             "blocks": pa.array(list(blocks.values()), pa.list_(pa.int32())),
+            "ids": pa.array(ids, pa.string()),
         }
     )
 

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import tiktoken
@@ -38,6 +39,34 @@ def test_documents(spark, made_documents):
     assert found == sorted(expected, key=repr)
 
 
+def test_long_words(spark):
+    """Runs of letters, ideographs and encoded bytes, around the longest that is folded and far beyond."""
+    rng = random.Random(8)
+    letters, signs = "etaoinshrdlu", "的一是不了人我在有他这中大来上国个到说们"
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(PATH), special_tokens={}
+    )
+    texts = ["".join(rng.choices(letters, k=n)) for n in (255, 256, 257, 300, 100_000)]
+    texts += ["".join(rng.choices(signs, k=n)) for n in (85, 86, 50_000)]
+    texts += ["a" * 5000, "ab" * 3000, "=-" * 700, base64.b64encode(rng.randbytes(3000)).decode()]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    begin = time.perf_counter()
+    out = {r.doc_id: r.ids for r in bpe.encoded(docs, PATH, public_tokenizers.PATTERN, blocks=4).collect()}
+    assert time.perf_counter() - begin < 60
+    for i, t in enumerate(texts):
+        assert out[i] == library.encode_ordinary(t)
+
+
+def test_queue_and_library_agree():
+    rng = random.Random(9)
+    of = bpe.ranks(PATH)
+    longest = max(map(len, of))
+    library = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=of, special_tokens={})
+    for _ in range(300):
+        word = "".join(rng.choices("aeinst theé日-", k=rng.randrange(1, 80)))
+        assert bpe.merged(word.encode(), of, longest) == library.encode_ordinary(word)
+
+
 def test_ranks_are_those_of_the_file():
     of = bpe.ranks(PATH)
     with open(PATH, "rb") as file:
