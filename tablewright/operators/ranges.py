@@ -1,7 +1,8 @@
 """Joins on ``low <= x AND x < high`` without comparing every row with every row.
 
 Values are cut into leaf bins: between quantiles of the points, each piece into equally wide ones,
-so that busy stretches have narrow bins. ``FAN`` neighbouring bins form a bin of the next level, and so on.
+so that busy stretches have narrow bins, but none much narrower than the shorter quarter of the
+intervals. ``FAN`` neighbouring bins form a bin of the next level, up to the length of the longest.
 An interval goes to the largest bins that together cover the leaves it meets, at most some 30 of a level
 and mostly one or two in all; a point goes to its bin of every level. A point in an interval lies
 in exactly one of the interval's bins, so equality on the bin finds each pair once, and the
@@ -17,7 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,8 +60,9 @@ def range_join(
     begins holds nothing, NaN is larger than any number.
 
     Numbers of any types, dates, and timestamps of one type are compared. The number of points,
-    their least, largest and ``KNOTS`` approximate quantiles are computed at once, in one
-    aggregation; all else is lazy. Quantiles steer the plan only, never the result.
+    their least, largest and ``KNOTS`` approximate quantiles, and a quantile and the largest of the
+    intervals' lengths in bins, are computed at once, in one aggregation of each side; all else is
+    lazy. They steer the plan only, never the result.
     """
     kind = join_type(how)
     if bounds not in ("[)", "[]", "(]", "()"):
@@ -84,18 +86,20 @@ def range_join(
         [_type(frames[side], x), _type(frames[other], low), _type(frames[other], high)]
     )
     grid = _Grid(frames[side], x, position)
-    condition = " AND ".join(
-        [
-            f"{side}.{_LEVEL} = {other}.{_LEVEL} AND {side}.{_NODE} = {other}.{_NODE}",
-            f"{other}.{quoted(low)} {'<=' if bounds[0] == '[' else '<'} {side}.{quoted(x)}",
-            f"{side}.{quoted(x)} {'<=' if bounds[1] == ']' else '<'} {other}.{quoted(high)}",
-            *[f"left.{quoted(l)} = right.{quoted(r)}" for l, r in pairs],
+    grid.fit(frames[other], low, high)
+
+    def condition(called: dict[str, str]) -> Column:
+        """The join's condition, with the sides under the names of ``called``."""
+        one, two = called[side], called[other]
+        parts = [
+            *[f"{one}.{c} = {two}.{c}" for c in (_LEVEL, _NODE)],
+            f"{two}.{quoted(low)} {'<=' if bounds[0] == '[' else '<'} {one}.{quoted(x)}",
+            f"{one}.{quoted(x)} {'<=' if bounds[1] == ']' else '<'} {two}.{quoted(high)}",
+            *[f"{called['left']}.{quoted(l)} = {called['right']}.{quoted(r)}" for l, r in pairs],
         ]
-    )
-    binned = {side: lambda df: grid.points(df, x), other: lambda df: grid.intervals(df, low, high)}
+        return F.expr(" AND ".join(parts))
 
-    def found(one: DataFrame, two: DataFrame, as_: str, keep) -> DataFrame:
-        return _plain(binned["left"](one), binned["right"](two), F.expr(condition), as_, keep)
+    binned = {side: lambda df: grid.points(df, x), other: lambda df: grid.intervals(df, low, high)}
 
     compared = {
         s: list(dict.fromkeys([*([x] if s == side else [low, high]), *[p[s == "right"] for p in pairs]]))
@@ -104,20 +108,22 @@ def range_join(
 
     def matched(s: str) -> DataFrame:
         """Distinct compared values of a side that have a match on the other."""
+        away = "right" if s == "left" else "left"
         one = frames[s].select(*map(quoted, compared[s])).distinct()
-        two = frames["left" if s == "right" else "right"]
-        if s == "left":
-            rows = found(one, two, "left_semi", [("left", c, c) for c in compared[s]])
-        else:  # Spark's semi join keeps its left input
-            swapped = F.expr(condition.replace("left.", "\0").replace("right.", "left.").replace("\0", "right."))
-            rows = _plain(binned["right"](one), binned["left"](two), swapped, "left_semi", [("left", c, c) for c in compared[s]])
-        return rows.distinct()
+        # Spark's semi join keeps its left input, so this side is the left one here.
+        keep = [("left", c, c) for c in compared[s]]
+        on = condition({s: "left", away: "right"})
+        return _plain(binned[s](one), binned[away](frames[away]), on, "left_semi", keep).distinct()
+
+    def inner() -> DataFrame:
+        on = condition({"left": "left", "right": "right"})
+        return _plain(binned["left"](left), binned["right"](right), on, "inner", outputs)
 
     if kind == "inner":
-        return found(left, right, "inner", outputs)
+        return inner()
     if kind in ("left_semi", "left_anti"):
         return _existence(left, matched("left"), [(c, c) for c in compared["left"]], kind, outputs)
-    result = found(left, right, "inner", outputs)
+    result = inner()
     for s in ("left", "right"):
         if kind not in (s, "full"):
             continue
@@ -174,6 +180,18 @@ class _Grid:
         self.parts = FAN**self.levels
         self.top = self.levels + math.ceil(math.log(pieces, FAN)) if pieces > 1 else self.levels
 
+    def fit(self, intervals: DataFrame, low: str, high: str) -> None:
+        """Make bins as wide as the shorter intervals, and leave out levels above the longest."""
+        span = self._met(intervals, low, high).selectExpr("__to - __from + 1L AS span")
+        found = span.selectExpr("percentile_approx(span, 0.25D, 1000) AS short", "max(span) AS longest").first()
+        if found.longest is None:
+            self.top = 0
+            return
+        coarser = min(self.levels, _power(found.short))
+        self.levels -= coarser
+        self.parts = FAN**self.levels
+        self.top = min(self.top - coarser, _power(found.longest // FAN**coarser + 2))
+
     def leaf(self, value: str) -> str:
         """The leaf bin of a value; those beyond the points lie in the outermost."""
         if len(self.knots) < 2:
@@ -183,8 +201,8 @@ class _Grid:
         def piece(first: int, last: int) -> str:
             if last - first == 1:
                 low, width = self.knots[first], self.knots[last] - self.knots[first]
-                part = f"least({self.parts - 1}L, CAST(floor(({at} - {low!r}D) / {width!r}D * {self.parts}D) AS bigint))"
-                return f"{first * self.parts}L + {part}"
+                part = f"CAST(floor(({at} - {low!r}D) / {width!r}D * {self.parts}D) AS bigint)"
+                return f"{first * self.parts}L + least({self.parts - 1}L, {part})"
             middle = (first + last) // 2
             return (
                 f"CASE WHEN {at} < {self.knots[middle]!r}D THEN {piece(first, middle)}"
@@ -198,7 +216,8 @@ class _Grid:
         leaves = df.filter(f"{quoted(x)} IS NOT NULL").selectExpr("*", f"{self.leaf(quoted(x))} AS __leaf")
         return self._exploded(leaves, f"array({bins})", ["__leaf"])
 
-    def intervals(self, df: DataFrame, low: str, high: str) -> DataFrame:
+    def _met(self, df: DataFrame, low: str, high: str) -> DataFrame:
+        """The intervals that meet the points' range, with their first and last leaf."""
         low, high = quoted(low), quoted(high)
         ends = [f"{low} <= {high}", f"{self.position % low} IS NOT NULL"]
         if self.first is None:
@@ -208,9 +227,12 @@ class _Grid:
                 f"{self.position % high} >= {_double(self.first)}",
                 f"{self.position % low} <= {_double(self.last)}",
             ]
-        met = df.filter(" AND ".join(ends)).selectExpr(
+        return df.filter(" AND ".join(ends)).selectExpr(
             "*", f"{self.leaf(low)} AS __from", f"{self.leaf(high)} AS __to"
         )
+
+    def intervals(self, df: DataFrame, low: str, high: str) -> DataFrame:
+        met = self._met(df, low, high)
         levels = []
         for i in range(self.top + 1):
             a, z = _covered(i)
@@ -231,6 +253,14 @@ class _Grid:
         return df.selectExpr(*kept, f"inline({bins}) AS ({_LEVEL}, {_NODE})")
 
 
+def _power(n: int) -> int:
+    """The largest power of ``FAN`` that does not exceed ``n``, by its exponent."""
+    power = 0
+    while FAN ** (power + 1) <= n:
+        power += 1
+    return power
+
+
 _NOTHING = "CAST(array() AS array<bigint>)"
 
 
@@ -245,4 +275,6 @@ def _run(first: str, end: str) -> str:
 
 
 def _double(value: float) -> str:
-    return f"double('{value!r}')" if math.isfinite(value) else f"double('{'NaN' if math.isnan(value) else 'infinity' if value > 0 else '-infinity'}')"
+    if math.isfinite(value):
+        return f"double('{value!r}')"
+    return "double('NaN')" if math.isnan(value) else f"double('{'-' if value < 0 else ''}infinity')"

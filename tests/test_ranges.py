@@ -114,6 +114,8 @@ def test_each_pair_is_met_about_once(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert joined.count() == join(points, spans, "a <= x AND x < b", "INNER", ["x", "a"], all_pairs=True).count()
     grid = ranges._Grid(points, "x", "CAST(%s AS double)")
+    grid.fit(spans, "a", "b")
+    assert grid.top == 2  # of intervals of 5 and of 9,000 numbers
     bins = grid.intervals(spans, "a", "b").groupBy("a").count().agg({"count": "max"}).first()[0]
     assert bins <= 2 * (ranges.FAN - 1) * (grid.top + 1)
     met = grid.points(points, "x").join(grid.intervals(spans, "a", "b"), ["__level", "__node"])
@@ -122,13 +124,14 @@ def test_each_pair_is_met_about_once(spark):
 
 def test_a_hot_bin_is_split(spark):
     """A third of all points in one bin: adaptive execution splits it next to its exchange."""
-    points = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 500 ELSE id END AS x", "repeat('p', 50) AS p")
+    points = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 500 ELSE id END AS x", "md5(string(id)) AS p")
     spans = spark.range(60).selectExpr("id * 1000 AS a", "id * 1000 + 1000 AS b")
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
