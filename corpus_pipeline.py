@@ -48,7 +48,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """The rows with the smallest id of each near-duplicate class. An id repeated with different texts
     is judged for each of them; rows without an id cannot be named and stay."""
     classes = simhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = classes.filter("doc_id <> component_id").select("doc_id", "fingerprint").distinct()
+    # Repeats are no matter to the anti join; without a grouping here the join before it can be split.
+    gone = classes.filter("doc_id <> component_id").select("doc_id", "fingerprint")
     rows = simhash.fingerprinted(_rows(docs).withColumn("doc_id", F.col("doc_id").cast("long")))
     return _documents(rows.join(gone, ["doc_id", "fingerprint"], "left_anti"), docs)
 
@@ -65,7 +66,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the texts' ids, each with its sequence and the place there."""
+    """The pieces of the texts' ids, each with its sequence and the place there. A NULL or empty text has
+    one piece, its end."""
     return packing.packed(packing.pieces(docs, BYTE_BPE))
 
 
