@@ -11,6 +11,11 @@ condition itself decides in the leaves at the ends. Long and open-ended interval
 The join is an equality join: Spark sorts or hashes it, and adaptive execution splits a bin that
 holds a large share of the rows on either side. Whether a row matches depends on its compared
 columns alone, so outer, semi and anti joins look up distinct compared values that have a match.
+
+Few rows may make many pairs, which Spark cannot see from their bytes. Where a join has more than
+``TASK`` candidates, the rows of a bin are dealt on either side to parts of some ``CELL`` rows, each
+part meets each of the other side's, and the pairs of parts are dealt to as many tasks as the
+candidates need. Rows are copied for that at most ``1 / CELL`` times for each pair that they are in.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ from tablewright.operators.joins import (
     Pair,
     _check_keys,
     _existence,
+    _hash_inputs,
     _outputs,
     _pairs,
     _plain,
@@ -38,7 +44,11 @@ from tablewright.operators.joins import (
 FAN = 16
 KNOTS = 64  # stretches between quantiles
 BIN = 256  # points of a leaf bin, about
+CELL = 1024  # rows of a side that are compared with as many of the other in one place, about
+TASK = 1 << 22  # candidates of a task, about
+TASKS = 20_000  # tasks of a join, at most; beyond, they get longer
 _LEVEL, _NODE = "__level", "__node"
+_LEFT_PART, _RIGHT_PART = "__left_part", "__right_part"
 
 
 def range_join(
@@ -60,9 +70,11 @@ def range_join(
     begins holds nothing, NaN is larger than any number.
 
     Numbers of any types, dates, and timestamps of one type are compared. The number of points,
-    their least, largest and ``KNOTS`` approximate quantiles, and a quantile and the largest of the
-    intervals' lengths in bins, are computed at once, in one aggregation of each side; all else is
-    lazy. They steer the plan only, never the result.
+    their least, largest and ``KNOTS`` approximate quantiles, and the number, a quantile and the
+    largest of the intervals' lengths in bins, are computed at once, in one aggregation of each side.
+    Where both sides together could make more than ``16 * TASK`` pairs, candidates are counted by bin, once
+    for the pairs and once for each side looked up. All else is lazy. This steers the plan only, never the
+    result. Rows that are alike in all columns used stay in one part.
     """
     kind = join_type(how)
     if bounds not in ("[)", "[]", "(]", "()"):
@@ -88,11 +100,11 @@ def range_join(
     grid = _Grid(frames[side], x, position)
     grid.fit(frames[other], low, high)
 
-    def condition(called: dict[str, str]) -> Column:
+    def condition(called: dict[str, str], cells: list[str]) -> Column:
         """The join's condition, with the sides under the names of ``called``."""
         one, two = called[side], called[other]
         parts = [
-            *[f"{one}.{c} = {two}.{c}" for c in (_LEVEL, _NODE)],
+            *[f"{one}.{c} = {two}.{c}" for c in cells],
             f"{two}.{quoted(low)} {'<=' if bounds[0] == '[' else '<'} {one}.{quoted(x)}",
             f"{one}.{quoted(x)} {'<=' if bounds[1] == ']' else '<'} {two}.{quoted(high)}",
             *[f"{called['left']}.{quoted(l)} = {called['right']}.{quoted(r)}" for l, r in pairs],
@@ -106,18 +118,26 @@ def range_join(
         for s in ("left", "right")
     }
 
+    def met(rows: dict[str, DataFrame], first: str, how: str, outputs: list) -> DataFrame:
+        """Spark's join of both sides with their bins, ``first`` being its left one."""
+        second = "right" if first == "left" else "left"
+        sides = {s: binned[s](df) for s, df in rows.items()}
+        cells = [_LEVEL, _NODE]
+        if grid.n * grid.m > 16 * TASK:
+            used = {s: list(dict.fromkeys([*compared[s], *(c for of, c, _ in outputs if of == s)])) for s in sides}
+            sides, cells = _dealt(sides, used, pairs, cells)
+        on = condition({first: "left", second: "right"}, cells)
+        kept = [("left" if s == first else "right", c, name) for s, c, name in outputs]
+        return _plain(sides[first], sides[second], on, how, kept)
+
     def matched(s: str) -> DataFrame:
         """Distinct compared values of a side that have a match on the other."""
-        away = "right" if s == "left" else "left"
-        one = frames[s].select(*map(quoted, compared[s])).distinct()
         # Spark's semi join keeps its left input, so this side is the left one here.
-        keep = [("left", c, c) for c in compared[s]]
-        on = condition({s: "left", away: "right"})
-        return _plain(binned[s](one), binned[away](frames[away]), on, "left_semi", keep).distinct()
+        rows = {of: frames[of].select(*map(quoted, compared[of])).distinct() for of in frames}
+        return met(rows, s, "left_semi", [(s, c, c) for c in compared[s]]).distinct()
 
     def inner() -> DataFrame:
-        on = condition({"left": "left", "right": "right"})
-        return _plain(binned["left"](left), binned["right"](right), on, "inner", outputs)
+        return met(frames, "left", "inner", outputs)
 
     if kind == "inner":
         return inner()
@@ -142,6 +162,64 @@ def range_join(
     return result
 
 
+def _dealt(
+    sides: dict[str, DataFrame], used: dict[str, list[str]], pairs: Sequence[Pair], cells: list[str]
+) -> tuple[dict[str, DataFrame], list[str]]:
+    """Both sides with the parts of their bins, dealt to tasks by the number of candidates, and what
+    must be equal; as they are where candidates are few."""
+    named = {"left": [l for l, _ in pairs], "right": [r for _, r in pairs]}
+    keys = [f"__key_{i}" for i in range(len(pairs))]
+    count = {s: f"__{s}_rows" for s in sides}
+
+    def keyed(s: str) -> list[str]:
+        return [f"{quoted(c)} AS {k}" for c, k in zip(named[s], keys)]
+
+    found = {
+        s: df.selectExpr(*cells, *keyed(s)).groupBy(*cells, *keys).agg(F.count("*").alias(count[s]))
+        for s, df in sides.items()
+    }
+    equal = F.expr(" AND ".join(f"l.{c} = r.{c}" for c in [*cells, *keys]))
+
+    def counted(s: str) -> DataFrame:
+        """The bins of both sides, with the keys as side ``s`` has them."""
+        kept = [f"{s[0]}.{c} AS __of_{c}" for c in [*cells, *keys]]
+        return found["left"].alias("l").join(found["right"].alias("r"), equal).selectExpr(*kept, *count.values())
+
+    product = " * ".join(f"CAST({c} AS double)" for c in count.values())
+    total = counted("left").selectExpr(f"sum({product})").first()[0] or 0
+    if total <= TASK:
+        return sides, cells
+    tasks = math.ceil(min(TASKS, total / TASK))
+    parts = [_LEFT_PART, _RIGHT_PART]
+    hashed = [_hash_inputs(l, _type(sides["left"], l), r, _type(sides["right"], r)) for l, r in pairs]
+    out = {}
+    for s, df in sides.items():
+        away = "right" if s == "left" else "left"
+        one, two = (parts[of == "right"] for of in (s, away))
+        kept = [quoted(c) for c in used[s]]
+        whole = [quoted(c) for c in used[s] if not _has_map(_type(df, c))]
+        number = {of: f"CAST(ceil({count[of]} / {CELL}) AS int)" for of in count}
+        on = " AND ".join(
+            [f"{c} = __of_{c}" for c in cells] + [f"{quoted(c)} = __of_{k}" for c, k in zip(named[s], keys)]
+        )
+        own = f"pmod(xxhash64({', '.join(whole)}), {number[s]}) AS {one}"
+        dealt = df.selectExpr(*kept, *cells).join(counted(s), F.expr(on)).selectExpr(
+            *kept, *cells, own, f"explode(sequence(0, {number[away]} - 1)) AS {two}"
+        )
+        # By number, since adaptive execution would merge partitions of few bytes.
+        if all(hashed):
+            dealt = dealt.repartition(
+                tasks, *map(F.expr, [*cells, *parts, *(h[s == "right"] for h in hashed)])
+            )
+        out[s] = dealt
+    return out, [*cells, *parts]
+
+
+def _has_map(kind: T.DataType) -> bool:
+    """Whether Spark cannot hash values of this type."""
+    return "map<" in kind.simpleString() or "variant" in kind.simpleString()
+
+
 def _position(kinds: Sequence[T.DataType]) -> str:
     """SQL, with a place for a column, of a double that never falls where the value rises."""
     if all(isinstance(k, T.NumericType) for k in kinds):
@@ -169,10 +247,11 @@ class _Grid:
         finite = f"CASE WHEN abs({at}) < double('infinity') THEN {at} END"
         steps = ", ".join(f"{i / KNOTS!r}D" for i in range(1, KNOTS))
         found = points.selectExpr(f"{finite} AS x", f"{at} AS y").selectExpr(
-            "count(x) AS n", "min(x) AS least", "max(x) AS most", "min(y) AS first", "max(y) AS last",
+            "count(x) AS n", "count(y) AS all", "min(x) AS least", "max(x) AS most", "min(y) AS first", "max(y) AS last",
             f"percentile_approx(x, array({steps}), 1000) AS knots",
         ).first()
         self.first, self.last = found["first"], found["last"]
+        self.n, self.m = found["all"], 0  # points and intervals
         ends = [v for v in (found.least, found.most) if v is not None]
         self.knots = sorted({*ends, *(found.knots or [])})
         pieces = max(1, len(self.knots) - 1)
@@ -183,7 +262,10 @@ class _Grid:
     def fit(self, intervals: DataFrame, low: str, high: str) -> None:
         """Make bins as wide as the shorter intervals, and leave out levels above the longest."""
         span = self._met(intervals, low, high).selectExpr("__to - __from + 1L AS span")
-        found = span.selectExpr("percentile_approx(span, 0.25D, 1000) AS short", "max(span) AS longest").first()
+        found = span.selectExpr(
+            "count(*) AS m", "percentile_approx(span, 0.25D, 1000) AS short", "max(span) AS longest"
+        ).first()
+        self.m = found.m
         if found.longest is None:
             self.top = 0
             return

@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.operators import ranges
 from tablewright.operators.joins import join
@@ -60,6 +61,32 @@ def test_agrees_with_all_pairs(spark, small_bins, seed, bounds):
             assert list(map(repr, rows(found))) == list(map(repr, rows(join(s, p, condition, how, keep, all_pairs=True))))
 
 
+def test_parts_agree_with_all_pairs(spark, small_bins, monkeypatch):
+    """The same where each bin is dealt to parts and tasks."""
+    monkeypatch.setattr(ranges, "CELL", 2)
+    monkeypatch.setattr(ranges, "TASK", 20)
+    test_agrees_with_all_pairs(spark, None, 4, "(]")
+
+
+def test_many_pairs_of_few_rows_are_dealt_to_tasks(spark, monkeypatch):
+    """A quarter of the points are one number, which is in all spans; no task has much more than its share."""
+    monkeypatch.setattr(ranges, "CELL", 64)
+    monkeypatch.setattr(ranges, "TASK", 1 << 14)
+    points = spark.range(4000).selectExpr("CASE WHEN id % 4 = 0 THEN 500 ELSE id END AS x", "id AS v")
+    spans = spark.range(500).selectExpr("id AS a", "id + 1000 AS b", "id % 2 AS k")
+    keyed = points.selectExpr("*", "CAST(v % 3 AS int) AS j")
+    for one, equal in ((points, None), (keyed, ("j", "k"))):
+        joined = range_join(one, spans, ("left", "x"), ("a", "b"), "INNER", ["v", "a"], equal)
+        condition = "a <= x AND x < b" + (" AND j = k" if equal else "")
+        expected = join(one, spans, condition, "INNER", ["v", "a"], all_pairs=True)
+        assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
+        tasks = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+        assert tasks[0] < 4 * ranges.TASK
+        assert tasks[1] > 10
+    found = range_join(points, spans, ("left", "x"), ("a", "b"), "ANTI", ["v"])
+    assert rows(found) == rows(join(points, spans, "a <= x AND x < b", "ANTI", ["v"], all_pairs=True))
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "int", "decimal(12,3)"])
 def test_types(spark, small_bins, kind):
     rng = random.Random(kind)
