@@ -627,15 +627,30 @@ def _verified(
         again = f"pmod(xxhash64(u, v), ceil(coalesce(count, 1L) / {2 * PAIRS}))"
         dealt = cut.join(full, ["a", "b"], "left").selectExpr("u", "v", f"xxhash64(a, b, {again}) AS bucket")
     wanted = dealt.select((F.col("bucket") + 0).alias("bucket"), F.explode(F.array("u", "v")).alias("id")).distinct()
-    texts = sets.selectExpr("id", "z", "CAST(NULL AS binary) AS followers")
-    follow = leaders.filter("followers IS NOT NULL").selectExpr("id", "CAST(NULL AS binary) AS z", "followers")
-    held = texts.union(follow).join(wanted, "id")
+    held = _texts_of(pairs, sets, leaders).join(wanted, "id")
     return (
         dealt.groupBy("bucket").cogroup(held.groupBy("bucket"))
         .applyInArrow(lambda p, t: _linked(p, t, shingle, limit, told), "u long, v long")
     )
 
 
+def _texts_of(pairs: DataFrame, sets: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Texts and followers of the sets in ``pairs``, found by bits of their names (and few others), so that
+    the join after it need not exchange the corpus."""
+    told = pairs.sparkSession.sparkContext.broadcast(_bits(pairs.select(F.array("u", "v"))))
+    texts = sets.selectExpr("id", "z", "CAST(NULL AS binary) AS followers")
+    follow = leaders.filter("followers IS NOT NULL").selectExpr("id", "CAST(NULL AS binary) AS z", "followers")
+    rows = texts.union(follow)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(told.value).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(bits[_cell(batch.column(0).to_numpy())]))
+        give_back()
+
+    return rows.mapInArrow(kept, rows.schema)
+
+
 def _linked(pairs: pa.Table, texts: pa.Table, shingle: int, limit: Threshold, told) -> pa.Table:
     known, plain = _Hashes(), zstandard.ZstdDecompressor().decompress
     rows: dict[int, list[int]] = {}

@@ -86,6 +86,17 @@ def test_long_texts_are_cut_between_words(monkeypatch):
     assert (jaccard.shingle_hashes(text, 3, jaccard._Hashes()) == whole).all()
 
 
+def test_only_texts_of_pairs_are_joined(spark):
+    sets = spark.range(-3000, 3000).selectExpr("xxhash64(id) AS first", "xxhash64(id) AS id", "CAST(id AS binary) AS z")
+    leaders = sets.selectExpr("id", "CASE WHEN first % 2 = 0 THEN z END AS followers")
+    pairs = spark.range(20).selectExpr("xxhash64(id) AS u", "xxhash64(id - 20) AS v")
+    kept = [r.id for r in jaccard._texts_of(pairs, sets, leaders).collect()]
+    named = {x for r in pairs.collect() for x in r}
+    followed = {r.id for r in leaders.filter("followers IS NOT NULL").collect()}
+    assert sorted(x for x in kept if x in named) == sorted([*named, *(named & followed)])
+    assert len(kept) < 100
+
+
 def test_overlaps():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 900, n)).astype(np.uint64) for n in (1, 5, 300, 700, 40)]
