@@ -87,7 +87,7 @@ def test_long_texts_are_cut_between_words(monkeypatch):
 
 
 def test_only_texts_of_pairs_are_joined(spark):
-    sets = spark.range(-3000, 3000).selectExpr("xxhash64(id) AS first", "xxhash64(id) AS id", "CAST(id AS binary) AS z")
+    sets = spark.range(-3000, 3000).selectExpr("xxhash64(id) AS first", "xxhash64(id) AS id", "CAST(string(id) AS binary) AS z")
     leaders = sets.selectExpr("id", "CASE WHEN first % 2 = 0 THEN z END AS followers")
     pairs = spark.range(20).selectExpr("xxhash64(id) AS u", "xxhash64(id - 20) AS v")
     kept = [r.id for r in jaccard._texts_of(pairs, sets, leaders).collect()]
