@@ -24,7 +24,6 @@ n^2 / 2^59 and n^2 / 2^65 for n of them in a pair of texts, and in the corpus.
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -313,15 +312,59 @@ def _masked(batches: Iterator[pa.RecordBatch], told, limit: Threshold | None = N
 
 
 def _gathered(sets: DataFrame) -> DataFrame:
-    """Sets with one smallest shingle side by side; a crowd of them is dealt to several places."""
-    crowds = sets.groupBy("first").count().filter(F.col("count") > CROWD)
-    dealt = sets.withColumn("salt", F.lit(0))
-    if not crowds.isEmpty():
-        salt = f"CAST(pmod(xxhash64(id), ceil(coalesce(count, 1L) / {CROWD})) AS int) AS salt"
-        dealt = sets.join(crowds, "first", "left").selectExpr("first", "id", "z", salt)
+    """Sets with one smallest shingle side by side; a crowd of them is dealt to several places. These
+    are told by a table of crowds, so that texts are exchanged once, whatever crowds there are."""
+    told = sets.sparkSession.sparkContext.broadcast(_crowds(sets))  # a byte for each of ``BUCKETS``
+
+    def salted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = told.value[_crowd_cell(batch.column(0).to_numpy())].astype(np.int64)
+            places = np.maximum(1, (np.int64(1) << bits) // CROWD).astype(np.uint64)
+            salt = mixed(batch.column(1).to_numpy().view(np.uint64)) % places
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(salt.astype(np.int64))], names=[*batch.schema.names, "salt"]
+            )
+        give_back()
+
+    dealt = sets.mapInArrow(salted, "first long, id long, z binary, salt long")
     return dealt.repartition("first", "salt").sortWithinPartitions("first", "salt", "id").drop("salt")
 
 
+def _crowds(sets: DataFrame) -> np.ndarray:
+    """Bit lengths, by hash, of the numbers of sets that share their smallest shingle with more than
+    ``CROWD``; zero elsewhere."""
+
+    def of(table: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([zstandard.compress(table.tobytes())], pa.binary())], names=["z"])
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(BUCKETS, np.uint8)
+        for batch in batches:
+            bits = np.frexp(batch.column(1).to_numpy().astype(np.float64))[1].astype(np.uint8)
+            np.maximum.at(table, _crowd_cell(batch.column(0).to_numpy()), bits)
+        if table.any():
+            yield of(table)
+
+    def largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(BUCKETS, np.uint8)
+        for batch in batches:
+            for z in batch.column(0):
+                np.maximum(table, np.frombuffer(zstandard.decompress(z.as_py()), np.uint8), out=table)
+        if table.any():
+            yield of(table)
+
+    crowds = sets.groupBy("first").count().filter(F.col("count") > CROWD)
+    parts = crowds.mapInArrow(marked, "z binary").repartition(32, F.xxhash64("z")).mapInArrow(largest, "z binary")
+    table = np.zeros(BUCKETS, np.uint8)
+    for row in parts.toLocalIterator():  # a megabyte for each partition
+        np.maximum(table, np.frombuffer(zstandard.decompress(bytes(row.z)), np.uint8), out=table)
+    return table
+
+
+def _crowd_cell(firsts: np.ndarray) -> np.ndarray:
+    return (mixed(firsts.view(np.uint64)) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets."""
     found = np.zeros((len(sets), len(sets)), np.int64)
@@ -609,23 +652,36 @@ def _near_enough(pairs: DataFrame, leaders: DataFrame, limit: Threshold) -> Data
     return told.filter(f"{apart} <= n_u + n_v - 2 * {least}").select("u", "v").distinct()
 
 
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """Pairs with a ``bucket``, by families: the least leader that either end is paired with. So most texts
+    are sent to one bucket, however many pairs there are. A family of many pairs is dealt by a part of
+    either end; a bucket that got more than its share, as that of a hub may, is dealt once more."""
+    buckets = 4 * pairs.count() // PAIRS + 1
+    ends = pairs.union(pairs.selectExpr("v AS u", "u AS v"))
+    least = ends.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least")).select("u", "least")
+    families = pairs.join(least, "u").join(least.selectExpr("u AS v", "least AS other"), "v").select(
+        "u", "v", F.least("least", "other").alias("family")
+    )
+    large = families.groupBy("family").count().filter(F.col("count") > PAIRS)
+    parts = f"CAST(ceil(sqrt(count / {PAIRS})) AS bigint)"
+    cut = families.join(large, "family", "left").selectExpr(
+        "u",
+        "v",
+        f"CASE WHEN count IS NULL THEN pmod(xxhash64(family), {buckets}L) ELSE"
+        f" xxhash64(family, pmod(xxhash64(u), {parts}), pmod(xxhash64(v), {parts})) END AS bucket",
+    )
+    full = cut.groupBy("bucket").count().filter(F.col("count") > 4 * PAIRS)
+    if full.isEmpty():
+        return cut.select("u", "v", "bucket")
+    again = f"pmod(xxhash64(u, v), ceil(coalesce(count, 1L) / {2 * PAIRS}))"
+    return cut.join(full, "bucket", "left").selectExpr("u", "v", f"xxhash64(bucket, {again}) AS bucket")
+
+
 def _verified(
     pairs: DataFrame, sets: DataFrame, leaders: DataFrame, shingle: int, limit: Threshold, told
 ) -> DataFrame:
-    """The pairs of leaders that are linked, or have followers that are.
-
-    Pairs are dealt by a part of either end, so that a leader of many pairs is sent to few
-    buckets; a bucket that got more than its share, as that of a hub may, is dealt once more.
-    """
-    parts = math.isqrt(max(0, pairs.count() - 1) // PAIRS) + 1
-    part = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
-    cut = pairs.withColumns({"a": part("u"), "b": part("v")})
-    full = cut.groupBy("a", "b").count().filter(F.col("count") > 4 * PAIRS)
-    if full.isEmpty():
-        dealt = cut.selectExpr("u", "v", "xxhash64(a, b) AS bucket")
-    else:
-        again = f"pmod(xxhash64(u, v), ceil(coalesce(count, 1L) / {2 * PAIRS}))"
-        dealt = cut.join(full, ["a", "b"], "left").selectExpr("u", "v", f"xxhash64(a, b, {again}) AS bucket")
+    """The pairs of leaders that are linked, or have followers that are."""
+    dealt = _dealt(pairs)
     wanted = dealt.select((F.col("bucket") + 0).alias("bucket"), F.explode(F.array("u", "v")).alias("id")).distinct()
     held = _texts_of(pairs, sets, leaders).join(wanted, "id")
     return (

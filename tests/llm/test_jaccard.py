@@ -102,3 +102,36 @@ def test_overlaps():
     sets = [np.unique(rng.integers(0, 900, n)).astype(np.uint64) for n in (1, 5, 300, 700, 40)]
     expected = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
     assert jaccard.overlaps(sets).tolist() == expected
+
+
+def test_crowds_are_dealt_without_a_join(spark, monkeypatch):
+    """Texts are exchanged once where many sets share their smallest shingle; a crowd has several places."""
+    monkeypatch.setattr(jaccard, "CROWD", 8)
+    rows = [(7 if i < 100 else 1000 + i, i * 7919, b"z") for i in range(400)]
+    sets = spark.createDataFrame(rows, "first long, id long, z binary")
+    found = jaccard._gathered(sets)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert sorted((r.first, r.id, bytes(r.z)) for r in found.collect()) == sorted(rows)
+    table = jaccard._crowds(sets)
+    cell = jaccard._crowd_cell(np.array([7]))
+    assert table[cell] == 7 and np.count_nonzero(table) == 1
+    assert not jaccard._crowds(sets.filter("first > 7")).any()
+
+
+def test_texts_of_families_are_sent_once(spark, monkeypatch):
+    """Families of few pairs lie in one bucket each; a clique and a hub of many are dealt to several."""
+    monkeypatch.setattr(jaccard, "PAIRS", 16)
+    families = [(3 * i, 3 * i + k) for i in range(200) for k in (1, 2)]
+    clique = [(1000 + i, 1000 + j) for j in range(20) for i in range(j)]
+    hub = [(2000, 2001 + i) for i in range(300)]
+    rows = jaccard._dealt(spark.createDataFrame(families + clique + hub, "u long, v long")).collect()
+    assert sorted((r.u, r.v) for r in rows) == sorted(families + clique + hub)
+    sizes, sent = {}, {}
+    for r in rows:
+        sizes[r.bucket] = sizes.get(r.bucket, 0) + 1
+        for x in (r.u, r.v):
+            sent.setdefault(x, set()).add(r.bucket)
+    assert all(len(sent[x]) == 1 for x in range(600))
+    assert max(sizes.values()) <= 64
+    assert len(sent[2000]) > 4 and len({b for x in range(1000, 1020) for b in sent[x]}) > 1
