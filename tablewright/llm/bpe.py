@@ -1,18 +1,16 @@
-"""Byte-level BPE with a file of ranks: encoding by a fold over distinct words, and decoding.
-
-Texts are cut into words by the vocabulary's pattern. Each distinct word of the corpus is encoded
-once, by built-in functions of Spark: its bytes, as an array of one-character ISO-8859-1 strings,
-are folded with ``aggregate``, each step merging the leftmost pair of least rank. The ranks are a
-literal: an array indexed by a hash of the piece, holding small maps, since looking up a key of a
-Spark map takes time proportional to its size. The state keeps the rank of every neighbouring pair,
-so a step looks up the two new pairs only. As a step also copies the state, the fold takes time that
-grows with the square of a word's length; the rare words of more than ``LONG`` bytes (runs of letters
-without blanks, as of some scripts or of encoded data) take the same merges from a queue instead.
-
-Documents lie in blocks. A block asks for its distinct words, packed by ranges of a hash; the
-answers come back to the block, so neither the vocabulary of the corpus nor any document's words
-are ever rows of a join. Decoding concatenates the pieces of the ids; as that goes id by id, it is
-done for each distinct word, and texts are put together from their words.
+"""Byte-level BPE with a file of ranks: encoding by merges over distinct words, and decoding.
+
+Texts are cut into words by the vocabulary's pattern. Documents lie in blocks. A block asks for its
+distinct words, packed by ranges of a hash; each distinct word of the corpus is encoded once, where
+its range lies, and the answers come back to the block, so neither the vocabulary of the corpus nor
+any document's words are ever rows of a join. A block asks in order, since sorted words compress.
+
+A word's pieces are folded: each step merges the leftmost pair of least rank and looks up the two new
+pairs only. As a step also goes over all pairs, the fold takes time that grows with the square of a
+word's length; the rare words of more than ``LONG`` bytes (runs of letters without blanks, as of some
+scripts or of encoded data) take the same merges from a queue instead. Decoding concatenates the
+pieces of the ids; as that goes id by id, it is done for each distinct word, and texts are put
+together from their words.
 """
 
 from __future__ import annotations
@@ -20,29 +18,23 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
-from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tablewright.llm.common import (
     block_count,
     dealt,
     freeing,
-    give_back,
     packed_list,
     plain_texts,
     unpacked_list,
 )
 from tablewright.llm.vocabulary import Remembered, chunks, compiled, words_of
 
-SLOTS = 1 << 14  # of the literal array of maps
 LONG = 256  # bytes of the longest word that is folded
 NEVER = 2**31 - 1  # the rank of a pair that does not merge
-FLUSH = 200_000  # answers that a task gathers before it hands them on
 MEMORY = 150_000  # chunks of a generation that a task remembers for a block
 
 
@@ -52,72 +44,26 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-def rank_literal(of: dict[bytes, int]) -> Column:
-    slots: list[dict[str, int]] = [{} for _ in range(SLOTS)]
-    for piece, rank in of.items():
-        key = piece.decode("latin-1")
-        slots[xxhash.xxh64_intdigest(key.encode(), 42) & (SLOTS - 1)][key] = rank
-    return F.from_json(F.lit(json.dumps(slots)), "array<map<string,int>>")
-
-
-def _let(value: Column, use) -> Column:
-    """``use(value)``, with one copy of ``value`` in the plan, computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def encoded_word(word: Column, table: Column) -> Column:
-    """Ids of a word given as ISO-8859-1 text of its bytes (one character or more)."""
-
-    def rank(piece: Column) -> Column:
-        slot = F.get(table, F.xxhash64(piece).bitwiseAND(F.lit(SLOTS - 1)).cast("int"))
-        return F.coalesce(F.try_element_at(slot, piece), F.lit(NEVER))
-
-    def pair(pieces: Column, i: Column) -> Column:
-        """Rank of the pieces i and i + 1 (from 0); without a second one, that of NULL: never."""
-        return rank(F.concat(F.get(pieces, i), F.get(pieces, i + 1)))
-
-    def state(pieces: Column, pairs: Column, least: Column) -> Column:
-        return F.struct(pieces.alias("pieces"), pairs.alias("pairs"), least.alias("least"))
-
-    def merged(s: Column) -> Column:
-        def with_place(p: Column) -> Column:
-            """``p``: place of the pair's left piece, from 1, so that of its right piece from 0."""
-            joined = F.concat(F.get(s["pieces"], p - 1), F.get(s["pieces"], p))
-            pieces = F.transform(
-                F.filter(s["pieces"], lambda _, i: i != p),
-                lambda x, i: F.when(i == p - 1, joined).otherwise(x),
-            )
-            return _let(
-                pieces,
-                lambda q: _let(
-                    F.transform(
-                        F.filter(s["pairs"], lambda _, i: i != p),
-                        lambda x, i: F.when((i < p - 2) | (i >= p), x).otherwise(pair(q, i)),
-                    ),
-                    lambda r: state(q, r, F.array_min(r)),
-                ),
-            )
-
-        return _let(F.array_position(s["pairs"], s["least"]).cast("int"), with_place)
-
-    def folded(pieces: Column) -> Column:
-        start = _let(
-            F.transform(pieces, lambda _, i: pair(pieces, i)),
-            lambda r: state(pieces, r, F.array_min(r)),
-        )
-        steps = F.sequence(F.lit(1), F.size(pieces))
-        end = F.aggregate(
-            steps, start, lambda s, _: F.when(s["least"] == NEVER, s).otherwise(merged(s))
-        )
-        return F.transform(end["pieces"], rank)
-
-    whole = rank(word)
-    return F.when(whole != NEVER, F.array(whole)).otherwise(_let(F.split(word, ""), folded))
+def folded(word: bytes, of: dict[bytes, int]) -> list[int]:
+    """Ids of a word: the pair of least rank, the leftmost of several, is merged until none is left."""
+    if word in of:
+        return [of[word]]
+    rank = of.get
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    pairs = [rank(a + b, NEVER) for a, b in zip(pieces, pieces[1:])]
+    while pairs and (least := min(pairs)) != NEVER:
+        i = pairs.index(least)
+        pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
+        del pairs[i]
+        if i:
+            pairs[i - 1] = rank(pieces[i - 1] + pieces[i], NEVER)
+        if i < len(pairs):
+            pairs[i] = rank(pieces[i] + pieces[i + 1], NEVER)
+    return [of[p] for p in pieces]
 
 
 def merged(word: bytes, of: dict[bytes, int], longest: int) -> list[int]:
-    """Ids of a word: the pair of least rank, the leftmost of several, is merged until none is left.
-    Pairs wait in a queue; those that no longer exist when their turn comes are passed over."""
+    """As ``folded``. Pairs wait in a queue; those that no longer exist when their turn comes are passed over."""
     if word in of:
         return [of[word]]
     n = len(word)
@@ -164,20 +110,13 @@ def encoded(
     where it is one word."""
     n = blocks or block_count(docs.sparkSession)
     of = ranks(path)
-    pieces = {str(rank): piece for piece, rank in of.items()}
     packed = dealt(docs, n, doc_id, text)
     by_block = packed.groupBy("block")
     asked = by_block.applyInArrow(
         lambda t: _asked(t, pattern, n), "bucket int, block int, words binary"
     )
-    words = asked.groupBy("bucket").applyInArrow(
-        lambda t: _distinct(t, of), "word string, blocks array<int>, ids string"
-    )
-    folded = _let(rank_literal(of), lambda table: encoded_word(F.col("word"), table))
-    ids_of = F.when(F.col("ids").isNull(), F.array_join(folded.cast("array<string>"), " "))
-    known = words.select("word", "blocks", ids_of.otherwise(F.col("ids")).alias("ids"))
-    answers = known.mapInArrow(
-        lambda batches: _answers(batches, pieces), "block int, words binary, ids binary, decoded binary"
+    answers = asked.groupBy("bucket").applyInArrow(
+        lambda t: _answers(t, of), "block int, words binary, ids binary, decoded binary"
     )
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(
@@ -201,8 +140,7 @@ def _asked(packed: pa.Table, pattern: str, buckets: int) -> pa.Table:
     for part in parts:
         words.update(words_of(part, find))
     lists: dict[int, list[bytes]] = {}
-    for word in words:
-        data = word.encode()
+    for data in sorted(map(str.encode, words)):
         lists.setdefault(xxhash.xxh64_intdigest(data) % buckets, []).append(data)
     block = packed.column("block")[0].as_py()
     return pa.table(
@@ -215,53 +153,33 @@ def _asked(packed: pa.Table, pattern: str, buckets: int) -> pa.Table:
 
 
 @freeing
-def _distinct(rows: pa.Table, of: dict[bytes, int]) -> pa.Table:
-    """The words of a bucket and the blocks that ask for each; a block asks at most once. Long words
-    have their ids already."""
-    blocks: dict[bytes, list[int]] = {}
-    for block, words in zip(rows.column("block").to_pylist(), rows.column("words").to_pylist()):
-        for word in unpacked_list(words):
-            blocks.setdefault(word, []).append(block)
-    longest = max(map(len, of))
-    ids = [None if len(w) <= LONG else " ".join(map(str, merged(w, of, longest))) for w in blocks]
+def _answers(rows: pa.Table, of: dict[bytes, int]) -> pa.Table:
+    """For every block that asks, its words of a bucket, their ids and what these decode to; words that
+    several blocks ask for are encoded once."""
+    longest, pieces = max(map(len, of)), {rank: piece for piece, rank in of.items()}
+    known: dict[bytes, tuple[bytes, bytes]] = {}
+    answers: list[tuple[bytes, bytes]] = []
+    for batch in rows.select(["words"]).to_batches(1):
+        found = []
+        for word in unpacked_list(batch.column(0)[0].as_py()):
+            one = known.get(word)
+            if one is None:
+                ids = folded(word, of) if len(word) <= LONG else merged(word, of, longest)
+                one = " ".join(map(str, ids)).encode(), b"".join(map(pieces.__getitem__, ids))
+                known[word] = one
+            found.append(one)
+        answers.append(tuple(packed_list(list(x)) for x in zip(*found)))
+    ids, decoded = zip(*answers)
     return pa.table(
         {
-            "word": pa.array([w.decode("latin-1") for w in blocks], pa.string()),
-            "blocks": pa.array(list(blocks.values()), pa.list_(pa.int32())),
-            "ids": pa.array(ids, pa.string()),
+            "block": rows.column("block"),
+            "words": rows.column("words"),
+            "ids": pa.array(ids, pa.binary()),
+            "decoded": pa.array(decoded, pa.binary()),
         }
     )
 
 
-def _answers(
-    batches: Iterator[pa.RecordBatch], pieces: dict[str, bytes]
-) -> Iterator[pa.RecordBatch]:
-    """Each word, its ids and what they decode to, packed for every block that asked for it."""
-    held: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
-    size = 0
-    for batch in batches:
-        for word, blocks, ids in zip(*(c.to_pylist() for c in batch.columns)):
-            decoded = b"".join(map(pieces.__getitem__, ids.split(" ")))
-            one = (word.encode("latin-1"), ids.encode(), decoded)
-            for block in blocks:
-                held.setdefault(block, []).append(one)
-            size += len(blocks)
-        if size >= FLUSH:
-            yield _answered(held)
-            held, size = {}, 0
-    if held:
-        yield _answered(held)
-    give_back()
-
-
-def _answered(held: dict[int, list[tuple[bytes, bytes, bytes]]]) -> pa.RecordBatch:
-    columns = [[packed_list(list(x)) for x in zip(*found)] for found in held.values()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.int32()), *[pa.array(c, pa.binary()) for c in zip(*columns)]],
-        names=["block", "words", "ids", "decoded"],
-    )
-
-
 @freeing
 def _encoded_block(packed: pa.Table, answers: pa.Table, pattern: str, ids: bool) -> pa.Table:
     find = compiled(pattern).findall

@@ -67,6 +67,23 @@ def test_queue_and_library_agree():
         assert bpe.merged(word.encode(), of, longest) == library.encode_ordinary(word)
 
 
+def test_fold_and_library_agree():
+    rng = random.Random(10)
+    of = bpe.ranks(PATH)
+    library = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=of, special_tokens={})
+    for _ in range(2000):
+        word = "".join(rng.choices("aeinst theé日-=", k=rng.randrange(1, 60)))
+        assert bpe.folded(word.encode(), of) == library.encode_ordinary(word)
+
+
+def test_words_are_encoded_where_they_are_gathered(spark, made_documents):
+    """No interpreted functions over each distinct word, and no rows of words: asked and answered in one step."""
+    plan = bpe.encoded(made_documents(), PATH, public_tokenizers.PATTERN, blocks=4, ids=False)
+    told = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in told and "aggregate(" not in told
+    assert told.count("FlatMapGroupsInArrow") == 2
+
+
 def test_ranks_are_those_of_the_file():
     of = bpe.ranks(PATH)
     with open(PATH, "rb") as file:
