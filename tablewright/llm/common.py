@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import uuid
@@ -45,6 +46,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextlib.contextmanager
+def releasing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Frames that are made meanwhile give their shuffle files back as soon as they have run, instead of when
+    the driver happens to collect garbage. For steps that end in a checkpoint, a written file or a few rows;
+    a frame that is run twice makes its shuffles twice."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def block_count(spark: SparkSession) -> int:
     """Blocks to deal a corpus to: the session's shuffle partitions, which are sized so that one
     partition fits a task."""

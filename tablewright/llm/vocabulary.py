@@ -24,6 +24,7 @@ from tokenizers import Tokenizer
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MEMORY = 150_000  # values of a generation that a task remembers; it keeps two
 LARGE = 400_000  # of a task that is to remember much
+WHOLE = 100_000  # characters of a text that the library's search takes at once; it fails on longer blanks
 # White space before and after a blank, where a cut could change the matches.
 _AWKWARD = re.compile(r"\s (?:\s|\Z)|\A (?:\s|\Z)")
 _RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
@@ -88,8 +89,8 @@ def _alphabet() -> dict[int, str]:
     return seen
 
 
-def _by_rank(form: dict, model) -> Callable[[bytes], list[int]] | None:
-    """Ids of a word's bytes by a library that merges by rank, several times faster than ``tokenizers``; None
+def _by_rank(form: dict, model):
+    """The core of a library that merges by rank, several times faster than ``tokenizers``; None
     where a vocabulary's ids are not its ranks, or a token is not what its own bytes merge to."""
     model_form = form["model"]
     vocabulary, odd = model_form["vocab"], ("dropout", "continuing_subword_prefix", "end_of_word_suffix")
@@ -107,7 +108,7 @@ def _by_rank(form: dict, model) -> Callable[[bytes], list[int]] | None:
         return None
     ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in zip(tokens, ids)}
     encoding = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return encoding._core_bpe.encode_single_piece
+    return encoding._core_bpe
 
 
 class ChunkTokenizer:
@@ -124,7 +125,8 @@ class ChunkTokenizer:
         ]
         self.find, self.alphabet = compiled(PATTERN).findall, _alphabet()
         self.model = self.tokenizer.model
-        self.by_rank = _by_rank(form, self.model)
+        self.core = _by_rank(form, self.model)
+        self.by_rank = self.core and self.core.encode_single_piece
         self.words = Remembered(self._of_word, most)
         self.remembered = Remembered(self._of_chunk, most * 3 // 4)
 
@@ -164,3 +166,10 @@ class ChunkTokenizer:
         else:
             data = self._matches(cut[0]) + b"".join(map(self.remembered.__getitem__, cut[1:]))
         return np.frombuffer(data, "<u4")
+
+    def encode_at_once(self, text: str) -> np.ndarray:
+        """As ``encode``; a text that is not too long goes through the library as a whole, which takes half
+        the time where many words are rare, and remembers nothing."""
+        if not self.core or len(text) > WHOLE or any(s in text for s in self.special):
+            return self.encode(text)
+        return np.array(self.core.encode_ordinary(text), "<u4")
