@@ -33,7 +33,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import checkpointed, column, components, give_back, mixed
+from tablewright.llm.common import (
+    checkpointed,
+    column,
+    components,
+    give_back,
+    mixed,
+    releasing_shuffles,
+)
 
 BUCKETS = 1 << 20  # hashed counts that order shingles; the table of their magnitudes is 1 MB
 PIECES = 16
@@ -141,7 +148,24 @@ def classes(
     """
     if not 60 <= percent < 100:
         raise ValueError("the percentage must be from 60 to 99")
-    limit = Threshold(percent)
+    with releasing_shuffles(docs.sparkSession):
+        marks, roots = _connected(docs, shingle, Threshold(percent), doc_id, text, part, hubs)
+    nodes = marks.filter("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"))
+    rooted = nodes.join(roots, F.col("id") == F.col("node"), "left").select(
+        "id", "least", F.coalesce("root", "id").alias("root")
+    )
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named_ = rooted.join(smallest, "root").select("id", "component_id")
+    return marks.filter("id IS NOT NULL").join(named_, "id").select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id"
+    ).union(marks.filter("id IS NULL").selectExpr("doc_id", "n AS n_shingles", "doc_id AS component_id"))
+
+
+def _connected(
+    docs: DataFrame, shingle: int, limit: Threshold, doc_id: str, text: str, part: int, hubs: int
+) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, size ``n`` and set ``id`` of each row, and the ``root`` of each linked set. Its many small
+    steps each end in a checkpoint or in a few rows."""
     taken = docs.select(column(doc_id).cast("long").alias("doc_id"), column(text).cast("string").alias("text"))
     seen = checkpointed(
         taken.mapInArrow(
@@ -186,15 +210,7 @@ def classes(
         found = linked(_candidates(rest, limit, None, long_))
         if not found.isEmpty():
             roots = components(roots.selectExpr("node AS u", "root AS v").union(found))
-    nodes = marks.filter("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"))
-    rooted = nodes.join(roots, F.col("id") == F.col("node"), "left").select(
-        "id", "least", F.coalesce("root", "id").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named_ = rooted.join(smallest, "root").select("id", "component_id")
-    return marks.filter("id IS NOT NULL").join(named_, "id").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id"
-    ).union(marks.filter("id IS NULL").selectExpr("doc_id", "n AS n_shingles", "doc_id AS component_id"))
+    return marks, roots
 
 
 def _marked(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -276,11 +292,9 @@ def _bits(shingles: DataFrame) -> np.ndarray:
     def of(bits: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([zstandard.compress(bits.tobytes())], pa.binary())], names=["z"])
 
-    parts = shingles.mapInArrow(marked, "z binary").repartition(32, F.xxhash64("z"))
-    bits = np.zeros(WANTED // 8, np.uint8)
-    for row in parts.mapInArrow(either, "z binary").toLocalIterator():  # a megabyte for each partition
-        bits |= np.frombuffer(zstandard.decompress(bytes(row.z)), np.uint8)
-    return bits
+    parts = shingles.mapInArrow(marked, "z binary").repartition(32, F.xxhash64("z")).mapInArrow(either, "z binary")
+    rows = parts.repartition(1).mapInArrow(either, "z binary").collect()  # a megabyte of each part
+    return np.frombuffer(zstandard.decompress(bytes(rows[0].z)), np.uint8) if rows else np.zeros(WANTED // 8, np.uint8)
 
 
 def _cell(names: np.ndarray) -> np.ndarray:
@@ -355,10 +369,8 @@ def _crowds(sets: DataFrame) -> np.ndarray:
 
     crowds = sets.groupBy("first").count().filter(F.col("count") > CROWD)
     parts = crowds.mapInArrow(marked, "z binary").repartition(32, F.xxhash64("z")).mapInArrow(largest, "z binary")
-    table = np.zeros(BUCKETS, np.uint8)
-    for row in parts.toLocalIterator():  # a megabyte for each partition
-        np.maximum(table, np.frombuffer(zstandard.decompress(bytes(row.z)), np.uint8), out=table)
-    return table
+    rows = parts.repartition(1).mapInArrow(largest, "z binary").collect()  # a megabyte of each part
+    return np.frombuffer(zstandard.decompress(bytes(rows[0].z)), np.uint8) if rows else np.zeros(BUCKETS, np.uint8)
 
 
 def _crowd_cell(firsts: np.ndarray) -> np.ndarray:

@@ -1,5 +1,6 @@
 """Linked shingle sets against brute force."""
 
+import glob
 import random
 
 import numpy as np
@@ -135,3 +136,18 @@ def test_texts_of_families_are_sent_once(spark, monkeypatch):
     assert all(len(sent[x]) == 1 for x in range(600))
     assert max(sizes.values()) <= 64
     assert len(sent[2000]) > 4 and len({b for x in range(1000, 1020) for b in sent[x]}) > 1
+
+
+def test_shuffles_are_given_back(spark, made_documents):
+    """None of the many small steps' shuffles outlives its step."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def shuffles():
+        return {p for f in folders for p in glob.glob(f"{f.getPath()}/*/shuffle_*")}
+
+    before = shuffles()
+    found = jaccard.classes(made_documents(3))
+    assert not shuffles() - before
+    rows = sorted(map(tuple, found.collect()), key=repr)
+    assert rows == sorted(map(tuple, found.collect()), key=repr)
+    assert rows == brute([(r.doc_id, r.text) for r in made_documents(3).collect()], 3, 90)
